@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quillspark.llm import rules
+from quillspark.llm import lines, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +27,31 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's counts, base verdict and learned verdict."""
     out = rules.judged(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@_query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines, those that an earlier document holds, and the digest of what stays."""
+    out = lines.deduplicated(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "__q_lines.n_lines", "__q_lines.n_dropped", F.sha2(F.col("__q_lines.kept_text"), 256).alias("kept_sha256"))
+
+
+ORACLES["op10_line_dedup"] = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM split
+), held AS (
+  SELECT k, min(doc_id) AS first_id FROM keyed WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) >= 2
+), marked AS (
+  SELECT d.doc_id, d.pos, d.line, (h.first_id IS NOT NULL AND d.doc_id <> h.first_id) AS gone, d.r
+  FROM keyed d LEFT JOIN held h USING (k)
+)
+SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
