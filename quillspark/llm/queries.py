@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import lines, rules
+from quillspark.llm import decontam, lines, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -55,3 +55,42 @@ SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT)
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@_query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words, those inside benchmark windows, and the items found."""
+    out = decontam.marked(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", *[f"__q_hits.{c}" for c in ("n_words", "n_hit", "n_items", "items_sha256")], (F.col("__q_hits.n_hit") > 0).alias("contaminated"))
+
+
+ORACLES["op4_decontamination"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), items AS (
+  SELECT DISTINCT item_id, len(x) AS size, array_to_string(x, ' ') AS key FROM (
+    SELECT item_id, unnest([list_slice(w, i, i + least(10, len(w)) - 1) FOR i IN range(1, greatest(1, len(w) - 9) + 1)]) AS x
+    FROM b WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT size FROM items),
+runs AS (
+  SELECT d.r, size, i AS pos, array_to_string(list_slice(w, i, i + size - 1), ' ') AS key
+  FROM d, sizes, unnest(range(1, len(w) - size + 2)) AS u(i)
+), hits AS (
+  SELECT r, pos, runs.size, item_id FROM runs JOIN items ON runs.size = items.size AND runs.key = items.key
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(pos, pos + size)) AS p FROM hits) GROUP BY r
+), found AS (
+  SELECT r, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT CAST(item_id AS VARCHAR))), ',') AS ids
+  FROM hits GROUP BY r
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
+"""
