@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontam, lines, rules
+from quillspark.llm import decontam, lines, mixing, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +94,42 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
 """
+
+
+@_query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in training order with its source's target and the words that the mix takes of it."""
+    out = mixing.mix(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", F.element_at("positions", 1).alias("position"))
+
+
+ORACLES["op3_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
+         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM d GROUP BY source
+), w AS (
+  SELECT *, CAST([5, 2, 1][rank % 3 + 1] AS DOUBLE) AS weight, CAST([-0.5, 0, 0.5][rank % 3 + 1] AS DOUBLE) AS slope, source_size * 2.0::DOUBLE AS cap FROM s
+), h AS (
+  SELECT *, (1.5::DOUBLE * sum(CAST(source_size AS DOUBLE)) OVER () - coalesce(sum(cap) OVER b, 0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS share
+  FROM w WINDOW b AS (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), l AS (
+  SELECT arg_min(share, (cap / weight, rank)) AS level FROM h WHERE share * weight < cap
+), t AS (
+  SELECT source, source_size, slope, least(cap, coalesce(level * weight, cap)) AS target FROM h, l
+), r AS (
+  SELECT d.*, source_size, target, slope,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, size, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), p AS (
+  SELECT *, least(1.0::DOUBLE, (CAST(c AS DOUBLE) + size / 2.0::DOUBLE) / target) AS y, greatest(0, least(size, floor(target) - c)) AS one,
+         greatest(0, least(size, floor(target) - c - source_size)) AS two FROM r
+)
+SELECT doc_id, size, source_size, target, CAST(one + two AS BIGINT) AS taken,
+       CASE WHEN one > 0 THEN CASE WHEN slope = 0 THEN y
+            ELSE (slope - 1 + sqrt((1 - slope) * (1 - slope) + 4 * slope * y)) / (2 * slope) END END AS position
+FROM p
+"""
