@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontam, lines, mixing, rules
+from quillspark.llm import decontam, lines, mixing, near, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -133,3 +133,10 @@ SELECT doc_id, size, source_size, target, CAST(one + two AS BIGINT) AS taken,
             ELSE (slope - 1 + sqrt((1 - slope) * (1 - slope) + 4 * slope * y)) / (2 * slope) END END AS position
 FROM p
 """
+
+
+@_query
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near copies, and whether it is the one that stays."""
+    out = near.classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.col("id").alias("doc_id"), "class_id", (F.col("id") == F.col("class_id")).alias("stays"))
