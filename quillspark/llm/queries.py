@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontam, lines, mixing, near, rules
+from quillspark.llm import decontam, lines, mixing, near, rules, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -140,3 +140,9 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near copies, and whether it is the one that stays."""
     out = near.classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(F.col("id").alias("doc_id"), "class_id", (F.col("id") == F.col("class_id")).alias("stays"))
+
+
+@_query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability to be toxic."""
+    return toxicity.scored(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
