@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontam, lines, mixing, near, rules, toxicity, urls
+from quillspark.llm import decontam, lines, mixing, near, pii, rules, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,3 +152,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's host, path, rule and verdict."""
     return urls.judged(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base spans, counted and digested, and all spans."""
+    return pii.digest(_table(spark, sf_dir, "documents").select("doc_id", "text"))
