@@ -49,6 +49,18 @@ def _powers() -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
+def spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each run values[start:end] of 64-bit values, the same wherever the run stands."""
+    up, down = _powers()
+    if len(values) >= len(up):
+        base = np.full(len(values) + 1, _BASE, _U), np.full(len(values) + 1, pow(_BASE, -1, 1 << 64), _U)
+        base[0][0] = base[1][0] = 1
+        up, down = (np.multiply.accumulate(x) for x in base)
+    total = np.zeros(len(values) + 1, _U)
+    np.cumsum(values * up[: len(values)], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U))
+
+
 @lru_cache(maxsize=2)
 def _values(fold: bool) -> np.ndarray:
     values = mix(np.arange(1, 257, dtype=_U) * _U(0xD6E8FEB86659FD93))
