@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontam, lines, mixing, near, pii, rules, substring, toxicity, urls
+from quillspark.llm import decontam, lines, lm, mixing, near, pii, rules, substring, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -165,3 +165,9 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every span that repeats an earlier one, with its offsets and the document that keeps it."""
     out = substring.removed_spans(_table(spark, sf_dir, "documents"))
     return out.select(substring.original_id("id").alias("doc_id"), F.col("start").alias("span_start"), F.col("end").alias("span_end"), F.col("words").alias("n_words"), substring.original_id("first_id").alias("kept_doc_id"))
+
+
+@_query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's unigram and model log10 probabilities."""
+    return lm.scored(_table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -28,6 +28,8 @@ from quillspark.llm.shared import LAST_ID, ordered_id
 
 #: Words of a unit, about, and words that a digest covers at least.
 UNIT_WORDS, MIN_WORDS = 5, 12
+#: Words after which a unit ends in any case.
+LONGEST = 32
 _U = np.uint64
 _HEAD = np.array([b & 0xC0 != 0x80 for b in range(256)])
 
@@ -47,6 +49,8 @@ def blocks(b: tokens.Batch, size: int = UNIT_WORDS, least: int = MIN_WORDS) -> d
     new = np.ones(len(words), bool)
     pair = tokens.mix(words[:-1] * _U(0x8CB92BA72F3D8DD7) + words[1:])
     new[1:] = (owner[1:] != owner[:-1]) | (line[1:] != line[:-1]) | (pair % _U(size) == 0)
+    since = np.arange(len(words)) - np.maximum.accumulate(np.where(new, np.arange(len(words)), 0))
+    new |= (since > 0) & (since % LONGEST == 0)  # a run of one word shows no cut of its own
     at = np.flatnonzero(new)
     stops = np.append(at[1:], len(words))
     stop = np.searchsorted(stops, at + least)  # the first unit end that is far enough
