@@ -189,8 +189,12 @@ def sha256_hex(text: bytes) -> str:
 
 
 def filtered(documents: DataFrame) -> DataFrame:
-    """documents, all columns, their texts without lines that an earlier document holds, and n_chars to match."""
+    """documents, all columns, their texts without lines that an earlier document holds, and n_chars to match.
+
+    A document that loses all its words this way is a copy of earlier ones and goes; one without words from the start stays.
+    """
     out = deduplicated(documents)
+    out = out.where((F.col("__q_lines.n_dropped") == 0) | F.regexp_like(F.col("__q_lines.kept_text"), F.lit(r"[^\x20\x09-\x0D]")))
     text = F.when(F.col("text").isNull(), F.lit(None)).otherwise(F.col("__q_lines.kept_text"))
     changed = out.withColumn("text", text)
     if "n_chars" in documents.columns:
