@@ -7,11 +7,11 @@ whatever its length; each dart falls into one of k coordinates, and the one of l
 the signature there. Two texts agree in a coordinate with the probability of their weighted Jaccard similarity.
 
 Equal texts (as words) are first gathered under their smallest doc_id, so copies cost one row each. The
-representatives meet in bands of a few coordinates. In each bucket every text is compared with the bucket's
-smallest, exactly, by its shingles; what is alike is linked. Only texts of one bucket that are still in
-different classes after that are compared with each other, in a second round, so no link that the bands show
-is lost and no group's pairs are all made. Classes are the connected components of the links, found by
-alternating star contractions with joins.
+representatives meet in bands of a few coordinates. In each bucket every text is compared with the smallest,
+exactly, by its shingles; what is alike is linked. Texts of one bucket that are still in different classes after
+that are compared with each other: small buckets by a join, larger ones in blocks of bounded size, so no link
+between classes that the bands show is lost, no pairs of a group become rows and no task holds a group. Classes
+are the connected components of the links, found by alternating star contractions with joins.
 
 Defined cases: words are as in `tokens.PLAIN`, with A-Z lower-cased. Texts of fewer than five words, but not
 none, are one shingle. Null texts and texts without words are alike to nothing, each its own class. Rows
@@ -33,6 +33,9 @@ from quillspark.llm.shared import ordered_id, staged
 SHINGLE, SIMILARITY = 5, 0.8
 #: 24 bands of 5: a pair at the similarity 0.8 is missed with the probability 0.00007.
 BANDS, BAND = 24, 5
+#: Texts of a bucket whose pairs are joined; texts and elements of a block, about, of larger ones.
+SMALL, BLOCK_TEXTS, BLOCK_ELEMENTS = 16, 256, 1 << 20
+_COLUMNS = 4096
 _U = np.uint64
 _STEP = 1 << 19
 
@@ -175,35 +178,122 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("class_id"))
 
 
+def _alike(x: str, y: str, least: float) -> Column:
+    """Whether two sizes allow the similarity."""
+    return F.least(x, y) >= F.lit(least) * F.greatest(x, y)
+
+
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _relabelled(labelled: DataFrame, found: DataFrame) -> DataFrame:
+    """labelled (id, class_id) after links (a, b): the smallest label that a text or what its label stands for is linked to.
+
+    Texts of one label are connected, but connected texts may still have several; components() is exact.
+    """
+    ends = found.unionByName(found.select(F.col("a").alias("b"), F.col("b").alias("a")))
+    met = ends.join(labelled.select(F.col("id").alias("a"), F.col("class_id").alias("to")), "a").groupBy(F.col("b").alias("id")).agg(F.min("to").alias("to"))
+    hop = labelled.join(met, "id", "left").select("id", F.least("class_id", F.coalesce("to", "class_id")).alias("class_id"))
+    root = hop.select(F.col("id").alias("class_id"), F.col("class_id").alias("root"))
+    return hop.join(root, "class_id", "left").select("id", F.least("class_id", F.coalesce("root", "class_id")).alias("class_id"))
+
+
+def _block_links(least: float):
+    """Compares all texts of two blocks (or of one) and returns links that connect what is alike: a forest, not all pairs."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        ids, side = table.column("id").to_numpy(), table.column("side").to_numpy()
+        lists = table.column("elements").combine_chunks()
+        count = np.diff(lists.offsets.to_numpy())
+        owner = np.repeat(np.arange(len(ids)), count)
+        _, which, held = np.unique(lists.values.to_numpy(), return_inverse=True, return_counts=True)
+        shared = held[which] > 1
+        order = np.argsort(which[shared], kind="stable")
+        column, owner = which[shared][order], owner[shared][order]
+        column = np.cumsum(np.concatenate(([False], column[1:] != column[:-1]))) if len(column) else column
+        both = np.zeros((len(ids), len(ids)), np.float32)
+        for a in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+            lo, hi = np.searchsorted(column, (a, a + _COLUMNS))
+            part = np.zeros((len(ids), _COLUMNS), np.float32)
+            part[owner[lo:hi], column[lo:hi] - a] = 1
+            both += part @ part.T
+        both = both.astype(float)  # counts are exact in either type; the ratio is taken as the join takes it
+        alike = both / (count[:, None] + count[None, :] - both) >= least
+        if side.max() > side.min():
+            alike &= side[:, None] != side[None, :]
+        root = np.arange(len(ids))
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        links = []
+        for x, y in np.argwhere(np.triu(alike, 1)).tolist():
+            x, y = top(x), top(y)
+            if x != y:
+                root[y] = x
+                links.append((int(ids[x]), int(ids[y])))
+        return pa.table({"a": pa.array([min(x) for x in links], pa.int64()), "b": pa.array([max(x) for x in links], pa.int64())})
+
+    return compare
+
+
+def cloud_links(large: DataFrame, elements: DataFrame, least: float) -> DataFrame:
+    """Links among the texts of large buckets (band, hash, id), block against block.
+
+    Buckets that overlap form a cloud. A cloud's texts fall by hash into blocks of a bounded number of texts and of
+    elements; every two blocks meet in a group of their own, so no task holds a cloud and no pair becomes a row.
+    """
+    lead = large.groupBy("band", "hash").agg(F.min("id").alias("lead"))
+    cloud = components(large.join(lead, ["band", "hash"]).select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
+    roots = cloud.select(F.col("class_id").alias("id"), "class_id").distinct()
+    cloud = staged(cloud.unionByName(roots).distinct().withColumnRenamed("class_id", "cloud").join(elements, "id"), "cloud")
+    blocks = cloud.groupBy("cloud").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum(F.size("elements").cast("long")) / BLOCK_ELEMENTS)).alias("blocks"))
+    placed = cloud.join(blocks, "cloud").withColumn("own", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")))
+    rows = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    rows = rows.select("cloud", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "id", F.col("own").alias("side"), "elements")
+    return rows.groupBy("cloud", "one", "two").applyInArrow(_block_links(least), "a long, b long")
+
+
+def links_in(buckets: DataFrame, elements: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) that connect whatever the buckets (band, hash, id, size) connect.
+
+    First every bucket compares its texts with its smallest id, and labels spread along the links found. Buckets
+    whose texts then have different labels are done in full: of small ones, all pairs of different labels; of
+    larger ones, block by block.
+    """
+    lead = buckets.groupBy("band", "hash").agg(F.min(F.struct("id", "size")).alias("lead"))
+    met = buckets.join(lead, ["band", "hash"]).where("id <> lead.id").where(_alike("size", "lead.size", least))
+    pairs = staged(met.select(*_pair("id", "lead.id")).distinct(), "pairs")
+    found = staged(verified(pairs, elements, least), "near")
+    labels = _relabelled(elements.select("id", F.col("id").alias("class_id")), found)
+    held = staged(buckets.join(labels, "id"), "labelled")
+    several = held.groupBy("band", "hash").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high")
+    open_ = staged(held.join(several.select("band", "hash", "n"), ["band", "hash"]), "open")
+    small = open_.where(F.col("n").between(3, SMALL))  # the two texts of a pair have met already
+    one, two = (small.select("band", "hash", F.col("id").alias(x), F.col("size").alias(f"{x}_size"), F.col("class_id").alias(f"{x}_class")) for x in "ab")
+    rest = one.join(two, ["band", "hash"]).where("a < b and a_class <> b_class").where(_alike("a_size", "b_size", least))
+    rest = rest.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+    links = found.unionByName(verified(rest, elements, least))
+    large = open_.where(F.col("n") > SMALL)
+    return links if large.isEmpty() else links.unionByName(cloud_links(large, elements, least))
+
+
 def classes(documents: DataFrame, least: float = SIMILARITY, bands: int = BANDS, band: int = BAND) -> DataFrame:
-    """doc_id and class_id of every row; class_id is the smallest doc_id among the documents it is linked to."""
+    """id and class_id of every row; class_id is the smallest doc_id among the documents it is linked to."""
     signed = staged(signed_texts(documents, bands, band), "signed")
     texts = staged(signed.where("size > 0").groupBy("key_a", "key_b").agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands")), "texts")
     rows = texts.select("id", "size", F.posexplode("bands").alias("band", "hash"))
-    met = rows.groupBy("band", "hash").agg(F.min(F.struct("id", "size")).alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "hash", "head")
-    buckets = staged(rows.join(met, ["band", "hash"]).select("band", "hash", "id", "size", F.col("head.id").alias("a"), F.col("head.size").alias("a_size")), "buckets")
-
-    def near_sizes(x: str, y: str) -> Column:
-        return F.least(x, y) >= F.lit(least) * F.greatest(x, y)
-
-    pairs = buckets.where("id <> a").where(near_sizes("size", "a_size")).select("a", F.col("id").alias("b")).distinct()
+    met = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "hash")
+    buckets = staged(rows.join(met, ["band", "hash"]).select("band", "hash", "id", "size"), "buckets")
     wanted = buckets.select("id").distinct()
     source = documents.select(ordered_id().alias("id"), F.col("text").cast("string").alias("text"))
     # rows that share an id are one document; the largest text of them stands for it here
     elements = staged(elements_of(source.join(wanted, "id", "left_semi")).groupBy("id").agg(F.max_by("elements", F.size("elements")).alias("elements")), "elements")
-    links = staged(verified(pairs, elements, least), "near")
-    known = components(links)
-    # the second round: texts that share a bucket and are not yet in one class
-    labelled = buckets.select("band", "hash", "id", "size").join(known, "id", "left").withColumn("class_id", F.coalesce("class_id", "id"))
-    held = labelled.groupBy("band", "hash", "class_id").agg(F.count(F.lit(1)).alias("n"))
-    held = held.groupBy("band", "hash").agg(F.max(F.struct("n", "class_id")).alias("main"), F.count(F.lit(1)).alias("classes")).where("classes > 1").select("band", "hash", F.col("main.class_id").alias("main"))
-    open_ = staged(labelled.join(held, ["band", "hash"]), "open")
-    # whoever is outside the bucket's main class meets all of its bucket that are in other classes
-    minor = open_.where("class_id <> main").select("band", "hash", F.col("id").alias("x"), F.col("size").alias("x_size"), F.col("class_id").alias("x_class"))
-    met = minor.join(open_.select("band", "hash", "id", "size", "class_id"), ["band", "hash"]).where("class_id <> x_class").where(near_sizes("size", "x_size"))
-    rest = met.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = verified(rest, elements, least)
-    class_of = components(links.unionByName(more))
+    class_of = components(links_in(buckets, elements, least))
     classed = texts.select("key_a", "key_b", "id").join(class_of, "id", "left").select("key_a", "key_b", F.coalesce("class_id", "id").alias("class_id"))
     out = signed.select("id", "key_a", "key_b", "size").join(classed, ["key_a", "key_b"], "left")
     return out.select("id", F.when(F.col("size") > 0, F.coalesce("class_id", "id")).otherwise(F.col("id")).alias("class_id"))
