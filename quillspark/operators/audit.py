@@ -77,7 +77,8 @@ def corrections(notes: DataFrame) -> DataFrame:
 
 def planet_counts(notes: DataFrame, planets: DataFrame) -> DataFrame:
     truth = planets.groupBy(F.col("slug").alias("stem")).agg(F.count(F.lit(1)).alias("n"))
-    both = notes.join(truth, "stem").where(F.size(F.coalesce("fm.planets", F.array().cast("array<string>").cast(notes.select("fm.planets").schema[0].dataType))) != F.col("n"))
+    held = F.greatest(F.coalesce(F.size("fm.planets"), F.lit(0)), F.lit(0))
+    both = notes.join(truth, "stem").where(held != F.col("n"))
     return found(both, "planet_count", "stem", F.concat(F.lit("ground truth has "), F.col("n").cast("string")))
 
 

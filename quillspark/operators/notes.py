@@ -163,7 +163,7 @@ def insert_before(text: Column, anchor: str, line: Column) -> Column:
 def insert_header(text: Column, line: str, anchor: str = GENERATED) -> Column:
     """The text with a line after its first title, unless it has the anchor already."""
     safe = line.replace("\\", "\\\\").replace("$", "\\$")
-    return F.when(F.contains(text, F.lit(anchor)), text).otherwise(F.regexp_replace(text, r"(?s)\A(.*?)(^|\n)(# [^\n]*\n)", rf"$1$2$3\n{safe}\n"))
+    return F.when(F.contains(text, F.lit(anchor)), text).otherwise(F.regexp_replace(text, r"(?s)\A(.*?)(^|\n)(# [^\n]*\n)", f"$1$2$3{safe}\n"))
 
 
 def changed(notes: DataFrame, new: Column) -> DataFrame:
