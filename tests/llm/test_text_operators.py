@@ -284,6 +284,23 @@ def test_attention_gradients():
         assert g[name][at] == pytest.approx((loss[0] - loss[1]) / 2e-5, abs=2e-4), name
 
 
+def test_quick_logs_are_those_of_the_whole_pass():
+    r = np.random.default_rng(1)
+    counts = r.random(90) * 50
+    cls, _ = lm.classed(counts)
+    w = lm.initial(90, cls, counts)
+    ids, valid = r.integers(0, 90, (50, 2 * lm.STRIDE)), np.ones((50, 2 * lm.STRIDE), bool)
+    valid[::3, : lm.STRIDE] = False
+    valid[1::7, lm.STRIDE + 4 :] = False
+    goal = r.integers(0, lm.CLASSES, (50, lm.STRIDE))
+    for scale in (1, 40):  # with large weights exponentials would overflow
+        big = {k: v * np.float32(scale) if k in "quk" else v for k, v in w.items()}
+        whole = lm.forward(big, ids, valid)[0].reshape(50, lm.STRIDE, -1)
+        want = np.take_along_axis(whole, goal[..., None], 2)[..., 0]
+        on = valid[:, lm.STRIDE :]
+        assert np.allclose(lm.target_logs(big, ids, valid, goal)[on], want[on], rtol=1e-3, atol=1e-2 * scale)
+
+
 def test_windows_score_each_id_once():
     at = np.array([0, 1, 18, 18 + 33, 52])
     ids = np.arange(52, dtype=np.int32)
