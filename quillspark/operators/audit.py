@@ -239,3 +239,9 @@ def declared_sources(topics: DataFrame) -> DataFrame:
         .when(~F.array_contains("kinds", kind), "kind not allowed here")
     )
     return rows.select("slug", F.col("s.key").alias("key"), F.coalesce(bad, F.lit("ok")).alias("status"))
+
+
+def wants_retraction_check(topics: DataFrame) -> DataFrame:
+    """slug of topics that have anything a registry knows: a source with a DOI, or curated keys. topics: slug, dois, extra_core."""
+    some = lambda c: F.coalesce(F.size(F.filter(c, lambda x: x.isNotNull() & (x != ""))), F.lit(0)) > 0
+    return topics.where(some(F.col("dois")) | some(F.col("extra_core"))).select("slug")

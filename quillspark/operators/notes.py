@@ -177,6 +177,19 @@ def search_line(found: Column, core: Column, dropped: Column, truncated: Column)
     return F.concat_ws(" · ", *parts)
 
 
+def repoint(text: Column, pattern: str, line: str) -> Column:
+    """The text with the one line that matches replaced; with none or several, as it is."""
+    lines = F.split(text, "\n")
+    hits = F.size(F.filter(lines, lambda s: F.regexp_like(s, F.lit(pattern))))
+    new = F.array_join(F.transform(lines, lambda s: F.when(F.regexp_like(s, F.lit(pattern)), F.lit(line)).otherwise(s)), "\n")
+    return F.when(hits == 1, new).otherwise(text)
+
+
+def quoted(text: Column) -> Column:
+    """Percent-encoded, with spaces as %20."""
+    return F.replace(F.url_encode(text), F.lit("+"), F.lit("%20"))
+
+
 # Views.
 
 

@@ -320,3 +320,11 @@ def test_files_and_ingest(spark, tmp_path):
     spark.createDataFrame([(2, "z"), (3, "c")], "k int, v string").write.mode("append").parquet(src)
     assert call() == 1 and sorted((r.k, r.v) for r in spark.read.parquet(out).collect()) == [(1, "a"), (2, "b"), (3, "c")]
     assert "| k | v |" in files.markdown(spark.read.parquet(out), "Rows")
+
+
+def test_small_edits(spark):
+    assert one(spark, notes.repoint(F.col("t"), "^pdf:", "pdf: new"), t="a\npdf: old\nb") == "a\npdf: new\nb"
+    assert one(spark, notes.repoint(F.col("t"), "^pdf:", "pdf: new"), t="pdf: 1\npdf: 2") == "pdf: 1\npdf: 2"
+    assert one(spark, notes.quoted(F.col("t")), t="a b&c") == "a%20b%26c"
+    t = spark.createDataFrame([("a", ["10.1/x"], []), ("b", [None, ""], None), ("c", None, ["2001A"])], "slug string, dois array<string>, extra_core array<string>")
+    assert [r.slug for r in audit.wants_retraction_check(t).collect()] == ["a", "c"]
