@@ -54,7 +54,8 @@ def test_pipeline_stages(spark, sf_dir):
         if name == "line_dedup":
             assert after == sorted((i, k) for i, (_, n, k) in lines(before).items() if not n or k.split())
         if name == "near_dedup":
-            assert after == [(i, t) for i, t in before if near_classes(before)[i] == i]
+            classes = near_classes(before)
+            assert after == [(i, t) for i, t in before if classes[i] == i]
         if name == "decontamination":
             assert after == [(i, t) for i, t in before if not contamination(t, items)[1]]
         docs = spark.createDataFrame(out.collect(), out.schema)
