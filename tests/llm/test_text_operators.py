@@ -329,3 +329,17 @@ def test_lm_scores(spark):
         assert r.base_score == pytest.approx(sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w), rel=1e-9)
         assert r.score < 0
     assert lm.scored(table(spark, [])).count() == 0
+
+
+def test_lm_learns_from_every_window(spark):
+    """Two words change places in the middle of a long text: no count changes, but the weights do."""
+    import zlib
+
+    train = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 != 1)
+    other = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1)
+    long = prose(3, 2000).split()
+    long[80], long[81] = "alpha", "omega"
+    changed = [*long]
+    changed[80], changed[81] = "omega", "alpha"
+    got = [lm.scored(table(spark, [(train, " ".join(x)), (other, "alpha omega " * 5)]).coalesce(1)).where(f"doc_id = {other}").first() for x in (long, changed)]
+    assert got[0].base_score == got[1].base_score and got[0].score != got[1].score
