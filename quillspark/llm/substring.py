@@ -2,12 +2,13 @@
 
 Units are lines, and lines are cut further where the content says so: a new unit starts at a word if a hash of it
 and the word before it falls into one fifth of all values, so a passage is cut the same way wherever it stands,
-also inside different lines. A digest covers a unit and the units after it up to a number of words; units are
+also inside different lines. A digest covers a unit and the units after it up to a number of words, and every whole
+line has a digest of its own, however short, so lines that repeat go whole, and exact copies with them; units are
 normalised to their words, lower-cased, without punctuation. Digests are grouped over all documents; the
 occurrence in the smallest doc_id, and the first there, is kept. What other occurrences cover is removed, and the
 spans' offsets in the original text (code points, end exclusive) are what the operator returns.
 
-Defined cases: null texts and texts of fewer words than a digest covers have nothing to remove. doc_id names a
+Defined cases: null texts and lines without words have nothing to remove. doc_id names a
 text: rows that repeat a doc_id are expected to repeat its text, nothing is removed between them, and a span is
 returned once. A null doc_id counts as the largest id. What a text repeats itself goes from its second place on,
 where that is clear of the first. Empty tables give no rows.
@@ -57,7 +58,12 @@ def blocks(b: tokens.Batch, size: int = UNIT_WORDS, least: int = MIN_WORDS) -> d
     held = stop < len(stops)
     at, stop = at[held], stops[stop[held]]
     inside = stop <= first[owner[at] + 1]
-    at, stop = at[inside], stop[inside]
+    lines = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (line[1:] != line[:-1]))))
+    at, stop = np.concatenate((at[inside], lines)), np.concatenate((stop[inside], np.append(lines[1:], len(words))))
+    order = np.lexsort((stop, at))
+    at, stop = at[order], stop[order]
+    once = np.append(True, (at[1:] != at[:-1]) | (stop[1:] != stop[:-1]))  # a line may be a digest already
+    at, stop = at[once], stop[once]
     one = tokens.spans(words, at, stop)
     two = tokens.spans(tokens.mix(words ^ _U(0x27D4EB2F165667C5)), at, stop)
     text = owner[at]
@@ -94,10 +100,14 @@ def _merged(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def spans(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
         new = np.ones(len(rows["id"]), bool)
-        new[1:] = (rows["id"][1:] != rows["id"][:-1]) | (rows["first_word"][1:] > rows["last_word"][:-1])
+        new[1:] = rows["id"][1:] != rows["id"][:-1]
+        above = np.cumsum(new) << 32  # a document's rows are above those of the one before
+        reach = lambda name: np.maximum.accumulate(above + rows[name]) - above  # noqa: E731  a line may hold the rows after it
+        last_word, end = reach("last_word"), reach("end")
+        new[1:] |= rows["first_word"][1:] > last_word[:-1]
         at = np.flatnonzero(new)
         last = np.append(at[1:], len(new)) - 1
-        out = (rows["id"][at], rows["start"][at], rows["end"][last], rows["last_word"][last] - rows["first_word"][at], rows["first_id"][at])
+        out = (rows["id"][at], rows["start"][at], end[last], last_word[last] - rows["first_word"][at], rows["first_id"][at])
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["id", "start", "end", "words", "first_id"])
 

@@ -205,6 +205,14 @@ def test_substring_removes_later_passages(spark):
     assert substring.removed_spans(table(spark, [])).count() == 0
 
 
+def test_substring_removes_whole_lines(spark):
+    short, middle = "All rights reserved", prose(21, 20)
+    rows = [(1, prose(22, 30) + "\n" + short + "\n" + prose(23, 30) + "\n" + middle), (2, prose(24, 30) + "\n" + short + "!\n" + middle.upper() + "\n" + prose(25, 30)), (3, "Five words of a text"), (4, "five words of a text."), (5, prose(26, 300) + "\n" + prose(27, 40)), (6, prose(26, 300) + "\n" + prose(28, 40))]
+    got = {r.id: (r.words, r.first_id, dict(rows)[r.id][r.start : r.end]) for r in substring.removed_spans(table(spark, rows)).collect()}
+    assert set(got) == {2, 4, 6}
+    assert got[2] == (23, 1, short + "!\n" + middle.upper()) and got[4] == (5, 3, "five words of a text") and got[6] == (300, 5, prose(26, 300))
+
+
 def test_pii_base_spans(spark):
     rows = [*ODD, (20, "a@b.c%d@e.f x@y foo@bar@baz.com"), (21, "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.4 1.2.3 0000255.1.1.1"), (22, "9" * 20_000), (23, "a@" + "b." * 4_000 + "c"),
             (24, "+1 (988) 555-2485 +12 3 +1....2 é4539 1488 0343 6467😀 4539148803436468"), (25, "1.2.3.4 " * 500), (26, "1" + "-1" * 9_000), (27, "mail bob (at) host dot com or (269) 555-3296")]
