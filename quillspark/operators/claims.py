@@ -110,23 +110,26 @@ def score(judged: DataFrame) -> DataFrame:
     return one.withColumn("recall", ratio("caught", "seeded")).withColumn("control", ratio("consistent", "real"))
 
 
-def ladder(quotes: DataFrame, documents: DataFrame, shortest: int = 3, longest: int = 24) -> DataFrame:
+def ladder(quotes: DataFrame, documents: DataFrame, shortest: int = 3, longest: int | None = None) -> DataFrame:
     """quote_id, doc, line and n: where the longest run of a quote's words stands in one segment of a document.
 
-    Runs of n words are tried from the whole quote down to `shortest`, from left to right; the first hit wins.
-    Runs and segments meet by their first `shortest` words, so no text is compared with every run. A quote of more
-    words than `longest` is tried in its runs of up to that many words. quotes: quote_id, quote. documents: doc, text.
+    As if runs of n words were tried from the whole quote (or `longest` words of it) down to `shortest`, from left
+    to right, and the first hit won. Quotes and segments meet wherever they share `shortest` words, and from there
+    the run goes on word by word. quotes: quote_id, quote. documents: doc, text.
     """
     split = lambda c: F.filter(F.split(F.lower(X.collapse(c)), " "), lambda w: w != "")
+    starts = lambda: F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - shortest + 1), lambda i: F.array_join(F.slice("w", i, F.lit(shortest)), " "))).alias("at", "head")
     q = quotes.select("quote_id", split(F.col("quote")).alias("w")).where(F.size("w") >= shortest)
-    runs = q.select("quote_id", "w", F.explode(F.sequence(F.lit(shortest), F.least(F.size("w"), F.lit(longest)))).alias("n"))
-    runs = runs.select("quote_id", "w", "n", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("n") + 1)).alias("start"))
-    runs = runs.select("quote_id", "n", "start", F.array_join(F.slice("w", F.col("start"), F.col("n")), " ").alias("run"), F.array_join(F.slice("w", F.col("start"), F.lit(shortest)), " ").alias("head"))
+    most = q.agg(F.max(F.size("w"))).first()[0] or shortest
+    most = most if longest is None else min(most, longest)
+    rest = F.slice("w", F.col("at") + 1, F.lit(most))
+    runs = q.select("quote_id", "w", starts()).select("quote_id", "head", (F.col("at") + 1).alias("start"), rest.alias("run"))
     lines = documents.select("doc", F.posexplode(X.segments(F.col("text"))).alias("line", "raw")).select("doc", (F.col("line") + 1).alias("line"), split(F.col("raw")).alias("w"))
-    lines = lines.where(F.size("w") >= shortest).withColumn("s", F.array_join("w", " "))
-    heads = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - shortest + 1), lambda i: F.array_join(F.slice("w", i, F.lit(shortest)), " ")))
-    heads = lines.select("doc", "line", "s", F.explode(heads).alias("head"))
-    met = heads.join(runs, "head").where(F.contains(F.concat(F.lit(" "), F.col("s"), F.lit(" ")), F.concat(F.lit(" "), F.col("run"), F.lit(" "))))
+    heads = lines.where(F.size("w") >= shortest).select("doc", "line", "w", starts()).select("doc", "line", "head", rest.alias("s"))
+    met = heads.join(runs, "head")
+    both = F.least(F.size("run"), F.size("s"))
+    parts = F.array_position(F.zip_with(F.slice("run", 1, both), F.slice("s", 1, both), lambda a, b: a != b), True)
+    met = met.withColumn("n", F.when(parts > 0, parts - 1).otherwise(both).cast("int"))
     best = met.groupBy("quote_id", "doc").agg(F.min(F.struct((-F.col("n")).alias("m"), "start", "line")).alias("b"))
     return best.select("quote_id", "doc", F.col("b.line").alias("line"), (-F.col("b.m")).alias("n"))
 

@@ -432,6 +432,14 @@ def shortening_ladder(spark, sf_dir):
     return claims.ladder(quotes, docs, shortest=8, longest=12)
 
 
+@query()
+def shortening_ladder_whole(spark, sf_dir):
+    """Runs from the whole quote down to 3 words. It has no SQL twin and is tested against brute force."""
+    quotes = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("quote_id"), F.col("text").alias("quote"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), "text")
+    return claims.ladder(quotes, docs)
+
+
 @query()
 def frontmatter_parse(spark, sf_dir):
     head = F.concat(F.lit("---\ntitle: '"), F.col("source"), F.lit("'\ntags: [paper, "), F.col("lang"), F.lit("]\ncitations: "), F.col("n_chars").cast("string"), F.lit("\n---\n"), F.col("text"))

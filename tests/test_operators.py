@@ -10,6 +10,7 @@ from quillspark import schemas
 from quillspark.config import ConfigError, Lens, by_slug, lens_from
 from quillspark.functions import text as X
 from quillspark.operators import audit, claims, classify, discover, fetch, layout, ledger, notes, retract, truth
+from quillspark.plans import registry
 from quillspark.sources import files, query
 from quillspark.streaming import ingest
 
@@ -223,6 +224,24 @@ def test_ladder_does_not_cross_gutters(spark):
     assert got == {1: (3, 4), 3: (1, 3)}
 
 
+def test_ladder_tries_whole_quotes_down_to_three_words(spark, tmp_path):
+    words = [f"w{i}" for i in range(40)]
+    quotes = [(1, " ".join(words)), (2, "just five words are here"), (3, "a b a b c"), (4, "two words")]
+    docs = [(1, " ".join(words[:12]) + "\nx " + " ".join(words) + " y"), (2, " ".join(words[5:35])), (3, "There are five words are here\nnothing"), (4, "a b a b a b c two words"), (5, "x " + " ".join(words[7:10]))]
+    spark.createDataFrame(quotes, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = set()
+    for i, quote in quotes:
+        q = quote.lower().split()
+        for d, text in docs:
+            runs = ((n, s) for n in range(len(q), 2, -1) for s in range(len(q) - n + 1))
+            hits = ((i, d, k + 1, n) for n, s in runs for k, line in enumerate(text.lower().split("\n")) if f" {' '.join(q[s : s + n])} " in f" {line} ")
+            want |= set([*hits][:1])
+    assert {tuple(r) for r in registry.QUERIES["shortening_ladder_whole"](spark, str(tmp_path)).select("quote_id", "doc", "line", "n").collect()} == want
+    assert (1, 1, 2, 40) in want and (1, 5, 1, 3) in want and (2, 3, 1, 4) in want
+    assert claims.ladder(spark.createDataFrame(quotes, "quote_id long, quote string"), spark.createDataFrame(docs, "doc long, text string")).where("n = 40").count() == 1
+
+
 def test_heads_merge_and_arbitration(spark):
     texts = ["---\ntags: [paper]\ntitle: A\nmethods: [gp]\n---\nbody --- more", "---\ntitle: a: b: c\n---\nx", "---\nopen", "plain"]
     n = notes.parse_heads(spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "stem string, text string"))
