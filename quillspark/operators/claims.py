@@ -63,24 +63,33 @@ def pairs(notes: DataFrame, documents: DataFrame, most: int = MAX_PAIRS, heading
     return each.select((F.row_number().over(order) - 1).alias("ordinal"), F.col("stem").alias("note"), "line", "claim", "bibcode")
 
 
+def _next_free(cited: DataFrame, by: list[str], keys: DataFrame) -> DataFrame:
+    """`by`, i and free: for each ring place i that a group cites, the next place around the ring that it doesn't (null: none)."""
+    of = Window.partitionBy(*by)
+    rows = cited.select(*by, "i").distinct().withColumn("run", F.col("i") - F.row_number().over(of.orderBy("i")) + 1)
+    rows = rows.withColumn("stop", F.max("i").over(Window.partitionBy(*by, "run")) + 1)
+    first = F.coalesce(F.max(F.when(F.col("run") == 0, F.col("stop"))).over(of), F.lit(0))  # run 0 begins at place 0
+    rows = rows.withColumn("first", first).withColumn("held", F.count(F.lit(1)).over(of)).join(F.broadcast(keys))
+    free = F.when(F.col("held") < F.col("n"), F.when(F.col("stop") < F.col("n"), F.col("stop")).otherwise(F.col("first")))
+    return rows.select(*by, "i", free.alias("free"))
+
+
 def seed(real: DataFrame) -> DataFrame:
     """ordinal, note, line, claim, bibcode (another one, never cited with the claim) and tier.
 
     All keys of the selection stand in a ring; from a pair's own key on, the first that its note never cites is
-    taken (tier 0), else the first that its line doesn't cite (tier 1). A pair without either is left out. The
-    selection is bounded, so the ring is too.
+    taken (tier 0), else the first that its line doesn't cite (tier 1). A pair without either is left out. Runs of
+    cited places are skipped at once, so no pair meets the whole ring; only the distinct keys are numbered in one task.
     """
-    keys = real.select("bibcode").distinct()
-    ring = keys.select(F.col("bibcode").alias("other"), (F.row_number().over(Window.orderBy("bibcode")) - 1).alias("i"))
+    keys = real.select("bibcode").where("bibcode is not null").distinct()
+    ring = keys.select("bibcode", (F.row_number().over(Window.orderBy("bibcode")) - 1).alias("i"))
     size = keys.agg(F.count(F.lit(1)).alias("n"))
-    by_note = real.groupBy("note").agg(F.collect_set("bibcode").alias("in_note"))
-    by_line = real.groupBy("note", "line").agg(F.collect_set("bibcode").alias("in_line"))
-    own = real.join(ring.select(F.col("other").alias("bibcode"), F.col("i").alias("own")), "bibcode").join(by_note, "note").join(by_line, ["note", "line"])
-    met = own.join(F.broadcast(size)).join(F.broadcast(ring), F.col("other") != F.col("bibcode")).where(~F.array_contains("in_line", F.col("other")))
-    tier = F.when(F.array_contains("in_note", F.col("other")), 1).otherwise(0)
-    met = met.withColumn("tier", tier).withColumn("distance", F.pmod(F.col("i") - F.col("own"), F.col("n")))
-    best = met.groupBy("ordinal", "note", "line", "claim", "bibcode").agg(F.min(F.struct("tier", "distance", "other")).alias("b"))
-    return best.select("ordinal", "note", "line", "claim", F.col("b.other").alias("bibcode"), F.col("b.tier").alias("tier"))
+    own = real.join(ring, "bibcode")
+    by_note = _next_free(own, ["note"], size).withColumnRenamed("free", "in_ring")
+    by_line = _next_free(own, ["note", "line"], size).withColumnRenamed("free", "in_note")
+    met = own.join(by_note, ["note", "i"]).join(by_line, ["note", "line", "i"])
+    met = met.select("ordinal", "note", "line", "claim", F.coalesce("in_ring", "in_note").alias("i"), F.when(F.col("in_ring").isNull(), 1).otherwise(0).alias("tier"))
+    return met.join(ring, "i").select("ordinal", "note", "line", "claim", "bibcode", "tier")
 
 
 def shuffle_key(id_: Column, claim: Column) -> Column:

@@ -224,6 +224,30 @@ def test_ladder_does_not_cross_gutters(spark):
     assert got == {1: (3, 4), 3: (1, 3)}
 
 
+def next_keys(rows):
+    """Each pair's key from the ring and its tier, tried key by key. rows: ordinal, note, line, bibcode."""
+    ring, out = sorted({r[3] for r in rows}), set()
+    for o, note, line, key in rows:
+        after = ring[ring.index(key) + 1 :] + ring[: ring.index(key)]
+        in_note, in_line = {r[3] for r in rows if r[1] == note}, {r[3] for r in rows if r[1:3] == (note, line)}
+        found = [(k, 0) for k in after if k not in in_note] + [(k, 1) for k in after if k not in in_line]
+        out |= {(o, *x) for x in found[:1]}
+    return out
+
+
+def test_ring_takes_all_pairs(spark, tmp_path):
+    spark.createDataFrame([(i, f"claim {i}") for i in range(120)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {tuple(r) for r in registry.QUERIES["ring_rotation"](spark, str(tmp_path)).select("item_id", "bibcode", "tier").collect()}
+    assert len(got) == 120 and got == next_keys([(i, str(i // 7), i // 3, str(i)) for i in range(120)])
+    import random
+
+    for seed in range(4):
+        draw = random.Random(seed)
+        rows = [(o, draw.choice("AB"), draw.randrange(3), f"k{draw.randrange(6)}") for o in range(4 + 8 * seed)]
+        real = spark.createDataFrame([(*r[:3], "claim", r[3]) for r in rows], "ordinal int, note string, line int, claim string, bibcode string")
+        assert {tuple(r) for r in claims.seed(real).select("ordinal", "bibcode", "tier").collect()} == next_keys(rows)
+
+
 def test_ladder_tries_whole_quotes_down_to_three_words(spark, tmp_path):
     words = [f"w{i}" for i in range(40)]
     quotes = [(1, " ".join(words)), (2, "just five words are here"), (3, "a b a b c"), (4, "two words")]
