@@ -6,7 +6,7 @@ unit and the dart's number. A text keeps the darts whose rank is under t / weigh
 whatever its length; each dart falls into one of k coordinates, and the one of lowest rank in a coordinate is
 the signature there. Two texts agree in a coordinate with the probability of their weighted Jaccard similarity.
 
-Equal texts (as words) are first gathered under their smallest doc_id, so copies cost one row each. The
+Equal texts (as words) are first gathered under a hash of their words, so copies cost one row each. The
 representatives meet in bands of a few coordinates. In each bucket every text is compared with the smallest,
 exactly, by its shingles; what is alike is linked. Texts of one bucket that are still in different classes after
 that are compared with each other: small buckets by a join, larger ones in blocks of bounded size, so no link
@@ -14,8 +14,9 @@ between classes that the bands show is lost, no pairs of a group become rows and
 are the connected components of the links, found by alternating star contractions with joins.
 
 Defined cases: words are as in `tokens.PLAIN`, with A-Z lower-cased. Texts of fewer than five words, but not
-none, are one shingle. Null texts and texts without words are alike to nothing, each its own class. Rows
-that share a doc_id are one document. Null doc_ids count as one largest id. Empty tables give no rows.
+none, are one shingle. Null texts and texts without words are alike to nothing, each its own class. Different
+texts that share a doc_id are compared each for itself; doc_id only ranks which one stays, and equal rows stay or
+go together. Null doc_ids count as one largest id. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.llm import tokens
 from quillspark.llm.shared import ordered_id, staged
@@ -129,18 +131,20 @@ def signed_texts(documents: DataFrame, bands: int = BANDS, band: int = BAND) ->
 
 
 def elements_of(documents: DataFrame) -> DataFrame:
-    """id and elements (weighted shingles as a set of longs) of each row that has words."""
+    """id (here a hash of the words) and elements (weighted shingles as a set of longs) of each row that has words."""
 
     def step(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            ids = batch.column("id")
-            for i, b in tokens.batches(batch.column("text"), _STEP):
+            for _, b in tokens.batches(batch.column("text"), _STEP):
                 starts, ends, first = b.words(tokens.PLAIN)
-                _, elements, weight = weighted(b.hashes(starts, ends, fold=True), first)
+                words = b.hashes(starts, ends, fold=True)
+                _, elements, weight = weighted(words, first)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(weight))), pa.int32()), pa.array(tokens.signed(elements)))
-                yield pa.RecordBatch.from_arrays([ids.slice(i, b.n), lists], ["id", "elements"])
+                keys = [pa.array(tokens.signed(np.ascontiguousarray(k))) for k in _text_keys(words, first).T]
+                yield pa.RecordBatch.from_arrays([*keys, lists], ["key_a", "key_b", "elements"])
 
-    return documents.mapInArrow(step, "id long, elements array<long>")
+    rows = documents.mapInArrow(step, "key_a long, key_b long, elements array<long>")
+    return rows.select(F.xxhash64("key_a", "key_b").alias("id"), "elements")
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -282,24 +286,52 @@ def links_in(buckets: DataFrame, elements: DataFrame, least: float) -> DataFrame
     return links if large.isEmpty() else links.unionByName(cloud_links(large, elements, least))
 
 
-def classes(documents: DataFrame, least: float = SIMILARITY, bands: int = BANDS, band: int = BAND) -> DataFrame:
-    """id and class_id of every row; class_id is the smallest doc_id among the documents it is linked to."""
+def _classed(documents: DataFrame, least: float, bands: int, band: int) -> DataFrame:
+    """id, class_id, stays, key_a and key_b of every row."""
     signed = staged(signed_texts(documents, bands, band), "signed")
-    texts = staged(signed.where("size > 0").groupBy("key_a", "key_b").agg(F.min("id").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands")), "texts")
+    texts = signed.where("size > 0").groupBy("key_a", "key_b").agg(F.min("id").alias("low"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    texts = staged(texts.withColumn("id", F.xxhash64("key_a", "key_b")), "texts")
     rows = texts.select("id", "size", F.posexplode("bands").alias("band", "hash"))
     met = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "hash")
     buckets = staged(rows.join(met, ["band", "hash"]).select("band", "hash", "id", "size"), "buckets")
     wanted = buckets.select("id").distinct()
+    holders = texts.join(wanted, "id", "left_semi").select(F.col("low").alias("id")).distinct()
     source = documents.select(ordered_id().alias("id"), F.col("text").cast("string").alias("text"))
-    # rows that share an id are one document; the largest text of them stands for it here
-    elements = staged(elements_of(source.join(wanted, "id", "left_semi")).groupBy("id").agg(F.max_by("elements", F.size("elements")).alias("elements")), "elements")
+    elements = elements_of(source.join(holders, "id", "left_semi")).join(wanted, "id", "left_semi")
+    elements = staged(elements.groupBy("id").agg(F.first("elements").alias("elements")), "elements")
     class_of = components(links_in(buckets, elements, least))
-    classed = texts.select("key_a", "key_b", "id").join(class_of, "id", "left").select("key_a", "key_b", F.coalesce("class_id", "id").alias("class_id"))
+    linked = texts.select("key_a", "key_b", "id", "low").join(class_of, "id", "left").withColumn("class", F.coalesce("class_id", "id")).drop("class_id")
+    best = linked.groupBy("class").agg(F.min(F.struct("low", "id")).alias("best"))
+    classed = linked.join(best, "class").select("key_a", "key_b", F.col("best.low").alias("class_id"), (F.col("id") == F.col("best.id")).alias("first"))
     out = signed.select("id", "key_a", "key_b", "size").join(classed, ["key_a", "key_b"], "left")
-    return out.select("id", F.when(F.col("size") > 0, F.coalesce("class_id", "id")).otherwise(F.col("id")).alias("class_id"))
+    own = (F.col("size") == 0) | F.col("class_id").isNull()
+    class_id = F.when(own, F.col("id")).otherwise(F.col("class_id"))
+    return out.select("id", class_id.alias("class_id"), (own | (F.col("first") & (F.col("id") == F.col("class_id")))).alias("stays"), "key_a", "key_b")
+
+
+def classes(documents: DataFrame, least: float = SIMILARITY, bands: int = BANDS, band: int = BAND) -> DataFrame:
+    """id, class_id and stays of every row; class_id is the smallest doc_id among the documents it is linked to."""
+    return _classed(documents, least, bands, band).select("id", "class_id", "stays")
+
+
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def _keys(text: pa.Array) -> pa.Array:
+    found = [np.zeros((0, 2), _U)]
+    for _, b in tokens.batches(text, _STEP):
+        starts, ends, first = b.words(tokens.PLAIN)
+        found.append(_text_keys(b.hashes(starts, ends, fold=True), first))
+    return pa.array(tokens.signed(np.concatenate(found)).tolist(), pa.list_(pa.int64()))
 
 
-def filtered(documents: DataFrame, **options) -> DataFrame:
+def filtered(documents: DataFrame, least: float = SIMILARITY, bands: int = BANDS, band: int = BAND) -> DataFrame:
     """documents, all columns, with one document of each class: the one of the smallest id."""
-    stay = classes(documents, **options).where("id = class_id").select(F.col("id").alias("__q_id")).distinct()
-    return documents.withColumn("__q_id", ordered_id()).join(stay, "__q_id", "left_semi").drop("__q_id")
+    rows = staged(_classed(documents, least, bands, band), "classed")
+    ids = rows.groupBy(F.col("id").alias("__q_id")).agg(F.bool_and("stays").alias("all"), F.bool_or("stays").alias("some"))
+    named = documents.withColumn("__q_id", ordered_id())
+    out = named.join(ids.where("all").select("__q_id"), "__q_id", "left_semi").drop("__q_id")
+    mixed = staged(ids.where("some and not all").select("__q_id"), "mixed")
+    if mixed.isEmpty():
+        return out
+    kept = rows.where("stays").select(F.col("id").alias("__q_id"), F.array("key_a", "key_b").alias("__q_keys")).distinct()
+    some = named.join(mixed, "__q_id", "left_semi").withColumn("__q_keys", _keys(F.col("text").cast("string")))
+    return out.unionByName(some.join(kept, ["__q_id", "__q_keys"], "left_semi").drop("__q_id", "__q_keys"))

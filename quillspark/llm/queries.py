@@ -139,8 +139,7 @@ FROM p
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near copies, and whether it is the one that stays."""
     out = near.classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    stays = F.col("id") == F.col("class_id")
-    return out.select(substring.original_id("id").alias("doc_id"), substring.original_id("class_id").alias("class_id"), stays.alias("stays"))
+    return out.select(substring.original_id("id").alias("doc_id"), substring.original_id("class_id").alias("class_id"), "stays")
 
 
 @_query

@@ -176,6 +176,17 @@ def test_near_empty_and_nulls(spark):
     assert got == [(5, 5), (6, 6), (7, 7), (near.ordered_id.__globals__["LAST_ID"], 5)]
 
 
+def test_near_texts_that_share_an_id(spark):
+    copied, alone, twice = prose(31, 90), prose(32, 60), prose(33, 80)
+    rows = [(1, copied), (None, copied + " end"), (None, alone), (2, twice), (None, twice + " end"), (None, "")]
+    rows += [(None, prose(34, 70)), (None, prose(34, 70) + " end")]  # alike, and neither has an id: one of them stays
+    kept = [r.text for r in near.filtered(table(spark, rows)).collect()]
+    assert sorted(x for x in kept if not x.startswith(prose(34, 70))) == sorted([copied, alone, twice, ""]) and len(kept) == 5
+    last = near.ordered_id.__globals__["LAST_ID"]
+    got = sorted((r.class_id, r.stays) for r in near.classes(table(spark, rows)).collect() if r.id == last)
+    assert got == [(1, False), (2, False), (last, False), (last, True), (last, True), (last, True)]
+
+
 def test_signatures_estimate_weighted_similarity():
     a = prose(1, 400).split()
     b = a[:300] + prose(2, 100).split()
