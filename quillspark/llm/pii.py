@@ -4,7 +4,8 @@ Base spans are fixed patterns with checks. Around them, wider patterns and faile
 four labelers vote on each (its form, a gazetteer of providers and prefixes, words just before it, the kind's own
 check). Expectation-maximisation over the counts of vote patterns estimates each labeler's reliability without
 any truth, and the posteriors train a logistic span classifier; candidates that it is sure of are added, where
-they don't cross a base span. Texts are read once; the rest works on a table of candidates.
+they don't cross a base span. Failed base matches only serve to train it: what fails its kind's check is never
+added, so kinds without a wider pattern (cards) get no added spans. Texts are read once; the rest works on a table of candidates.
 
 Positions come from pieces between matches: a match starts after all pieces and matches before it. Running sums
 are taken in blocks, so a text of many matches costs little more than their number.
