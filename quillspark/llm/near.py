@@ -9,9 +9,10 @@ the signature there. Two texts agree in a coordinate with the probability of the
 Equal texts (as words) are first gathered under a hash of their words, so copies cost one row each. The
 representatives meet in bands of a few coordinates. In each bucket every text is compared with the smallest,
 exactly, by its shingles; what is alike is linked. Texts of one bucket that are still in different classes after
-that are compared with each other: small buckets by a join, larger ones in blocks of bounded size, so no link
-between classes that the bands show is lost, no pairs of a group become rows and no task holds a group. Classes
-are the connected components of the links, found by alternating star contractions with joins.
+that are compared with each other in blocks of bounded size by their parity bitmaps: the bits in which two differ
+bound the similarity from above, so only pairs that may be alike become rows and are verified. No link between
+classes that the bands show is lost, and no task holds a bucket. Classes are the connected components of the
+links, found by alternating star contractions with joins.
 
 Defined cases: words are as in `tokens.PLAIN`, with A-Z lower-cased. Texts of fewer than five words, but not
 none, are one shingle. Null texts and texts without words are alike to nothing, each its own class. Different
@@ -30,14 +31,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.llm import tokens
-from quillspark.llm.shared import ordered_id, staged
+from quillspark.llm.shared import ordered_id, staged, unstaged
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: 24 bands of 5: a pair at the similarity 0.8 is missed with the probability 0.00007.
 BANDS, BAND = 24, 5
-#: Texts of a bucket whose pairs are joined; texts and elements of a block, about, of larger ones.
-SMALL, BLOCK_TEXTS, BLOCK_ELEMENTS = 16, 256, 1 << 20
-_COLUMNS = 4096
+#: Bits of a parity bitmap for each element, about; log2 of the bits of a Bloom filter at most (16 MB).
+BITS, MOST_BITS = 4, 27
+#: Texts of a block; rows that numpy compares with a block at a time; pairs of one text that are joined in one group.
+BLOCK, ROWS, PART = 1024, 256, 256
+#: Parts of a bucket when its texts are joined with its smallest.
+SPREAD = 8
 _U = np.uint64
 _STEP = 1 << 19
 
@@ -130,21 +134,56 @@ def signed_texts(documents: DataFrame, bands: int = BANDS, band: int = BAND) ->
     return rows.mapInArrow(step, "id long, key_a long, key_b long, size long, bands array<long>")
 
 
-def elements_of(documents: DataFrame) -> DataFrame:
-    """id (here a hash of the words) and elements (weighted shingles as a set of longs) of each row that has words."""
+def parities(elements: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each text a bitmap: bit i tells whether an odd number of its elements fall to i. Words, flat, and how many each.
+
+    The width follows the number of elements, and is a power of two, so that a wider bitmap folds to a narrower one.
+    """
+    words = (1 << np.ceil(np.log2(np.maximum(1, weight * BITS / 64))).astype(np.int64)) * (weight > 0)
+    start = np.cumsum(words) - words
+    at = np.repeat(start * 64, weight) + (elements & np.repeat((words * 64 - 1).astype(_U), weight)).astype(np.int64)
+    odd = (np.bincount(at, minlength=int(words.sum()) * 64) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(_U), words
+
+
+def _holding(ids: DataFrame) -> tuple[int, np.ndarray]:
+    """A Bloom filter of ids (id): log2 of its bits, and its words. Its size is bounded; a full one lets everything through."""
+    n = ids.count()
+    bits = min(MOST_BITS, max(16, (16 * n).bit_length()))
+    places = ids.select(F.explode(F.array(*[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1 << bits)) for k in range(2)])).alias("place"))
+    words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(1 << bits - 6, np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return bits, out.view(_U)
+
+
+def elements_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """id (a hash of the words), elements (weighted shingles as a set of longs) and parity bitmap of the texts wanted (id, low).
+
+    low is the doc_id of a row that holds the text. Texts don't move: a Bloom filter of these doc_ids, of bounded
+    size, keeps most others from being read again, and what it lets through too much is dropped by a join of ids.
+    """
+    bits, words = _holding(wanted.select(F.col("low").alias("id")))
+    held = documents.sparkSession.sparkContext.broadcast(words)
 
     def step(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            for _, b in tokens.batches(batch.column("text"), _STEP):
+            places = [batch.column(f"place_{k}").to_numpy() for k in range(2)]
+            here = np.logical_and.reduce([(held.value[p >> 6] >> (p & 63).astype(_U)) & _U(1) == 1 for p in places])
+            for _, b in tokens.batches(batch.column("text").filter(pa.array(here)), _STEP):
                 starts, ends, first = b.words(tokens.PLAIN)
                 words = b.hashes(starts, ends, fold=True)
                 _, elements, weight = weighted(words, first)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(weight))), pa.int32()), pa.array(tokens.signed(elements)))
+                marks, width = parities(elements, weight)
+                lists = [pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(tokens.signed(x))) for n, x in ((weight, elements), (width, marks))]
                 keys = [pa.array(tokens.signed(np.ascontiguousarray(k))) for k in _text_keys(words, first).T]
-                yield pa.RecordBatch.from_arrays([*keys, lists], ["key_a", "key_b", "elements"])
+                yield pa.RecordBatch.from_arrays([*keys, *lists], ["key_a", "key_b", "elements", "marks"])
 
-    rows = documents.mapInArrow(step, "key_a long, key_b long, elements array<long>")
-    return rows.select(F.xxhash64("key_a", "key_b").alias("id"), "elements")
+    places = [F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1 << bits)).alias(f"place_{k}") for k in range(2)]
+    rows = documents.select(ordered_id().alias("id"), F.col("text").cast("string").alias("text")).select("text", *places)
+    found = rows.mapInArrow(step, "key_a long, key_b long, elements array<long>, marks array<long>")
+    found = found.select(F.xxhash64("key_a", "key_b").alias("id"), "elements", "marks").join(wanted.select("id"), "id", "left_semi")
+    return found.groupBy("id").agg(F.first("elements").alias("elements"), F.first("marks").alias("marks"))
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -153,10 +192,34 @@ def similarity(a: Column, b: Column) -> Column:
     return both / (F.size(a) + F.size(b) - both)
 
 
+def _folded(marks: Column, words: Column) -> Column:
+    part = lambda k: F.slice(marks, (k * words + 1).cast("int"), words)
+    xor = lambda x, y: x.bitwiseXOR(y)
+    more = F.sequence(F.lit(1), (F.size(marks) / words).cast("int") - 1)
+    return F.when(F.size(marks) == words, marks).otherwise(F.aggregate(more, part(F.lit(0)), lambda done, k: F.zip_with(done, part(k), xor)))
+
+
+def may_be(x: str, y: str, least: float) -> Column:
+    """False where two texts (columns or structs with size and marks) are surely less similar.
+
+    Bits in which two parity bitmaps differ are at most as many as the elements that only one of the sets has.
+    """
+    a, b = F.col(f"{x}size"), F.col(f"{y}size")
+    words = F.least(F.size(f"{x}marks"), F.size(f"{y}marks"))
+    bits = F.zip_with(_folded(F.col(f"{x}marks"), words), _folded(F.col(f"{y}marks"), words), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    apart = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+    alike = F.least(a, b) >= F.lit(least) * F.greatest(a, b)
+    return F.when(alike, (a + b - apart) / (a + b + apart) >= least).otherwise(False)
+
+
 def verified(pairs: DataFrame, elements: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose texts are at least so similar. AQE splits the side of a text that is in many pairs."""
+    """The pairs (a, b) whose texts are at least so similar. A text a that is in many pairs is dealt out in parts."""
     left, right = (elements.select(F.col("id").alias(x), F.col("elements").alias(f"{x}_elements")) for x in "ab")
-    return pairs.join(right, "b").join(left, "a").where(similarity(F.col("a_elements"), F.col("b_elements")) >= least).select("a", "b")
+    degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"))
+    dealt = pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"))
+    parts = left.join(degree, "a").select("a", "a_elements", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    both = dealt.join(right, "b").join(parts, ["a", "part"])
+    return both.where(similarity(F.col("a_elements"), F.col("b_elements")) >= least).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -174,7 +237,8 @@ def components(links: DataFrame) -> DataFrame:
         # small star: u and its smaller neighbours go to the smallest of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = staged(small.where("u <> v").distinct(), "links")
+        last, edges = edges, staged(small.where("u <> v").distinct(), "links")
+        unstaged(last)
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")), F.sum(F.col("v") % 1000003)).first())
         if now == state:
             break
@@ -182,124 +246,163 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("class_id"))
 
 
-def _alike(x: str, y: str, least: float) -> Column:
-    """Whether two sizes allow the similarity."""
-    return F.least(x, y) >= F.lit(least) * F.greatest(x, y)
-
-
 def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _relabelled(labelled: DataFrame, found: DataFrame) -> DataFrame:
-    """labelled (id, class_id) after links (a, b): the smallest label that a text or what its label stands for is linked to.
+def labels_of(texts: DataFrame, links: DataFrame) -> DataFrame:
+    """id and class_id of all texts (id): the smallest text that links lead to."""
+    return texts.select("id").join(components(links), "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id"))
 
-    Texts of one label are connected, but connected texts may still have several; components() is exact.
-    """
-    ends = found.unionByName(found.select(F.col("a").alias("b"), F.col("b").alias("a")))
-    met = ends.join(labelled.select(F.col("id").alias("a"), F.col("class_id").alias("to")), "a").groupBy(F.col("b").alias("id")).agg(F.min("to").alias("to"))
-    hop = labelled.join(met, "id", "left").select("id", F.least("class_id", F.coalesce("to", "class_id")).alias("class_id"))
-    root = hop.select(F.col("id").alias("class_id"), F.col("class_id").alias("root"))
-    return hop.join(root, "class_id", "left").select("id", F.least("class_id", F.coalesce("root", "class_id")).alias("class_id"))
-
-
-def _block_links(least: float):
-    """Compares all texts of two blocks (or of one) and returns links that connect what is alike: a forest, not all pairs."""
-
-    def compare(table: pa.Table) -> pa.Table:
-        ids, side = table.column("id").to_numpy(), table.column("side").to_numpy()
-        lists = table.column("elements").combine_chunks()
-        count = np.diff(lists.offsets.to_numpy())
-        owner = np.repeat(np.arange(len(ids)), count)
-        _, which, held = np.unique(lists.values.to_numpy(), return_inverse=True, return_counts=True)
-        shared = held[which] > 1
-        order = np.argsort(which[shared], kind="stable")
-        column, owner = which[shared][order], owner[shared][order]
-        column = np.cumsum(np.concatenate(([False], column[1:] != column[:-1]))) if len(column) else column
-        both = np.zeros((len(ids), len(ids)), np.float32)
-        for a in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
-            lo, hi = np.searchsorted(column, (a, a + _COLUMNS))
-            part = np.zeros((len(ids), _COLUMNS), np.float32)
-            part[owner[lo:hi], column[lo:hi] - a] = 1
-            both += part @ part.T
-        both = both.astype(float)  # counts are exact in either type; the ratio is taken as the join takes it
-        alike = both / (count[:, None] + count[None, :] - both) >= least
-        if side.max() > side.min():
-            alike &= side[:, None] != side[None, :]
-        root = np.arange(len(ids))
-
-        def top(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        links = []
-        for x, y in np.argwhere(np.triu(alike, 1)).tolist():
-            x, y = top(x), top(y)
-            if x != y:
-                root[y] = x
-                links.append((int(ids[x]), int(ids[y])))
-        return pa.table({"a": pa.array([min(x) for x in links], pa.int64()), "b": pa.array([max(x) for x in links], pa.int64())})
-
-    return compare
-
-
-def cloud_links(large: DataFrame, elements: DataFrame, least: float) -> DataFrame:
-    """Links among the texts of large buckets (band, hash, id), block against block.
-
-    Buckets that overlap form a cloud. A cloud's texts fall by hash into blocks of a bounded number of texts and of
-    elements; every two blocks meet in a group of their own, so no task holds a cloud and no pair becomes a row.
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """In how many bits each row of a differs from each row of b."""
+    out = np.zeros((len(a), len(b)), np.int32)
+    for k in range(a.shape[1]):
+        out += np.bitwise_count(a[:, k][:, None] ^ b[:, k][None, :])
+    return out
+
+
+def _group_pairs(group: dict[str, np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one group that are of different labels and, where it has two sides, sides, and that may be alike."""
+    size, label, side, width, start, flat = (group[n] for n in ("size", "class_id", "side", "width", "start", "flat"))
+    two = side.max() > side.min()
+    left, right = [], []
+    for w in np.unique(width):
+        own = np.flatnonzero(width == w)
+        if not len(own):
+            continue
+        others = [(v, np.flatnonzero(width == v)) for v in np.unique(width[width >= w])]
+        a = flat[start[own][:, None] + np.arange(w)]
+        for v, other in others:
+            if size[own].max() < least * size[other].min() or size[other].max() < least * size[own].min():
+                continue
+            b = np.bitwise_xor.reduce(flat[start[other][:, None] + np.arange(v)].reshape(len(other), v // w, w), axis=1)
+            for i in range(0, len(own), ROWS):
+                x = own[i : i + ROWS]
+                total = size[x][:, None] + size[other][None, :]
+                smaller, larger = np.minimum(size[x][:, None], size[other][None, :]), np.maximum(size[x][:, None], size[other][None, :])
+                ok = (label[x][:, None] != label[other][None, :]) & (smaller >= least * larger)
+                if two:
+                    ok &= side[x][:, None] != side[other][None, :]
+                if not ok.any():
+                    continue
+                apart = _apart(a[i : i + ROWS], b)
+                ok &= (total - apart) / (total + apart) >= least
+                if v == w:
+                    ok &= x[:, None] < other[None, :]
+                p, q = np.nonzero(ok)
+                left.append(x[p])
+                right.append(other[q])
+    none = np.zeros(0, np.int64)
+    return np.concatenate(left or [none]), np.concatenate(right or [none])
+
+
+def _compared(least: float):
+    """Reads rows sorted by group (band, hash, one, two) and yields pairs (a, b); a batch's last group waits for the next."""
+
+    def step(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def pairs(table: pa.Table) -> pa.RecordBatch:
+            table = table.combine_chunks()
+            columns = {n: table.column(n).to_numpy() for n in ("id", "size", "class_id", "side")}
+            lists = table.column("marks").combine_chunks()
+            off = lists.offsets.to_numpy()
+            columns |= {"width": np.diff(off), "start": off[:-1].astype(np.int64)}
+            flat = lists.values.to_numpy().view(_U)
+            cuts = np.append(np.flatnonzero(_new(table)), table.num_rows)
+            a, b = [], []
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                x, y = _group_pairs({n: v[i:j] for n, v in columns.items()} | {"flat": flat}, least)
+                a.append(columns["id"][i:j][x])
+                b.append(columns["id"][i:j][y])
+            a, b = np.concatenate(a), np.concatenate(b)
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+        for batch in it:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            if not held.num_rows:
+                continue
+            last = int(np.flatnonzero(_new(held))[-1])
+            if last:
+                yield pairs(held.slice(0, last))
+                held = held.slice(last)
+        if held is not None and held.num_rows:
+            yield pairs(held)
+
+    return step
+
+
+def _new(table: pa.Table) -> np.ndarray:
+    out = np.zeros(table.num_rows, bool)
+    out[0] = True
+    for n in ("band", "hash", "one", "two"):
+        x = table.column(n).to_numpy()
+        out[1:] |= x[1:] != x[:-1]
+    return out
+
+
+def candidates(held: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of texts of different labels in one bucket (band, hash, id, size, marks, class_id) that may be alike.
+
+    A bucket's texts fall by hash into blocks of a bounded number, and every two blocks meet in a group of their
+    own: no task holds a bucket, and only pairs that their bitmaps don't rule out become rows.
     """
-    lead = large.groupBy("band", "hash").agg(F.min("id").alias("lead"))
-    cloud = components(large.join(lead, ["band", "hash"]).select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct())
-    roots = cloud.select(F.col("class_id").alias("id"), "class_id").distinct()
-    cloud = staged(cloud.unionByName(roots).distinct().withColumnRenamed("class_id", "cloud").join(elements, "id"), "cloud")
-    blocks = cloud.groupBy("cloud").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_TEXTS), F.ceil(F.sum(F.size("elements").cast("long")) / BLOCK_ELEMENTS)).alias("blocks"))
-    placed = cloud.join(blocks, "cloud").withColumn("own", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")))
-    rows = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    rows = rows.select("cloud", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "id", F.col("own").alias("side"), "elements")
-    return rows.groupBy("cloud", "one", "two").applyInArrow(_block_links(least), "a long, b long")
+    several = held.groupBy("band", "hash").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).where("low < high")
+    rows = held.join(several.select("band", "hash", "blocks"), ["band", "hash"])
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select("band", "hash", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "id", "size", "class_id", F.col("own").alias("side"), "marks")
+    group = ["band", "hash", "one", "two"]
+    return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(_compared(least), "a long, b long").distinct()
 
 
 def links_in(buckets: DataFrame, elements: DataFrame, least: float) -> DataFrame:
-    """Links (a, b) that connect whatever the buckets (band, hash, id, size) connect.
+    """Links (a, b) that connect whatever the buckets (band, hash, id, lead) connect.
 
-    First every bucket compares its texts with its smallest id, and labels spread along the links found. Buckets
-    whose texts then have different labels are done in full: of small ones, all pairs of different labels; of
-    larger ones, block by block.
+    First every text is compared with the smallest of its bucket. Texts of one bucket that are then in different
+    classes are compared with each other, block by block; of each two classes the pair whose texts are smallest is
+    verified first, and what is still in different classes after that is verified in full.
     """
-    lead = buckets.groupBy("band", "hash").agg(F.min(F.struct("id", "size")).alias("lead"))
-    met = buckets.join(lead, ["band", "hash"]).where("id <> lead.id").where(_alike("size", "lead.size", least))
-    pairs = staged(met.select(*_pair("id", "lead.id")).distinct(), "pairs")
+    sets = staged(elements.select("id", F.size("elements").alias("size"), "marks"), "marks")
+    lead = sets.select(F.struct(F.col("id"), "size", "marks").alias("l"))
+    pairs = buckets.where("id <> lead").select(*_pair("id", "lead")).distinct()
+    near = pairs.join(sets.select(F.col("id").alias("b"), F.struct("size", "marks").alias("y")), "b").join(lead.select(F.col("l.id").alias("a"), F.struct("l.size", "l.marks").alias("x")), "a")
+    pairs = staged(near.where(may_be("x.", "y.", least)).select("a", "b"), "pairs")
     found = staged(verified(pairs, elements, least), "near")
-    labels = _relabelled(elements.select("id", F.col("id").alias("class_id")), found)
-    held = staged(buckets.join(labels, "id"), "labelled")
-    several = held.groupBy("band", "hash").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high")
-    open_ = staged(held.join(several.select("band", "hash", "n"), ["band", "hash"]), "open")
-    small = open_.where(F.col("n").between(3, SMALL))  # the two texts of a pair have met already
-    one, two = (small.select("band", "hash", F.col("id").alias(x), F.col("size").alias(f"{x}_size"), F.col("class_id").alias(f"{x}_class")) for x in "ab")
-    rest = one.join(two, ["band", "hash"]).where("a < b and a_class <> b_class").where(_alike("a_size", "b_size", least))
-    rest = rest.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    links = found.unionByName(verified(rest, elements, least))
-    large = open_.where(F.col("n") > SMALL)
-    return links if large.isEmpty() else links.unionByName(cloud_links(large, elements, least))
+    held = buckets.select("band", "hash", "id").join(labels_of(sets, found), "id").join(sets, "id")
+    rest = staged(candidates(held, least).join(pairs, ["a", "b"], "left_anti"), "candidates")
+    for last in (False, True):
+        if rest.isEmpty():
+            break
+        label = staged(labels_of(sets, found), "labels")
+        ends = rest.join(label.select(F.col("id").alias("a"), F.col("class_id").alias("x")), "a").join(label.select(F.col("id").alias("b"), F.col("class_id").alias("y")), "b").where("x <> y")
+        if not last:
+            ends = ends.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
+        tested = staged(ends.select("a", "b"), "tested")
+        found = staged(found.unionByName(verified(tested, elements, least)), "near")
+        rest = rest.join(tested, ["a", "b"], "left_anti")
+        unstaged(label)
+    unstaged(sets, pairs)
+    return found
 
 
 def _classed(documents: DataFrame, least: float, bands: int, band: int) -> DataFrame:
     """id, class_id, stays, key_a and key_b of every row."""
     signed = staged(signed_texts(documents, bands, band), "signed")
-    texts = signed.where("size > 0").groupBy("key_a", "key_b").agg(F.min("id").alias("low"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    texts = signed.where("size > 0").groupBy("key_a", "key_b").agg(F.min("id").alias("low"), F.first("bands").alias("bands"))
     texts = staged(texts.withColumn("id", F.xxhash64("key_a", "key_b")), "texts")
-    rows = texts.select("id", "size", F.posexplode("bands").alias("band", "hash"))
-    met = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band", "hash")
-    buckets = staged(rows.join(met, ["band", "hash"]).select("band", "hash", "id", "size"), "buckets")
-    wanted = buckets.select("id").distinct()
-    holders = texts.join(wanted, "id", "left_semi").select(F.col("low").alias("id")).distinct()
-    source = documents.select(ordered_id().alias("id"), F.col("text").cast("string").alias("text"))
-    elements = elements_of(source.join(holders, "id", "left_semi")).join(wanted, "id", "left_semi")
-    elements = staged(elements.groupBy("id").agg(F.first("elements").alias("elements")), "elements")
+    rows = texts.select("id", "low", F.posexplode("bands").alias("band", "hash"))
+    met = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lead")).where("n > 1").select("band", "hash", "lead")
+    # a bucket's rows are dealt over several parts, so that a hot one isn't joined in one task
+    spread = met.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    rows = rows.withColumn("part", F.pmod("id", F.lit(SPREAD)).cast("int"))
+    buckets = staged(rows.join(spread, ["band", "hash", "part"]).select("band", "hash", "id", "low", "lead"), "buckets")
+    wanted = staged(buckets.select("id", "low").distinct(), "wanted")
+    elements = staged(elements_of(documents, wanted), "elements")
     class_of = components(links_in(buckets, elements, least))
+    unstaged(buckets, wanted, elements)
     linked = texts.select("key_a", "key_b", "id", "low").join(class_of, "id", "left").withColumn("class", F.coalesce("class_id", "id")).drop("class_id")
     best = linked.groupBy("class").agg(F.min(F.struct("low", "id")).alias("best"))
     classed = linked.join(best, "class").select("key_a", "key_b", F.col("best.low").alias("class_id"), (F.col("id") == F.col("best.id")).alias("first"))

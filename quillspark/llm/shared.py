@@ -16,7 +16,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, else one of our own (local runs and tests only)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):  # local-cluster has several executors
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = spark.sparkContext.getCheckpointDir()
         if path is None:
@@ -33,7 +34,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillspark/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def unstaged(*tables: DataFrame) -> None:
+    """Delete what staged() wrote for these tables, once all that reads them has been written itself."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._staged_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ordered_id(column: str = "doc_id") -> Column:

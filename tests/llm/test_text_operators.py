@@ -163,7 +163,9 @@ def near_rows():
 
 def test_near_classes_like_brute_force(spark, monkeypatch):
     rows = near_rows()
-    monkeypatch.setattr(near, "BLOCK_TEXTS", 8)
+    monkeypatch.setattr(near, "BLOCK", 8)
+    monkeypatch.setattr(near, "ROWS", 3)
+    monkeypatch.setattr(near, "PART", 2)
     got = {r.id: r.class_id for r in near.classes(table(spark, rows)).collect()}
     assert got == near_classes(rows)
     kept = {r.doc_id for r in near.filtered(table(spark, rows)).collect()}
@@ -198,6 +200,20 @@ def test_signatures_estimate_weighted_similarity():
     assert abs((sig[0] == sig[1]).mean() - len(x & y) / len(x | y)) < 0.05
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 40), max_size=40), st.lists(st.integers(0, 40), max_size=40))
+def test_parity_bitmaps_never_rule_out_what_is_alike(x, y):
+    sets = [np.unique(tokens.mix(np.array(v, np.uint64))) for v in (x, y)]
+    if not all(map(len, sets)):
+        return
+    size = np.array([len(v) for v in sets])
+    flat, width = near.parities(np.concatenate(sets), size)
+    group = {"size": size, "class_id": np.array([1, 2]), "side": np.zeros(2, int), "width": width, "start": np.cumsum(width) - width, "flat": flat}
+    both = len(set(x) & set(y))
+    least = both / (len(set(x)) + len(set(y)) - both)
+    assert len(near._group_pairs(group, least)[0]) == 1
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 101)], "a long, b long")
     assert {r.id: r.class_id for r in near.components(links).collect()} == {i: 1 for i in range(2, 61)} | {101: 100}
