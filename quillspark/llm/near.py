@@ -10,8 +10,9 @@ Equal texts (as words) are first gathered under a hash of their words, so copies
 representatives meet in bands of a few coordinates. In each bucket every text is compared with the smallest,
 exactly, by its shingles; what is alike is linked. Texts of one bucket that are still in different classes after
 that are compared with each other in blocks of bounded size by their parity bitmaps: the bits in which two differ
-bound the similarity from above, so only pairs that may be alike become rows and are verified. No link between
-classes that the bands show is lost, and no task holds a bucket. Classes are the connected components of the
+bound the similarity from above, and texts that have a pair which may be alike are compared exactly, the likeliest
+pairs first. No link between classes that the bands show is lost, no pairs of a group become rows and no task
+holds a bucket. Classes are the connected components of the
 links, found by alternating star contractions with joins.
 
 Defined cases: words are as in `tokens.PLAIN`, with A-Z lower-cased. Texts of fewer than five words, but not
@@ -38,8 +39,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, BAND = 24, 5
 #: Bits of a parity bitmap for each element, about; log2 of the bits of a Bloom filter at most (16 MB).
 BITS, MOST_BITS = 4, 27
-#: Texts of a block; rows that numpy compares with a block at a time; pairs of one text that are joined in one group.
-BLOCK, ROWS, PART = 1024, 256, 256
+#: Texts and elements of a block, about; rows that numpy compares with a block at a time; pairs of one text that are joined in one group.
+BLOCK, BLOCK_ELEMENTS, ROWS, PART = 1024, 1 << 22, 256, 256
 #: Parts of a bucket when its texts are joined with its smallest.
 SPREAD = 8
 _U = np.uint64
@@ -173,7 +174,8 @@ def elements_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
             for _, b in tokens.batches(batch.column("text").filter(pa.array(here)), _STEP):
                 starts, ends, first = b.words(tokens.PLAIN)
                 words = b.hashes(starts, ends, fold=True)
-                _, elements, weight = weighted(words, first)
+                text, elements, weight = weighted(words, first)
+                elements = elements[np.lexsort((elements, text))]
                 marks, width = parities(elements, weight)
                 lists = [pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(tokens.signed(x))) for n, x in ((weight, elements), (width, marks))]
                 keys = [pa.array(tokens.signed(np.ascontiguousarray(k))) for k in _text_keys(words, first).T]
@@ -263,62 +265,107 @@ def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _group_pairs(group: dict[str, np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one group that are of different labels and, where it has two sides, sides, and that may be alike."""
-    size, label, side, width, start, flat = (group[n] for n in ("size", "class_id", "side", "width", "start", "flat"))
+def _may_be(group: dict[str, np.ndarray], least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs of one group, of different labels and sides, that may be alike, some at a time, with the bound of their similarity."""
+    size, label, side, width, start, flat = (group[n] for n in ("size", "class_id", "side", "width", "start", "marks"))
     two = side.max() > side.min()
-    left, right = [], []
-    for w in np.unique(width):
-        own = np.flatnonzero(width == w)
-        if not len(own):
-            continue
-        others = [(v, np.flatnonzero(width == v)) for v in np.unique(width[width >= w])]
+    widths = [(w, np.flatnonzero(width == w)) for w in np.unique(width)]
+    for i, (w, own) in enumerate(widths):
         a = flat[start[own][:, None] + np.arange(w)]
-        for v, other in others:
+        for v, other in widths[i:]:
             if size[own].max() < least * size[other].min() or size[other].max() < least * size[own].min():
                 continue
             b = np.bitwise_xor.reduce(flat[start[other][:, None] + np.arange(v)].reshape(len(other), v // w, w), axis=1)
-            for i in range(0, len(own), ROWS):
-                x = own[i : i + ROWS]
+            for k in range(0, len(own), ROWS):
+                x = own[k : k + ROWS]
                 total = size[x][:, None] + size[other][None, :]
-                smaller, larger = np.minimum(size[x][:, None], size[other][None, :]), np.maximum(size[x][:, None], size[other][None, :])
-                ok = (label[x][:, None] != label[other][None, :]) & (smaller >= least * larger)
+                ok = (label[x][:, None] != label[other][None, :]) & (np.minimum(size[x][:, None], size[other][None, :]) >= least * np.maximum(size[x][:, None], size[other][None, :]))
                 if two:
                     ok &= side[x][:, None] != side[other][None, :]
-                if not ok.any():
-                    continue
-                apart = _apart(a[i : i + ROWS], b)
-                ok &= (total - apart) / (total + apart) >= least
                 if v == w:
                     ok &= x[:, None] < other[None, :]
-                p, q = np.nonzero(ok)
-                left.append(x[p])
-                right.append(other[q])
-    none = np.zeros(0, np.int64)
-    return np.concatenate(left or [none]), np.concatenate(right or [none])
+                if not ok.any():
+                    continue
+                apart = _apart(a[k : k + ROWS], b)
+                bound = (total - apart) / (total + apart)
+                p, q = np.nonzero(ok & (bound >= least))
+                yield x[p], other[q], bound[p, q]
+
+
+def _doubtful(group: dict[str, np.ndarray], least: float) -> np.ndarray:
+    """The rows of one group that have a pair which may be alike."""
+    out = np.zeros(len(group["id"]), bool)
+    for x, y, _ in _may_be(group, least):
+        out[x] = out[y] = True
+    return np.flatnonzero(out)
+
+
+def _forest(group: dict[str, np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links of one group (with elements) that connect all that its alike pairs connect: the likeliest are tested first,
+    and of two texts that are connected already the pair isn't needed."""
+    group["marks"], group["width"] = parities(group["elements"], group["size"])
+    group["start"] = np.cumsum(group["width"]) - group["width"]
+    found = list(_may_be(group, least))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    left, right, bound = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((right, left, -bound))
+    owner = np.unique(group["class_id"], return_inverse=True)[1].tolist()
+    root, at, flat = list(range(len(owner))), np.concatenate(([0], np.cumsum(group["size"]))).tolist(), group["elements"]
+
+    def top(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    a, b = [], []
+    for x, y in zip(left[order].tolist(), right[order].tolist(), strict=True):
+        p, q = top(owner[x]), top(owner[y])
+        if p == q:
+            continue
+        m, n = flat[at[x] : at[x + 1]], flat[at[y] : at[y + 1]]
+        place = np.minimum(np.searchsorted(n, m), len(n) - 1)
+        both = int((n[place] == m).sum())
+        if both / (len(m) + len(n) - both) >= least:
+            root[q] = p
+            a.append(group["id"][x])
+            b.append(group["id"][y])
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+_GROUP = ("band", "hash", "one", "two")
+
+
+def _new(table: pa.Table) -> np.ndarray:
+    out = np.zeros(table.num_rows, bool)
+    out[0] = True
+    for n in _GROUP:
+        x = table.column(n).to_numpy()
+        out[1:] |= x[1:] != x[:-1]
+    return out
+
 
+def _by_group(lists: str, use):
+    """Calls use on each group of rows that are sorted by group; a batch's last group waits for the next batch.
 
-def _compared(least: float):
-    """Reads rows sorted by group (band, hash, one, two) and yields pairs (a, b); a batch's last group waits for the next."""
+    use gets a table of whole groups, and for each of them its first row, the row after its last and its columns as arrays.
+    """
 
     def step(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
-        def pairs(table: pa.Table) -> pa.RecordBatch:
+        def groups(table: pa.Table):
             table = table.combine_chunks()
             columns = {n: table.column(n).to_numpy() for n in ("id", "size", "class_id", "side")}
-            lists = table.column("marks").combine_chunks()
-            off = lists.offsets.to_numpy()
-            columns |= {"width": np.diff(off), "start": off[:-1].astype(np.int64)}
-            flat = lists.values.to_numpy().view(_U)
+            array = table.column(lists).combine_chunks()
+            off, flat = array.offsets.to_numpy().astype(np.int64), array.values.to_numpy().view(_U)
             cuts = np.append(np.flatnonzero(_new(table)), table.num_rows)
-            a, b = [], []
+            parts = []
             for i, j in zip(cuts[:-1], cuts[1:], strict=True):
-                x, y = _group_pairs({n: v[i:j] for n, v in columns.items()} | {"flat": flat}, least)
-                a.append(columns["id"][i:j][x])
-                b.append(columns["id"][i:j][y])
-            a, b = np.concatenate(a), np.concatenate(b)
-            return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                own = {n: v[i:j] for n, v in columns.items()} | {lists: flat[off[i] : off[j]], "width": np.diff(off[i : j + 1]), "start": off[i:j] - off[i]}
+                parts.append((i, own))
+            return use(table, parts)
 
         for batch in it:
             table = pa.Table.from_batches([batch])
@@ -327,65 +374,57 @@ def _compared(least: float):
                 continue
             last = int(np.flatnonzero(_new(held))[-1])
             if last:
-                yield pairs(held.slice(0, last))
+                yield from groups(held.slice(0, last))
                 held = held.slice(last)
         if held is not None and held.num_rows:
-            yield pairs(held)
+            yield from groups(held)
 
     return step
 
 
-def _new(table: pa.Table) -> np.ndarray:
-    out = np.zeros(table.num_rows, bool)
-    out[0] = True
-    for n in ("band", "hash", "one", "two"):
-        x = table.column(n).to_numpy()
-        out[1:] |= x[1:] != x[:-1]
-    return out
-
+def candidate_links(held: DataFrame, elements: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) among texts of different labels in one bucket (band, hash, id, size, marks, class_id).
 
-def candidates(held: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of texts of different labels in one bucket (band, hash, id, size, marks, class_id) that may be alike.
-
-    A bucket's texts fall by hash into blocks of a bounded number, and every two blocks meet in a group of their
-    own: no task holds a bucket, and only pairs that their bitmaps don't rule out become rows.
+    A bucket's texts fall by hash into blocks of a bounded number of texts and elements, and every two blocks meet
+    in a group of their own, so no task holds a bucket. The groups are formed twice: with bitmaps, where texts
+    without any pair that may be alike drop out, and then with the elements of the others. A group gives no more
+    rows than it has texts.
     """
-    several = held.groupBy("band", "hash").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).where("low < high")
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.col("size").cast("long")) / BLOCK_ELEMENTS))
+    several = held.groupBy("band", "hash").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"), blocks.alias("blocks")).where("low < high")
     rows = held.join(several.select("band", "hash", "blocks"), ["band", "hash"])
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("band", "hash", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "id", "size", "class_id", F.col("own").alias("side"), "marks")
-    group = ["band", "hash", "one", "two"]
-    return rows.repartition(*group).sortWithinPartitions(*group).mapInArrow(_compared(least), "a long, b long").distinct()
+
+    def doubtful(table: pa.Table, groups: list) -> Iterator[pa.RecordBatch]:
+        keep = np.concatenate([i + _doubtful(g, least) for i, g in groups])
+        yield from table.drop_columns("marks").take(pa.array(keep)).to_batches()
+
+    def forest(table: pa.Table, groups: list) -> Iterator[pa.RecordBatch]:
+        a, b = (np.concatenate(x) for x in zip(*(_forest(g, least) for _, g in groups), strict=True))
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    grouped = lambda df: df.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+    some = grouped(rows).mapInArrow(_by_group("marks", doubtful), "band int, hash long, one long, two long, id long, size int, class_id long, side long")
+    whole = staged(some, "doubtful").join(elements.select("id", "elements"), "id")
+    return grouped(whole).mapInArrow(_by_group("elements", forest), "a long, b long").distinct()
 
 
 def links_in(buckets: DataFrame, elements: DataFrame, least: float) -> DataFrame:
     """Links (a, b) that connect whatever the buckets (band, hash, id, lead) connect.
 
     First every text is compared with the smallest of its bucket. Texts of one bucket that are then in different
-    classes are compared with each other, block by block; of each two classes the pair whose texts are smallest is
-    verified first, and what is still in different classes after that is verified in full.
+    classes are compared with each other, block by block.
     """
     sets = staged(elements.select("id", F.size("elements").alias("size"), "marks"), "marks")
-    lead = sets.select(F.struct(F.col("id"), "size", "marks").alias("l"))
-    pairs = buckets.where("id <> lead").select(*_pair("id", "lead")).distinct()
-    near = pairs.join(sets.select(F.col("id").alias("b"), F.struct("size", "marks").alias("y")), "b").join(lead.select(F.col("l.id").alias("a"), F.struct("l.size", "l.marks").alias("x")), "a")
-    pairs = staged(near.where(may_be("x.", "y.", least)).select("a", "b"), "pairs")
+    first, second = (sets.select(F.col("id").alias(n), F.struct("size", "marks").alias(x)) for n, x in ("ax", "by"))
+    pairs = buckets.where("id <> lead").select(*_pair("id", "lead")).distinct().join(second, "b").join(first, "a")
+    pairs = staged(pairs.where(may_be("x.", "y.", least)).select("a", "b"), "pairs")
     found = staged(verified(pairs, elements, least), "near")
-    held = buckets.select("band", "hash", "id").join(labels_of(sets, found), "id").join(sets, "id")
-    rest = staged(candidates(held, least).join(pairs, ["a", "b"], "left_anti"), "candidates")
-    for last in (False, True):
-        if rest.isEmpty():
-            break
-        label = staged(labels_of(sets, found), "labels")
-        ends = rest.join(label.select(F.col("id").alias("a"), F.col("class_id").alias("x")), "a").join(label.select(F.col("id").alias("b"), F.col("class_id").alias("y")), "b").where("x <> y")
-        if not last:
-            ends = ends.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
-        tested = staged(ends.select("a", "b"), "tested")
-        found = staged(found.unionByName(verified(tested, elements, least)), "near")
-        rest = rest.join(tested, ["a", "b"], "left_anti")
-        unstaged(label)
-    unstaged(sets, pairs)
-    return found
+    held = staged(buckets.select("band", "hash", "id").join(labels_of(sets, found), "id").join(sets, "id"), "labelled")
+    links = staged(found.unionByName(candidate_links(held, elements, least)), "near")
+    unstaged(sets, pairs, found, held)
+    return links
 
 
 def _classed(documents: DataFrame, least: float, bands: int, band: int) -> DataFrame:

@@ -208,10 +208,10 @@ def test_parity_bitmaps_never_rule_out_what_is_alike(x, y):
         return
     size = np.array([len(v) for v in sets])
     flat, width = near.parities(np.concatenate(sets), size)
-    group = {"size": size, "class_id": np.array([1, 2]), "side": np.zeros(2, int), "width": width, "start": np.cumsum(width) - width, "flat": flat}
+    group = {"size": size, "class_id": np.array([1, 2]), "side": np.zeros(2, int), "width": width, "start": np.cumsum(width) - width, "marks": flat}
     both = len(set(x) & set(y))
     least = both / (len(set(x)) + len(set(y)) - both)
-    assert len(near._group_pairs(group, least)[0]) == 1
+    assert sum(len(x) for x, _, _ in near._may_be(group, least)) == 1
 
 
 def test_components_of_a_long_chain(spark):
