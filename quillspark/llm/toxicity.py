@@ -7,8 +7,11 @@ learning rate, and L1 keeps at exactly 0 all weights that the data don't support
 list of coordinates. The number of coordinates bounds what is broadcast. Scoring reads whole texts.
 
 Learning uses a bounded sample of labelled texts, taken by md5 of doc_id. Defined cases: null and empty texts
-score by the bias alone. A label that is null, or a doc_id that no document has, is left out; a doc_id with
-several labels counts as toxic if one of them does. Without labels every score is 0.
+score by the bias alone. A label that is null, or a doc_id that is null or that no document has, is left out; a
+doc_id with several labels counts as toxic if one of them does, and one with several rows is learned from its
+smallest text. Without any row to learn from, every score is 0. Rows that repeat are scored each for itself. Very
+long texts are read whole, for learning and scoring. Ties of the sample's md5 are broken by doc_id. An empty
+table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -115,17 +118,20 @@ def probabilities(column: pa.Array, model: Ftrl) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0)
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, bits: int = BITS, **options) -> Ftrl:
-    """Learn from the labelled documents (toxic 0 or 1)."""
+def fit(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, bits: int = BITS, **options) -> Ftrl | None:
+    """Learn from the labelled documents (toxic 0 or 1); None where there are none."""
     marked = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    chosen = bounded_sample(documents.select("doc_id").join(marked, "doc_id"), "doc_id", max_rows).distinct()
+    chosen = bounded_sample(documents.select("doc_id").join(marked, "doc_id").distinct(), "doc_id", max_rows)
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def rows_of(text: pa.Array) -> pa.Array:
         return training_rows(text, bits)
 
-    texts = documents.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")  # max_rows ids
+    texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))  # a repeated doc_id is one row on the driver
     table = texts.select("doc_id", "label", rows_of("text").alias("at")).toArrow().sort_by("doc_id")
+    if not table.num_rows:
+        return None
     lists = table.column("at").combine_chunks()
     off, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
     rows = [flat[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
@@ -146,9 +152,7 @@ def scores(model: Ftrl, spark: SparkSession):
 def scored(documents: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """doc_id, held_out, score and predicted of every row; the held-out quarter's labels are not read."""
     held_out = remainder("doc_id", 4) == 2
-    if labels.isEmpty():
-        score = F.lit(0.0)
-    else:
-        score = scores(fit(documents, labels.where(~held_out), **options), documents.sparkSession)(F.col("text").cast("string"))
+    model = fit(documents, labels.where(~held_out), **options)
+    score = F.lit(0.0) if model is None else scores(model, documents.sparkSession)(F.col("text").cast("string"))
     out = documents.select("doc_id", held_out.alias("held_out"), score.alias("score"))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
