@@ -32,13 +32,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.llm import tokens
-from quillspark.llm.shared import ordered_id, staged, unstaged
+from quillspark.llm.shared import holds, ordered_id, staged, unstaged, words_of_filter
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: 24 bands of 5: a pair at the similarity 0.8 is missed with the probability 0.00007.
 BANDS, BAND = 24, 5
-#: Bits of a parity bitmap for each element, about; log2 of the bits of a Bloom filter at most (16 MB).
-BITS, MOST_BITS = 4, 27
+#: Bits of a parity bitmap for each element, about.
+BITS = 4
 #: Texts and elements of a block, about; rows that numpy compares with a block at a time; pairs of one text that are joined in one group.
 BLOCK, BLOCK_ELEMENTS, ROWS, PART = 1024, 1 << 22, 256, 256
 #: Parts of a bucket when its texts are joined with its smallest.
@@ -147,31 +147,18 @@ def parities(elements: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.n
     return np.packbits(odd, bitorder="little").view(_U), words
 
 
-def _holding(ids: DataFrame) -> tuple[int, np.ndarray]:
-    """A Bloom filter of ids (id): log2 of its bits, and its words. Its size is bounded; a full one lets everything through."""
-    n = ids.count()
-    bits = min(MOST_BITS, max(16, (16 * n).bit_length()))
-    places = ids.select(F.explode(F.array(*[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1 << bits)) for k in range(2)])).alias("place"))
-    words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")).toArrow()
-    out = np.zeros(1 << bits - 6, np.int64)
-    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-    return bits, out.view(_U)
-
-
 def elements_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """id (a hash of the words), elements (weighted shingles as a set of longs) and parity bitmap of the texts wanted (id, low).
 
     low is the doc_id of a row that holds the text. Texts don't move: a Bloom filter of these doc_ids, of bounded
     size, keeps most others from being read again, and what it lets through too much is dropped by a join of ids.
     """
-    bits, words = _holding(wanted.select(F.col("low").alias("id")))
-    held = documents.sparkSession.sparkContext.broadcast(words)
+    held = documents.sparkSession.sparkContext.broadcast(words_of_filter(wanted.select(F.xxhash64("low").alias("h"))))
 
     def step(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            places = [batch.column(f"place_{k}").to_numpy() for k in range(2)]
-            here = np.logical_and.reduce([(held.value[p >> 6] >> (p & 63).astype(_U)) & _U(1) == 1 for p in places])
-            for _, b in tokens.batches(batch.column("text").filter(pa.array(here)), _STEP):
+            here = pa.array(holds(held.value, batch.column("h").to_numpy()))
+            for _, b in tokens.batches(batch.column("text").filter(here), _STEP):
                 starts, ends, first = b.words(tokens.PLAIN)
                 words = b.hashes(starts, ends, fold=True)
                 text, elements, weight = weighted(words, first)
@@ -181,8 +168,7 @@ def elements_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
                 keys = [pa.array(tokens.signed(np.ascontiguousarray(k))) for k in _text_keys(words, first).T]
                 yield pa.RecordBatch.from_arrays([*keys, *lists], ["key_a", "key_b", "elements", "marks"])
 
-    places = [F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1 << bits)).alias(f"place_{k}") for k in range(2)]
-    rows = documents.select(ordered_id().alias("id"), F.col("text").cast("string").alias("text")).select("text", *places)
+    rows = documents.select(F.xxhash64(ordered_id()).alias("h"), F.col("text").cast("string").alias("text"))
     found = rows.mapInArrow(step, "key_a long, key_b long, elements array<long>, marks array<long>")
     found = found.select(F.xxhash64("key_a", "key_b").alias("id"), "elements", "marks").join(wanted.select("id"), "id", "left_semi")
     return found.groupBy("id").agg(F.first("elements").alias("elements"), F.first("marks").alias("marks"))

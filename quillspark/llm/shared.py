@@ -5,9 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: log2 of the bits of a Bloom filter at most (16 MB); each key sets two bits.
+MOST_BITS = 27
 #: A null doc_id counts as the largest id wherever ids are compared.
 LAST_ID = (1 << 63) - 1
 
@@ -47,6 +50,30 @@ def unstaged(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def words_of_filter(hashes: DataFrame) -> np.ndarray:
+    """A Bloom filter of a table of 64-bit hashes (h), as 64-bit words.
+
+    Spark ors the bits of each word, so that no task and not the driver sees more than the filter itself. Its size
+    follows the table and is bounded; a full one lets everything through, so an exact join must follow it.
+    """
+    bits = min(MOST_BITS, max(16, (16 * hashes.count()).bit_length()))
+    mask = F.lit((1 << bits) - 1).cast("long")
+    places = hashes.select(F.explode(F.array(F.col("h").bitwiseAND(mask), F.shiftrightunsigned("h", 32).bitwiseAND(mask))).alias("place"))
+    words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(1 << bits - 6, np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint64)
+
+
+def holds(words: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """False where a hash is surely not in the filter."""
+    mask, out = np.uint64(len(words) * 64 - 1), np.ones(len(h), bool)
+    for shift in (0, 32):
+        place = (h.view(np.uint64) >> np.uint64(shift)) & mask
+        out &= (words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+    return out
+
+
 def ordered_id(column: str = "doc_id") -> Column:
     """doc_id as a long that is never null."""
     return F.coalesce(F.col(column).cast("long"), F.lit(LAST_ID))

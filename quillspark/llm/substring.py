@@ -8,10 +8,14 @@ normalised to their words, lower-cased, without punctuation. Digests are grouped
 occurrence in the smallest doc_id, and the first there, is kept. What other occurrences cover is removed, and the
 spans' offsets in the original text (code points, end exclusive) are what the operator returns.
 
-Defined cases: null texts and lines without words have nothing to remove. doc_id names a
-text: rows that repeat a doc_id are expected to repeat its text, nothing is removed between them, and a span is
-returned once. A null doc_id counts as the largest id. What a text repeats itself goes from its second place on,
-where that is clear of the first. Empty tables give no rows.
+Digests are shuffled once. A Bloom filter of bounded size over the shared ones then lets the second pass move little
+more than what repeats; a full filter lets everything through, and a join with the exact table decides in any case.
+
+Defined cases: null texts and lines without words have nothing to remove. Texts are ranked by doc_id, a null doc_id
+as the largest, and texts that share a doc_id by a hash of the text; each has spans of its own. Rows that repeat both
+doc_id and text are one: they stay or lose the same, and a span is returned once. What a text repeats itself goes
+from its second place on, where that is clear of the first; ties can't arise otherwise. Very long texts are read
+whole. Other columns don't matter. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.llm import tokens
-from quillspark.llm.shared import LAST_ID, ordered_id
+from quillspark.llm.shared import LAST_ID, holds, ordered_id, staged, unstaged, words_of_filter
 
 #: Words of a unit, about, and words that a digest covers at least.
 UNIT_WORDS, MIN_WORDS = 5, 12
@@ -34,8 +38,10 @@ LONGEST = 32
 _U = np.uint64
 _HEAD = np.array([b & 0xC0 != 0x80 for b in range(256)])
 
-ROWS = "key long, check int, id long, first_word int, last_word int, start int, end int, again boolean"
-SPANS = "id long, start int, end int, words int, first_id long"
+ROWS = "key long, check int, id long, text_key long, first_word int, last_word int, start int, end int, again boolean"
+SPANS = "id long, text_key long, start int, end int, words int, first_id long"
+#: Texts of one id are ranked by a hash below this.
+_KEYS = 10**18
 
 
 def blocks(b: tokens.Batch, size: int = UNIT_WORDS, least: int = MIN_WORDS) -> dict[str, np.ndarray]:
@@ -76,40 +82,54 @@ def blocks(b: tokens.Batch, size: int = UNIT_WORDS, least: int = MIN_WORDS) -> d
     return dict(zip(names, values, strict=True))
 
 
-def _rows(documents: DataFrame, size: int, least: int, keys_only: bool) -> DataFrame:
-    names = ("key", "check", "id") if keys_only else ("key", "check", "id", "first_word", "last_word", "start", "end", "again")
-    types = {"key": pa.int64(), "id": pa.int64(), "again": pa.bool_()}
+def text_key(text: Column) -> Column:
+    """What ranks texts of one doc_id."""
+    return F.pmod(F.xxhash64(text), F.lit(_KEYS))
+
+
+def _rank() -> Column:
+    """id and text_key as one number, which unlike a struct is summed up by hashing."""
+    return (F.col("id").cast("decimal(20,0)") * F.lit(_KEYS).cast("decimal(19,0)") + F.col("text_key")).cast("decimal(38,0)")
+
+
+def _rows(documents: DataFrame, size: int, least: int, shared=None) -> DataFrame:
+    """key, check, id and text_key of all digests; with the filter of shared ones, ROWS of what may be shared or repeats itself."""
+    names = ("key", "check", "id", "text_key") if shared is None else ("key", "check", "id", "text_key", "first_word", "last_word", "start", "end", "again")
+    types = {"key": pa.int64(), "id": pa.int64(), "text_key": pa.int64(), "again": pa.bool_()}
 
     def step(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            ids = batch.column("id").to_numpy()
+            ids, keys = batch.column("id").to_numpy(), batch.column("text_key").to_numpy()
             for i, b in tokens.batches(pc.utf8_lower(batch.column("text"))):  # letter for letter, so code points keep their places
                 found = blocks(b, size, least)
-                found["id"] = ids[i + found["text"].astype(np.int64)]
-                keep = ~found["again"].astype(bool) if keys_only else slice(None)
-                yield pa.RecordBatch.from_arrays([pa.array(found[n][keep], types.get(n, pa.int32())) for n in names], list(names))
+                again = found["again"].astype(bool)
+                keep = np.flatnonzero(~again if shared is None else again | holds(shared.value, found["key"]))
+                at = i + found["text"][keep].astype(np.int64)
+                found = {n: v[keep] for n, v in found.items()} | {"id": ids[at], "text_key": keys[at]}
+                yield pa.RecordBatch.from_arrays([pa.array(found[n], types.get(n, pa.int32())) for n in names], list(names))
 
-    schema = "key long, check int, id long" if keys_only else ROWS
-    return documents.select(ordered_id().alias("id"), F.col("text").cast("string").alias("text")).mapInArrow(step, schema)
+    schema = "key long, check int, id long, text_key long" if shared is None else ROWS
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return documents.select(ordered_id().alias("id"), text_key(text).alias("text_key"), text.alias("text")).mapInArrow(step, schema)
 
 
 def _merged(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Joins what sorted rows cover to spans; a batch's last document waits for the next batch."""
-    names = ("id", "first_word", "last_word", "start", "end", "first_id")
+    names = ("id", "text_key", "first_word", "last_word", "start", "end", "first_id")
     held: dict[str, np.ndarray] | None = None
 
     def spans(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
         new = np.ones(len(rows["id"]), bool)
-        new[1:] = rows["id"][1:] != rows["id"][:-1]
+        new[1:] = (rows["id"][1:] != rows["id"][:-1]) | (rows["text_key"][1:] != rows["text_key"][:-1])
         above = np.cumsum(new) << 32  # a document's rows are above those of the one before
         reach = lambda name: np.maximum.accumulate(above + rows[name]) - above  # noqa: E731  a line may hold the rows after it
         last_word, end = reach("last_word"), reach("end")
         new[1:] |= rows["first_word"][1:] > last_word[:-1]
         at = np.flatnonzero(new)
         last = np.append(at[1:], len(new)) - 1
-        out = (rows["id"][at], rows["start"][at], end[last], last_word[last] - rows["first_word"][at], rows["first_id"][at])
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["id", "start", "end", "words", "first_id"])
+        out = (rows["id"][at], rows["text_key"][at], rows["start"][at], end[last], last_word[last] - rows["first_word"][at], rows["first_id"][at])
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["id", "text_key", "start", "end", "words", "first_id"])
 
     for batch in it:
         rows = {n: batch.column(n).to_numpy() for n in names}
@@ -117,7 +137,8 @@ def _merged(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = {n: np.concatenate((held[n], rows[n])) for n in names}
         if not len(rows["id"]):
             continue
-        cut = int(np.searchsorted(rows["id"], rows["id"][-1]))
+        other = np.flatnonzero((rows["id"] != rows["id"][-1]) | (rows["text_key"] != rows["text_key"][-1]))
+        cut = int(other[-1]) + 1 if len(other) else 0
         held = {n: v[cut:] for n, v in rows.items()}
         if cut:
             yield spans({n: v[:cut] for n, v in rows.items()})
@@ -126,12 +147,16 @@ def _merged(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def removed_spans(documents: DataFrame, unit_words: int = UNIT_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
-    """id, start, end, words and first_id (where the span's beginning stays) of every span to remove."""
-    keys = _rows(documents, unit_words, min_words, keys_only=True).groupBy("key", "check").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"))
-    held = keys.where("first_id < last_id").drop("last_id")
-    rows = _rows(documents, unit_words, min_words, keys_only=False).join(held, ["key", "check"], "left")
-    gone = rows.where("again or id > first_id").select("id", "first_word", "last_word", "start", "end", F.coalesce("first_id", "id").alias("first_id"))
-    return gone.repartition("id").sortWithinPartitions("id", "first_word").mapInArrow(_merged, SPANS)
+    """id, text_key, start, end, words and first_id (where the span's beginning stays) of every span to remove."""
+    keys = _rows(documents, unit_words, min_words).groupBy("key", "check").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.min(_rank()).alias("first"))
+    held = staged(keys.where("n > 1").drop("n"), "digests")
+    shared = documents.sparkSession.sparkContext.broadcast(words_of_filter(held.select(F.col("key").alias("h"))))
+    rows = _rows(documents, unit_words, min_words, shared).join(held, ["key", "check"], "left")
+    gone = rows.where(F.col("again") | (_rank() > F.col("first"))).select("id", "text_key", "first_word", "last_word", "start", "end", F.coalesce("first_id", "id").alias("first_id"))
+    gone = gone.distinct().repartition("id", "text_key").sortWithinPartitions("id", "text_key", "first_word")
+    out = staged(gone.mapInArrow(_merged, SPANS), "spans")
+    unstaged(held)
+    return out
 
 
 def without(text: Column, spans: Column) -> Column:
@@ -142,11 +167,12 @@ def without(text: Column, spans: Column) -> Column:
 
 
 def cleaned(documents: DataFrame, **options) -> DataFrame:
-    """doc_id, the text without its spans, and the removed spans with their original offsets."""
-    spans = removed_spans(documents, **options).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))
-    joined = documents.select("doc_id", "text", ordered_id().alias("id")).join(spans, "id", "left")
-    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(without(F.col("text"), F.col("removed")))
-    return joined.select("doc_id", text.alias("text"), "removed")
+    """doc_id, the text without its spans, and the removed spans with their original offsets, of every row."""
+    spans = removed_spans(documents, **options).groupBy("id", "text_key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))
+    text = F.col("text").cast("string")
+    joined = documents.select("doc_id", text.alias("text"), ordered_id().alias("id"), text_key(F.coalesce(text, F.lit(""))).alias("text_key")).join(spans, ["id", "text_key"], "left")
+    kept = F.when(F.col("removed").isNull(), F.col("text")).otherwise(without(F.col("text"), F.col("removed")))
+    return joined.select("doc_id", kept.alias("text"), "removed")
 
 
 def original_id(column: str) -> Column:
