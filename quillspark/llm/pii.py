@@ -3,9 +3,10 @@
 Base spans are fixed patterns with checks. Around them, wider patterns and failed base matches give candidates;
 four labelers vote on each (its form, a gazetteer of providers and prefixes, words just before it, the kind's own
 check). Expectation-maximisation over the counts of vote patterns estimates each labeler's reliability without
-any truth, and the posteriors train a logistic span classifier; candidates that it is sure of are added, where
-they don't cross a base span. Failed base matches only serve to train it: what fails its kind's check is never
-added, so kinds without a wider pattern (cards) get no added spans. Texts are read once; the rest works on a table of candidates.
+any truth. The posteriors train a logistic span classifier, whose inputs beside the votes are of the text: the
+span's shape and size, the character after it, and the word before it; so a candidate that no context word
+vouches for can still be told by its surroundings. Candidates that it is sure of are added where they don't cross
+a base span; failed base matches too, but only beside a context word. Learning reads a table of candidates; the texts are read once for it.
 
 Positions come from pieces between matches: a match starts after all pieces and matches before it. Running sums
 are taken in blocks, so a text of many matches costs little more than their number.
@@ -13,8 +14,9 @@ are taken in blocks, so a text of many matches costs little more than their numb
 The patterns say the same as the plain ones but never recurse or rescan: a run that can't be left is taken
 possessively, and a match starts only where a run starts.
 
-Defined cases: a null text is empty and has no spans. Repeated rows are read each for itself. An empty table
-gives no rows; without candidates nothing is added.
+Defined cases: a null text is empty and has no spans. Repeated rows, and rows without doc_id, are read each for
+itself. Of added spans that cross, the kind listed first stays, then the earlier, then the longer. Very long texts
+are read whole. An empty table gives no rows; without candidates nothing is added. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -49,7 +51,10 @@ ABSTAIN, NO, YES = 0, 1, 2
 CONTEXT_CHARS, SURE = 40, 0.9
 _BLOCK = 64
 
-SPAN = "struct<kind:int,start:int,end:int,base:boolean,form:int,known:int,context:int,check:int,size:int>"
+#: Values that the word before a span is hashed to, and shapes: which of these stand in a span.
+WORDS, MARKS = 24, (".", "-", "(", " ")
+
+SPAN = "struct<kind:int,start:int,end:int,base:boolean,form:int,known:int,context:int,check:int,size:int,shape:int,after:int,word:int>"
 
 
 def let(value: Column, use) -> Column:
@@ -76,15 +81,20 @@ def running_sum(values: Column) -> Column:
 
 
 def located(text: Column, pattern: str) -> Column:
-    """An array of (match, start, before): each match, its first code point, and the text between it and the last one."""
+    """An array of (match, start, before, after): each match, its first code point, the text between it and the last
+    one, and the character after it."""
 
     def placed(held: Column) -> Column:
         starts = let(F.transform(held, lambda h: h["n"]), running_sum)
-        return F.zip_with(held, starts, lambda h, s: F.struct(h["match"].alias("match"), (s + F.length(h["before"])).alias("start"), h["before"].alias("before")))
+        return F.zip_with(held, starts, lambda h, s: F.struct(h["match"].alias("match"), (s + F.length(h["before"])).alias("start"), h["before"].alias("before"), h["after"].alias("after")))
 
     def paired(matches: Column) -> Column:
-        pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
-        return F.zip_with(matches, pieces, lambda m, p: F.struct(m.alias("match"), p.alias("before"), (F.length(p) + F.length(m)).alias("n")))
+        def zipped(pieces: Column) -> Column:
+            nexts = F.transform(F.slice(pieces, F.lit(2), F.size(matches)), lambda p: F.substring(p, 1, 1))
+            both = F.arrays_zip(matches.alias("m"), F.slice(pieces, F.lit(1), F.size(matches)).alias("p"), nexts.alias("a"))
+            return F.transform(both, lambda x: F.struct(x["m"].alias("match"), x["p"].alias("before"), x["a"].alias("after"), (F.length(x["p"]) + F.length(x["m"])).alias("n")))
+
+        return let(F.split(text, pattern, -1), zipped)
 
     return let(let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), paired), placed)
 
@@ -123,6 +133,25 @@ def _vote(yes: Column) -> Column:
     return F.when(yes, YES).otherwise(NO)
 
 
+def _shape(match: Column) -> Column:
+    """Which MARKS stand in a span, as bits."""
+    total = F.lit(0)
+    for k, mark in enumerate(MARKS):
+        total = total + F.when(F.contains(match, F.lit(mark)), 1 << k).otherwise(0)
+    return total
+
+
+def _after(char: Column) -> Column:
+    """0 at the text's end, 1 for blanks, 2 for letters and digits, 3 for anything else."""
+    return F.when(char == "", 0).when(F.regexp_like(char, F.lit(r"\s")), 1).when(F.regexp_like(char, F.lit(r"[\p{L}\p{N}]")), 2).otherwise(3)
+
+
+def _word(before: Column) -> Column:
+    """The word before a span, hashed; 0 for none."""
+    word = F.regexp_extract(F.lower(F.right(before, F.lit(CONTEXT_CHARS))), r"(\p{L}+)[^\p{L}]*$", 1)
+    return F.when(word == "", 0).otherwise(F.crc32(word.cast("binary")) % (WORDS - 1) + 1).cast("int")
+
+
 def _judged(kind: str, number: int, base: bool):
     """What turns a located match into a SPAN."""
 
@@ -134,6 +163,7 @@ def _judged(kind: str, number: int, base: bool):
             _vote(F.regexp_like(match, F.lit(FORMS[kind]))).alias("form"), _vote(F.regexp_like(match, F.lit(GAZETTEER[kind]))).alias("known"),
             F.when(F.regexp_like(F.right(h["before"], F.lit(CONTEXT_CHARS)), F.lit(CONTEXT[kind])), YES).otherwise(ABSTAIN).alias("context"),
             (_vote(ok) if base else F.lit(ABSTAIN)).alias("check"), F.least(F.length(match) / 4, F.lit(8)).cast("int").alias("size"),
+            _shape(match).alias("shape"), _after(h["after"]).alias("after"), _word(h["before"]).alias("word"),
         )
 
     return span
@@ -151,6 +181,9 @@ def spans_of(text: Column) -> Column:
     return F.concat(*parts)
 
 
+_VOTES, _WORTH = ("form", "known", "context", "check"), np.array([1, 1, 1, 3])
+
+
 def reliabilities(counts: dict[tuple[int, ...], int], rounds: int = 30) -> dict[tuple[int, ...], float]:
     """For each vote pattern (kind, votes ...) the posterior that it is a true span.
 
@@ -161,7 +194,7 @@ def reliabilities(counts: dict[tuple[int, ...], int], rounds: int = 30) -> dict[
     n = np.array([counts[k] for k in keys], float)
     votes = np.array([k[1:] for k in keys])
     kinds = np.array([k[0] for k in keys])
-    lean = (votes == YES).sum(1) - (votes == NO).sum(1)
+    lean = ((votes == YES) * _WORTH).sum(1) - ((votes == NO) * _WORTH).sum(1)  # where the search starts: a check is worth more than a form
     post = 1 / (1 + np.exp(-lean.astype(float)))
     for _ in range(rounds):
         log = np.zeros((len(keys), 2))
@@ -176,15 +209,12 @@ def reliabilities(counts: dict[tuple[int, ...], int], rounds: int = 30) -> dict[
     return dict(zip(keys, post.tolist(), strict=True))
 
 
-_VOTES = ("form", "known", "context", "check")
-
-
 def _inputs() -> list[tuple[str, int]]:
     """The classifier's inputs: column and value, each 1 or 0."""
-    return [(v, x) for v in _VOTES for x in (NO, YES)] + [("kind", k) for k in range(len(KINDS))] + [("size", s) for s in range(9)]
+    return [(v, x) for v in _VOTES for x in (NO, YES)] + [("kind", k) for k in range(len(KINDS))] + [("size", s) for s in range(9)] + [("shape", s) for s in range(1 << len(MARKS))] + [("after", a) for a in range(4)] + [("word", k) for k in range(WORDS)]
 
 
-def train(rows: list[dict], target: np.ndarray, weight: np.ndarray, steps: int = 25, ridge: float = 1.0) -> np.ndarray:
+def train(rows: list[dict], target: np.ndarray, weight: np.ndarray, steps: int = 25, ridge: float = 0.05) -> np.ndarray:
     """Logistic regression by Newton steps on soft labels; the last coefficient is the bias."""
     x = np.array([[float(r[c] == v) for c, v in _inputs()] + [1.0] for r in rows])
     w = np.zeros(x.shape[1])
@@ -209,8 +239,8 @@ def candidates(documents: DataFrame) -> DataFrame:
 
 
 def classifier(found: DataFrame) -> np.ndarray | None:
-    """Coefficients learned from the counts of all vote patterns; at most a few thousand rows reach the driver."""
-    names = ("kind", *_VOTES, "size")
+    """Coefficients learned from the counts of all patterns of inputs, of which there is a bounded number."""
+    names = ("kind", *_VOTES, "size", "shape", "after", "word")
     counts = found.select(F.explode("found").alias("s")).groupBy(*[F.col(f"s.{c}").alias(c) for c in names]).agg(F.count(F.lit(1)).alias("n")).orderBy(*names).collect()
     if not counts:
         return None
@@ -222,21 +252,27 @@ def classifier(found: DataFrame) -> np.ndarray | None:
     return train([r.asDict() for r in counts], np.array([post[key(r)] for r in counts]), np.array([float(r["n"]) for r in counts]))
 
 
-def spans(documents: DataFrame, sure: float = SURE) -> DataFrame:
-    """doc_id, base and added: arrays of spans, by kind and start."""
-    found = candidates(documents)
-    w = classifier(found)
+def resolved(found: Column, w: np.ndarray | None, sure: float = SURE) -> Column:
+    """base and added of one row's candidates: arrays of spans, by kind and start."""
     place = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
     crosses = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
+    ahead = lambda a, b: F.struct(a["kind"], a["start"], -a["end"]) < F.struct(b["kind"], b["start"], -b["end"])
 
     def added(base: Column) -> Column:
         if w is None:
             return F.filter(base, lambda s: F.lit(False))
-        more = F.filter("found", lambda s: ~s["base"] & (s["check"] != NO) & (_score(w, s) >= sure) & ~F.exists(base, lambda b: crosses(s, b)))
-        first = lambda m: F.filter(m, lambda s: ~F.exists(m, lambda o: (o["kind"] < s["kind"]) & crosses(s, o)))
+        heard = lambda s: (s["check"] != NO) | (s["context"] == YES)  # noqa: E731  what fails its check needs a word that vouches for it
+        more = F.filter(found, lambda s: ~s["base"] & heard(s) & (_score(w, s) >= sure) & ~F.exists(base, lambda b: crosses(s, b)))
+        first = lambda m: F.filter(m, lambda s: ~F.exists(m, lambda o: ahead(o, s) & crosses(s, o)))
         return let(F.transform(more, place), lambda m: F.array_sort(first(m)))
 
-    both = let(F.array_sort(F.transform(F.filter("found", lambda s: s["base"]), place)), lambda base: F.struct(base.alias("base"), added(base).alias("added")))
+    return let(F.array_sort(F.transform(F.filter(found, lambda s: s["base"]), place)), lambda base: F.struct(base.alias("base"), added(base).alias("added")))
+
+
+def spans(documents: DataFrame, sure: float = SURE) -> DataFrame:
+    """doc_id, base and added: arrays of spans, by kind and start."""
+    found = candidates(documents)
+    both = resolved(F.col("found"), classifier(found), sure)
     return found.select("doc_id", both.alias("spans")).select("doc_id", "spans.base", "spans.added")
 
 
@@ -255,11 +291,12 @@ def digest(documents: DataFrame) -> DataFrame:
     return out.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(every).alias("spans"))
 
 
-def masked(documents: DataFrame) -> DataFrame:
-    """doc_id and the text with every span replaced by its kind in angle brackets; for downstream use."""
-    out = spans(documents.select("doc_id", "text"))
-    joined = documents.select("doc_id", "text").join(out.dropDuplicates(["doc_id"]), "doc_id")
-    every = F.array_sort(F.concat("base", "added"))
+def masked(documents: DataFrame, sure: float = SURE) -> DataFrame:
+    """doc_id and the text with every span replaced by its kind in angle brackets, of every row; null texts stay null."""
+    w = classifier(candidates(documents))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    found = documents.select("doc_id", F.col("text").cast("string").alias("text"), resolved(spans_of(text), w, sure).alias("spans"))
+    every = F.array_sort(F.concat("spans.base", "spans.added"))
     by_place = F.array_sort(F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     empty = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
 
@@ -269,4 +306,4 @@ def masked(documents: DataFrame) -> DataFrame:
         return F.when(s["start"] < done["at"], done).otherwise(F.struct(F.concat(done["text"], clean, name).alias("text"), s["end"].alias("at")))
 
     merged = F.aggregate(by_place, empty, cut, lambda d: F.concat(d["text"], F.substring(F.col("text"), d["at"] + 1, F.length("text"))))
-    return joined.select("doc_id", merged.alias("text"))
+    return found.select("doc_id", merged.alias("text"))

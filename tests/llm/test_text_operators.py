@@ -240,6 +240,43 @@ def test_substring_removes_whole_lines(spark):
     assert got[2] == (23, 1, short + "!\n" + middle.upper()) and got[4] == (5, 3, "five words of a text") and got[6] == (300, 5, prose(26, 300))
 
 
+def test_substring_texts_that_share_an_id(spark):
+    one, two = prose(41, 40), prose(42, 40)
+    rows = [(None, prose(43, 30) + "\n" + one + "\n" + prose(44, 20)), (None, prose(45, 90) + "\n" + one + "\n" + two), (7, two + "\n" + prose(46, 30)), (8, one + " x"), (8, prose(47, 20) + "\n" + two)]
+    clean = sorted((r.text for r in substring.cleaned(table(spark, rows + rows[:1])).collect()), key=len)
+    assert len(clean) == 6
+    assert sum(one in t for t in clean) == 1 and sum(two in t for t in clean) == 1  # each stays in one text, in its lowest id
+    assert any(t.startswith(two) for t in clean) and any(t == one + " x" for t in clean)
+    texts = {t for _, t in rows}
+    for r in substring.removed_spans(table(spark, rows)).collect():
+        assert any(len(t[r.start : r.end]) == r.end - r.start and t[r.start : r.end] in one + "\n" + two for t in texts)
+
+
+def test_substring_like_brute_force_of_lines(spark):
+    """Lines of words that never repeat inside others: what goes is each line's later occurrence."""
+    r = random.Random(9)
+    pool = [prose(500 + i, r.randrange(3, 60), 10**6) for i in range(40)]
+    rows = [(i, "\n".join(r.choice(pool) if r.random() < 0.4 else prose(10_000 + 50 * i + k, r.randrange(2, 40), 10**6) for k in range(r.randrange(1, 9)))) for i in range(60)]
+    rows += [*((i + 100, t) for i, t in ODD), (200, ("word " * 30 + "\n") * 3), (201, prose(77, 60_000, 10**6))]
+    gone = {}
+    for r_ in substring.removed_spans(spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, key string, id int")).collect():
+        gone.setdefault(r_.id, set()).update(range(r_.start, r_.end))
+    first = {}
+    for i, text in sorted(rows):
+        if i >= 100:
+            continue
+        at = 0
+        for line in text.split("\n"):
+            held = first.setdefault(line, (i, at))
+            cover = {k for k in range(at, at + len(line))}
+            if held == (i, at):
+                assert not cover & gone.get(i, set()), (i, line)
+            elif held[0] != i:
+                assert cover <= gone.get(i, set()), (i, line)
+            at += len(line) + 1
+    assert 201 not in gone
+
+
 def test_pii_base_spans(spark):
     rows = [*ODD, (20, "a@b.c%d@e.f x@y foo@bar@baz.com"), (21, "1.2.3.4.5.6.7.8 256.1.1.1 001.02.3.4 1.2.3 0000255.1.1.1"), (22, "9" * 20_000), (23, "a@" + "b." * 4_000 + "c"),
             (24, "+1 (988) 555-2485 +12 3 +1....2 é4539 1488 0343 6467😀 4539148803436468"), (25, "1.2.3.4 " * 500), (26, "1" + "-1" * 9_000), (27, "mail bob (at) host dot com or (269) 555-3296")]
@@ -254,6 +291,31 @@ def test_pii_base_spans(spark):
     assert pii_ops.digest(table(spark, [(1, None)])).first().spans == ""
 
 
+def test_pii_added_spans(spark):
+    r = random.Random(4)
+    number = lambda: f"({r.randrange(200, 999)}) {r.randrange(200, 999)}-{r.randrange(1000, 9999)}"
+    rows = [(i, f"{prose(i, 12)} please call {number()} now, or mail me at user{i}@host{i % 9}.com today") for i in range(200)]
+    rows += [(300 + i, f"{prose(i, 8)} phone +1 ({r.randrange(200, 999)}) 555-{r.randrange(1000, 9999)} soon") for i in range(200)]
+    rows += [(600 + i, f"the version 999.{i}.{300 + i}.1 of {prose(i, 9)}") for i in range(100)]  # no addresses
+    rows += [(800 + i, f"visa card 4539 1488 0343 64{i:02} of {prose(i, 9)}") for i in range(20)]  # one mistyped digit, but named
+    got = {x.doc_id: x for x in pii_ops.digest(table(spark, rows)).collect()}
+    added = {i: set(got[i].spans.split(",")) - set(pii(t)) - {""} for i, t in rows}
+    for i, t in rows:
+        if i < 200:
+            start = t.index("(")
+            assert added[i] == {f"phone:{start}:{start + 14}"}, i
+        if 600 <= i < 800:
+            assert not added[i]
+        if i >= 800 and not any(x.startswith("card") for x in pii(t)):
+            assert {x.split(":")[:2][1] for x in added[i] if x.startswith("card")} == {"10"}, i
+
+
+def test_pii_masked_keeps_every_row(spark):
+    rows = [(None, "mail a@b.com now"), (None, None), (1, "x@y.org"), (1, "no data here"), (2, ""), (2, "z@w.net é 1.2.3.4")]
+    df = spark.createDataFrame([(i, t, "n") for i, t in rows], "doc_id long, text string, found string")
+    assert sorted(map(str, ((r.doc_id, r.text) for r in pii_ops.masked(df).collect()))) == sorted(map(str, [(None, "mail <email> now"), (None, None), (1, "<email>"), (1, "no data here"), (2, ""), (2, "<email> é <ip>")]))
+
+
 def test_reliabilities_trust_those_who_agree():
     votes = {(0, 2, 2, 0, 2): 500, (0, 1, 1, 0, 1): 500, (0, 2, 2, 0, 1): 5, (0, 2, 1, 2, 0): 20}
     post = pii_ops.reliabilities(votes)
@@ -296,6 +358,12 @@ def test_toxicity_learns_and_generalises(spark):
     assert len(out) == len(docs) and all(0 <= x.score <= 1 for x in out)
     held = [x for x in out if x.held_out and x.doc_id < 900]
     assert sum(x.predicted == (x.doc_id % 6 == 0) for x in held) > 0.95 * len(held)
+    away = [(i, 1) for i in range(900) if __import__("zlib").crc32(str(i).encode()) % 4 == 2] + [(77_777, 1), (None, 1), (3, None)]
+    for left in (away, away[:5], away[-3:]):  # labels, but none that may be learned from
+        out = toxicity.scored(df, spark.createDataFrame(left, "doc_id long, toxic int")).agg({"score": "max", "predicted": "max"}).first()
+        assert tuple(out) == (0, 0)
+    odd = spark.createDataFrame([(None, "vile", 1, 2), (1, "again", 1, 2), (1, "again", 1, 2), (1, prose(1, 90_000), 1, 2)], "doc_id long, text string, label int, toxic int")
+    assert toxicity.scored(odd, spark.createDataFrame([(1, 1), (1, 0), (None, 1)], "doc_id long, toxic int")).count() == 4
     none = toxicity.scored(df, lab.where("false")).agg({"score": "max"}).first()[0]
     assert none == 0 and toxicity.scored(df.where("false"), lab).count() == 0
 
