@@ -29,14 +29,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write df once into the shared folder and read it back.
+def staged(df: DataFrame, name: str, *by: str) -> DataFrame:
+    """Write df once into the shared folder, in folders by the given columns, and read it back.
 
     This cuts lineage and survives the loss of any executor, because no block lives on one machine only.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillspark/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out

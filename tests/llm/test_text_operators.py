@@ -368,40 +368,100 @@ def test_toxicity_learns_and_generalises(spark):
     assert none == 0 and toxicity.scored(df.where("false"), lab).count() == 0
 
 
+def layer(seed, size=90):
+    r = np.random.default_rng(seed)
+    counts = r.random(size) * 50
+    cls, cell, share = lm.classed(counts)
+    w = lm.initial(cls, cell, counts)
+    w["g"] += (r.standard_normal(w["g"].shape) * 0.2).astype(np.float32)
+    return r, lm.Model(cls, cell, share, w)
+
+
 def test_attention_gradients():
-    r = np.random.default_rng(0)
-    counts = r.random(90) * 50
-    cls, _ = lm.classed(counts)
-    w = {k: v.astype(np.float64) for k, v in lm.initial(90, cls, counts).items()}
+    r, m = layer(0)
+    w = {k: v.astype(np.float64) for k, v in m.weights.items()}
     ids, valid = r.integers(0, 90, (2, 2 * lm.STRIDE)), np.ones((2, 2 * lm.STRIDE), bool)
     valid[0, :5] = False
-    target, scored = r.integers(0, lm.CLASSES, (2, lm.STRIDE)), np.ones((2, lm.STRIDE), bool)
-    _, g = lm.gradients(w, ids, valid, target, scored)
-    for name in ("q", "k", "v", "o", "u", "b", "p"):
-        at = tuple(int(r.integers(0, n)) for n in w[name].shape)
-        loss = []
-        for step in (1e-5, -1e-5):
-            moved = w | {name: w[name].copy()}
-            moved[name][at] += step
-            loss.append(lm.gradients(moved, ids, valid, target, scored)[0])
-        assert g[name][at] == pytest.approx((loss[0] - loss[1]) / 2e-5, abs=2e-4), name
+    goal, scored = r.integers(0, 90, (2, lm.STRIDE)), np.ones((2, lm.STRIDE), bool)
+    scored[1, 3] = False
+    run = lambda w: lm.gradients(w, ids, valid, m.cls[goal], m.cell[goal], scored)
+    g = run(w)[1]
+    for name in ("q", "k", "v", "o", "u", "b", "p", "g", "t", "c"):
+        for _ in range(3):
+            at = tuple(int(r.integers(0, n)) for n in w[name].shape)
+            if name in "gc":
+                at = (int(m.cls[goal[0, 0]]), at[1])
+            loss = []
+            for step in (1e-5, -1e-5):
+                moved = w | {name: w[name].copy()}
+                moved[name][at] += step
+                loss.append(run(moved)[0])
+            assert g[name][at] == pytest.approx((loss[0] - loss[1]) / 2e-5, abs=2e-4), name
 
 
 def test_quick_logs_are_those_of_the_whole_pass():
-    r = np.random.default_rng(1)
-    counts = r.random(90) * 50
-    cls, _ = lm.classed(counts)
-    w = lm.initial(90, cls, counts)
+    r, m = layer(1)
     ids, valid = r.integers(0, 90, (50, 2 * lm.STRIDE)), np.ones((50, 2 * lm.STRIDE), bool)
     valid[::3, : lm.STRIDE] = False
     valid[1::7, lm.STRIDE + 4 :] = False
-    goal = r.integers(0, lm.CLASSES, (50, lm.STRIDE))
+    goal = r.integers(0, 90, (50, lm.STRIDE))
     for scale in (1, 40):  # with large weights exponentials would overflow
-        big = {k: v * np.float32(scale) if k in "quk" else v for k, v in w.items()}
-        whole = lm.forward(big, ids, valid)[0].reshape(50, lm.STRIDE, -1)
-        want = np.take_along_axis(whole, goal[..., None], 2)[..., 0]
+        big = lm.Model(m.cls, m.cell, m.log_share, {k: v * np.float32(scale) if k in "quk" else v for k, v in m.weights.items()})
+        one, two, _ = lm.forward(big.weights, ids, valid, m.cls[goal])
+        row = np.arange(goal.size)
+        want = (one[row, m.cls[goal].reshape(-1)] + two[row, m.cell[goal].reshape(-1)] + m.log_share[goal].reshape(-1)).reshape(goal.shape)
         on = valid[:, lm.STRIDE :]
-        assert np.allclose(lm.target_logs(big, ids, valid, goal)[on], want[on], rtol=1e-3, atol=1e-2 * scale)
+        assert np.allclose(lm.Scorer(big)(ids, valid, goal)[on], want[on], rtol=1e-3, atol=1e-2 * scale)
+
+
+def test_probabilities_of_all_ids_add_up_to_one():
+    r, m = layer(2, 5000)  # more ids than cells
+    ids, valid = np.repeat(r.integers(0, 5000, (1, 2 * lm.STRIDE)), 313, 0), np.ones((313, 2 * lm.STRIDE), bool)
+    ids[:, 1 + lm.STRIDE :] = ids[:, lm.STRIDE : lm.STRIDE + 1]
+    goal = np.resize(np.arange(5000), (313, lm.STRIDE))
+    ids = np.repeat(ids[:1], 5000, 0)  # one place, asked for every id
+    goal = np.zeros((5000, lm.STRIDE), int)
+    goal[:, 7] = np.arange(5000)
+    got = np.concatenate([lm.Scorer(m)(ids[:500], valid[:1].repeat(500, 0), goal[i : i + 500])[:, 7] for i in range(0, 5000, 500)])
+    assert np.exp(got.astype(float)).sum() == pytest.approx(1, abs=1e-3)
+
+
+def naive_score(m, ids):
+    """log10 probability of a text's ids, one id at a time, with the window that holds it."""
+    w, total = {k: v.astype(float) for k, v in m.weights.items()}, 0.0
+    for place, goal in enumerate(ids):
+        start = max(0, place // lm.STRIDE * lm.STRIDE - lm.STRIDE)
+        read = [len(m.cls) if j == 0 else ids[j - 1] for j in range(start, place + 1)]
+        slot = lm.STRIDE - (place // lm.STRIDE * lm.STRIDE - start)
+        x = np.array([w["e"][i] + w["p"][slot + j] for j, i in enumerate(read)])
+        a = np.exp((x[-1] @ w["q"]) @ (x @ w["k"]).T / np.sqrt(lm.WIDTH))
+        y = x[-1] + (a / a.sum()) @ (x @ w["v"]) @ w["o"]
+        one = np.exp(y @ w["u"] + w["b"])
+        two = np.exp((y * w["g"][m.cls[goal]]) @ w["t"] + w["c"][m.cls[goal]])
+        total += np.log10(one[m.cls[goal]] / one.sum()) + np.log10(two[m.cell[goal]] / two.sum()) + m.log_share[goal] / np.log(10)
+    return total
+
+
+def test_scores_like_one_id_at_a_time():
+    r, m = layer(3)
+    lengths = [1, 15, 16, 17, 33, 70, 2]
+    ids = r.integers(0, 90, sum(lengths)).astype(np.int32)
+    at = np.concatenate(([0], np.cumsum(lengths)))
+    got = lm.scores(lm.Scorer(m), ids, at, batch=3)
+    for k in range(len(lengths)):
+        assert got[k] == pytest.approx(naive_score(m, ids[at[k] : at[k + 1]].tolist()), rel=1e-4)
+
+
+def test_learning_lowers_the_loss():
+    r = np.random.default_rng(0)
+    ids = np.tile(np.arange(40), 400).astype(np.int32)  # what follows is always the same
+    counts = np.bincount(ids, minlength=90).astype(float)
+    cls, cell, _ = lm.classed(counts)
+    w = lm.initial(cls, cell, counts)
+    windows = lm.training_windows(90, ids, np.arange(0, len(ids) + 1, 200), r.integers(0, 2**62, 80).astype(np.uint64), 1)[0]
+    seen = {n: np.full_like(x, 1e-6) for n, x in w.items()}
+    first = lm.learn(w, seen, cls, cell, windows)
+    assert lm.learn(w, seen, cls, cell, windows) < 0.5 * first < 0.5 * np.log(40)
 
 
 def test_windows_score_each_id_once():
@@ -417,17 +477,20 @@ def test_windows_score_each_id_once():
 
 def test_lm_scores(spark):
     rows = [(i, prose(i, 30, 20)) for i in range(60)] + [(1000 + i, t) for i, t in ODD] + [(1002, "")]
-    out = lm.scored(table(spark, rows), max_docs=50, head_words=20).collect()
+    rows += [(None, "no id at all"), (None, None)]
+    clash = table(spark, rows).selectExpr("*", "'x' as row", "1 as score", "'y' as key", "2 as n")
+    out = lm.scored(clash, head_words=20).collect()
     assert len(out) == len(rows)
     import math
     import zlib
     from collections import Counter
 
-    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
+    texts = {(i, len(words(t)) + 1): t for i, t in rows}
     c = Counter(x for i, t in rows if not held(i) for x in [*words(t, fold=True), "\n"])
     n, v = sum(c.values()), len(c)
     for r in out:
-        w = [*words(dict(rows)[r.doc_id], fold=True), "\n"]
+        w = [*words(texts[r.doc_id, r.n_tokens], fold=True), "\n"]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held(r.doc_id), len(w), sum(c[x] > 0 for x in w), n)
         assert r.base_score == pytest.approx(sum(math.log10((c[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w), rel=1e-9)
         assert r.score < 0
@@ -444,5 +507,5 @@ def test_lm_learns_from_every_window(spark):
     long[80], long[81] = "alpha", "omega"
     changed = [*long]
     changed[80], changed[81] = "omega", "alpha"
-    got = [lm.scored(table(spark, [(train, " ".join(x)), (other, "alpha omega " * 5)]).coalesce(1)).where(f"doc_id = {other}").first() for x in (long, changed)]
+    got = [lm.scored(table(spark, [(train, " ".join(x)), (other, "alpha omega " * 5)]).coalesce(1), every=1).where(f"doc_id = {other}").first() for x in (long, changed)]
     assert got[0].base_score == got[1].base_score and got[0].score != got[1].score
