@@ -79,20 +79,8 @@ class CuckooFilter:
                 return True
         return False
 
-
-class Shards:
-    """The filters of all shards side by side, probed for many keys at once."""
-
-    def __init__(self, parts: dict[int, bytes], shards: int):
-        tables = [np.frombuffer(parts.get(s, b""), np.uint16).reshape(-1, SLOTS) for s in range(shards)]
-        tables = [t if len(t) else np.zeros((1, SLOTS), np.uint16) for t in tables]
-        self.buckets = np.array([len(t) for t in tables])
-        self.start = np.concatenate(([0], np.cumsum(self.buckets)[:-1])).astype(_U)
-        self.table = np.concatenate(tables)
-
     def maybe(self, keys: np.ndarray) -> np.ndarray:
         """False where a key is surely not held."""
-        shard = (keys % _U(len(self.buckets))).astype(np.int64)
-        prints, one, two = _places(keys, self.buckets[shard])
+        prints, one, two = _places(keys, len(self.table))
         marks = prints.astype(np.uint16)[:, None]
-        return (self.table[(self.start[shard] + one).astype(np.int64)] == marks).any(1) | (self.table[(self.start[shard] + two).astype(np.int64)] == marks).any(1)
+        return (self.table[one.astype(np.int64)] == marks).any(1) | (self.table[two.astype(np.int64)] == marks).any(1)

@@ -12,7 +12,7 @@ from quillspark.llm import decontam, lm, mixing, near, substring, tokens, toxici
 from quillspark.llm import lines as line_ops
 from quillspark.llm import pii as pii_ops
 from quillspark.llm import rules as rule_ops
-from quillspark.llm.cuckoo import CuckooFilter, Shards
+from quillspark.llm.cuckoo import CuckooFilter
 
 DOC = "doc_id long, text string"
 
@@ -96,11 +96,45 @@ def test_line_dedup_is_reversible_and_incremental(spark):
     assert store.counts().agg({"n_docs": "max"}).first()[0] == 1
 
 
-def test_line_dedup_without_broadcast_filters(spark, monkeypatch):
-    rows = [(i, f"line number {i % 3} here\nown {i}") for i in range(12)]
-    want = lines(rows)
-    monkeypatch.setattr(line_ops, "FILTER_BYTES", 0)
-    assert {r.doc_id: tuple(r["__q_lines"]) for r in line_ops.deduplicated(table(spark, rows)).collect()} == want
+def test_line_filters_follow_insertions_and_deletions(spark, monkeypatch):
+    """Changed in place, filters answer as ones that are built anew from the exact table, and hold as many marks."""
+    monkeypatch.setattr(line_ops, "SHARD_KEYS", 16)
+    r = random.Random(3)
+    rows = {i: "\n".join(f"a line of number {r.randrange(60)}" for _ in range(12)) for i in range(40)}
+    part = lambda ids: table(spark, [(i, rows[i]) for i in ids])
+    store = line_ops.LineStore.empty(spark).insert(part(range(10)))
+    held = set(range(10))
+    built = []
+    monkeypatch.setattr(line_ops.LineStore, "_built", lambda self, old=line_ops.LineStore._built: built.append(1) or old(self))
+    for come, gone in (((10, 11, 12), ()), ((), (0, 3, 11)), ((13, 14, 3), ()), ((), (1, 2, 4, 5, 6, 7, 12)), (range(15, 18), ())):
+        store = store.insert(part(come)) if come else store.delete(table(spark, [(i, "") for i in gone]))
+        held = held | set(come) - set(gone) if come else held - set(gone)
+        anew = line_ops.LineStore.empty(spark).insert(part(sorted(held)))
+        cells = lambda s: {x.shard: CuckooFilter.load(bytes(x.cells)) for x in s.filters.collect()}
+        mine, theirs = cells(store), cells(anew)
+        keys = np.array([x.key_lo for x in anew.shared.collect()], np.int64).view(np.uint64)
+        assert store.keys == anew.keys == len(keys) == sum(int((f.table > 0).sum()) for f in mine.values())
+        assert all(mine[int(k) % store.shards].maybe(np.array([k]))[0] for k in keys)
+        got = {x.doc_id: tuple(x["__q_lines"]) for x in line_ops.deduplicated(part(sorted(held)), store).collect()}
+        assert got == lines([(i, rows[i]) for i in sorted(held)])
+    assert len(built) < 10  # five are those built for comparison
+    assert len(store.log) == 6
+
+
+def test_line_filters_grow_where_they_are_too_full(spark, monkeypatch):
+    monkeypatch.setattr(line_ops, "SHARD_KEYS", 1 << 15)
+    some = [(i, "\n".join(f"a line of number {k}" for k in range(6))) for i in range(2)]
+    more = [(i, "\n".join(f"a line of number {k}" for k in range(300))) for i in range(2, 4)]
+    store = line_ops.LineStore.empty(spark).insert(table(spark, some)).insert(table(spark, more))
+    assert store.keys == 300 and store.filters.count() == 1
+    got = {x.doc_id: tuple(x["__q_lines"]) for x in line_ops.deduplicated(table(spark, some + more), store).collect()}
+    assert got == lines(some + more)
+
+
+def test_line_dedup_of_rows_without_id(spark):
+    rows = [(None, "a line that is held\nown line of one"), (None, "own line of two\na line that is held"), (None, None), (5, "a line that is held"), (5, "another text here\nA LINE that is held  "), (None, "x" * 200_000 + "\na line that is held")]
+    got = sorted((r.doc_id or 0, *r["__q_lines"]) for r in line_ops.deduplicated(table(spark, rows)).collect())
+    assert got == sorted([(0, 2, 1, "own line of one"), (0, 2, 1, "own line of two"), (0, 1, 0, ""), (5, 1, 0, "a line that is held"), (5, 2, 0, "another text here\nA LINE that is held  "), (0, 2, 1, "x" * 200_000)])
 
 
 def test_line_stage_keeps_columns_and_drops_copies(spark):
@@ -111,7 +145,7 @@ def test_line_stage_keeps_columns_and_drops_copies(spark):
 def test_cuckoo_filters_hold_and_forget():
     keys = tokens.mix(np.arange(1, 5001, dtype=np.uint64))
     f = CuckooFilter.of(keys[:3000])
-    probe = lambda f, k: Shards({0: f.dump()}, 1).maybe(k)
+    probe = lambda f, k: f.maybe(k)
     assert probe(f, keys[:3000]).all() and probe(f, keys[3000:]).mean() < 0.01
     for k in keys[:1500]:
         assert f.delete(k)
