@@ -10,13 +10,21 @@ SPACE = r"[\s\x{a0}\x1c-\x1f\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{
 #: Thresholds of legibility and of page layout.
 MIN_ASCII_SHARE, MIN_CHARS, MIN_CHARS_PAGE = 0.85, 200, 200
 USEFUL_LINE, GUTTER, MULTI_COLUMN = 40, 8, 0.30
+#: What a sentence begins with after a full stop, marks at the edges of a claim, least and most characters
+#: of a bold lead-in.
+SENTENCE_HEADS, EDGE_MARKS, LEAD_IN = "A-ZÁÉÍÓÚÑ¿¡([*", " :;,–—", (2, 80)
 #: Keys of catalogue records start with a year and a letter.
 KEY = r"^[0-9]{4}[A-Za-z]"
 LINK = r"\[\[([^\]|#]+)"
 
 
+def _edges(marks: str) -> str:
+    """Runs of marks (a class) at a text's ends. A run is read once, however long it is, since no match starts inside one."""
+    return rf"\A{marks}++|(?<!{marks}){marks}++\z"
+
+
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.regexp_replace(text, _edges(SPACE), "")
 
 
 def collapse(text: Column) -> Column:
@@ -58,17 +66,19 @@ def safe_name(key: Column) -> Column:
 def blind(text: Column) -> Column:
     """A claim without its links, so that it can be judged by content only."""
     bare = F.regexp_replace(text, r"\[\[[^\]]*\]\]", "")
-    return F.regexp_replace(F.regexp_replace(bare, f"{SPACE}+", " "), r"^[ :;,–—]+|[ :;,–—]+$", "")
+    return F.regexp_replace(F.regexp_replace(bare, f"{SPACE}+", " "), _edges(f"[{EDGE_MARKS}]"), "")
 
 
 def sentences(text: Column) -> Column:
     """Cut after a full stop and space where a capital, a bracket or a bold mark follows."""
-    return F.split(text, r"(?<=\.)\s+(?=[A-ZÁÉÍÓÚÑ¿¡(\[*])")
+    heads = SENTENCE_HEADS.replace("[", r"\[")
+    return F.split(text, rf"(?<=\.)\s+(?=[{heads}])")
 
 
 def clause_for(block: Column, key: Column) -> Column:
     """The lead-in and those sentences of a block that cite the key; the block where it can't be cut."""
-    lead = r"^(\*\*[^*]{2,80}?\*\*:?)\s*"
+    bold = r"\*\*"
+    lead = rf"\A({bold}[^*]{{{LEAD_IN[0]},{LEAD_IN[1]}}}{bold}:?)\s*"
     parts = sentences(F.regexp_replace(block, lead, ""))
     own = F.filter(parts, lambda s: F.contains(s, F.concat(F.lit("[["), key)))
     cut = strip(F.concat_ws(" ", F.nullif(F.regexp_extract(block, lead, 1), F.lit("")), F.array_join(own, " ")))
@@ -172,7 +182,7 @@ def has_gutter(line: Column) -> Column:
 
 
 def ends_hyphenated(line: Column) -> Column:
-    return F.regexp_like(F.regexp_replace(line, f"{SPACE}+$", ""), F.lit(r"\p{L}-$"))
+    return F.regexp_like(line, F.lit(rf"\p{{L}}-{SPACE}*+\z"))
 
 
 def segments(text: Column) -> Column:

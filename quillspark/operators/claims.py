@@ -26,7 +26,7 @@ def numbered_lines(notes: DataFrame, heading: str = VERIFIED) -> DataFrame:
 
 
 def blocks(notes: DataFrame, heading: str = VERIFIED) -> DataFrame:
-    """stem, line and block: bullets with their continuation lines, paragraphs, and table rows one by one.
+    """stem, line, n_lines and block: bullets with their continuation lines, paragraphs, and table rows one by one.
 
     A running count of fence lines tells what is fenced; a running count of starts numbers the blocks. One note is
     one group, however many notes there are.
@@ -44,7 +44,7 @@ def blocks(notes: DataFrame, heading: str = VERIFIED) -> DataFrame:
     starts = ~F.col("out") & (F.col("alone") | bullet | ~before_open)
     rows = rows.withColumn("n", F.sum(starts.cast("int")).over(up_to)).where("not out")
     held = rows.groupBy("stem", "n").agg(F.min("line").alias("line"), F.array_sort(F.collect_list(F.struct("line", "s"))).alias("l"))
-    return held.select("stem", "line", F.array_join(F.transform("l", lambda x: x["s"]), " ").alias("block"))
+    return held.select("stem", "line", F.size("l").cast("long").alias("n_lines"), F.array_join(F.transform("l", lambda x: x["s"]), " ").alias("block"))
 
 
 def pairs(notes: DataFrame, documents: DataFrame, most: int = MAX_PAIRS, heading: str = VERIFIED) -> DataFrame:
@@ -127,18 +127,21 @@ def ladder(quotes: DataFrame, documents: DataFrame, shortest: int = 3, longest:
     the run goes on word by word. quotes: quote_id, quote. documents: doc, text.
     """
     split = lambda c: F.filter(F.split(F.lower(X.collapse(c)), " "), lambda w: w != "")
-    starts = lambda: F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - shortest + 1), lambda i: F.array_join(F.slice("w", i, F.lit(shortest)), " "))).alias("at", "head")
+    heads = F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - shortest + 1), lambda i: F.xxhash64(F.array_join(F.slice("w", i, F.lit(shortest)), " ")))).alias("at", "head")
     q = quotes.select("quote_id", split(F.col("quote")).alias("w")).where(F.size("w") >= shortest)
     most = q.agg(F.max(F.size("w"))).first()[0] or shortest
     most = most if longest is None else min(most, longest)
     rest = F.slice("w", F.col("at") + 1, F.lit(most))
-    runs = q.select("quote_id", "w", starts()).select("quote_id", "head", (F.col("at") + 1).alias("start"), rest.alias("run"))
-    lines = documents.select("doc", F.posexplode(X.segments(F.col("text"))).alias("line", "raw")).select("doc", (F.col("line") + 1).alias("line"), split(F.col("raw")).alias("w"))
-    heads = lines.where(F.size("w") >= shortest).select("doc", "line", "w", starts()).select("doc", "line", "head", rest.alias("s"))
-    met = heads.join(runs, "head")
+    runs = q.select("quote_id", "w", heads).select("quote_id", "head", (F.col("at") + 1).alias("start"), rest.alias("run"))
+    lines = documents.select("doc", F.posexplode(X.segments(F.col("text"))).alias("line", "raw")).select("doc", "line", split(F.col("raw")).alias("w")).where(F.size("w") >= shortest)
+    # places first, without any text: only those whose head some quote has are looked at again
+    places = lines.select("doc", "line", heads).join(runs.select("head").distinct(), "head", "left_semi").groupBy("doc", "line").agg(F.collect_list(F.struct("at", "head")).alias("places"))
+    held = documents.join(places.select("doc").distinct(), "doc", "left_semi").select("doc", X.segments(F.col("text")).alias("s"))
+    there = held.join(places, "doc").select("doc", "line", F.explode("places").alias("p"), split(F.get("s", F.col("line"))).alias("w")).select("doc", (F.col("line") + 1).alias("line"), "p.at", "p.head", "w")
+    met = there.select("doc", "line", "head", rest.alias("s")).join(runs, "head")
     both = F.least(F.size("run"), F.size("s"))
     parts = F.array_position(F.zip_with(F.slice("run", 1, both), F.slice("s", 1, both), lambda a, b: a != b), True)
-    met = met.withColumn("n", F.when(parts > 0, parts - 1).otherwise(both).cast("int"))
+    met = met.withColumn("n", F.when(parts > 0, parts - 1).otherwise(both).cast("int")).where(F.col("n") >= shortest)  # heads are hashes
     best = met.groupBy("quote_id", "doc").agg(F.min(F.struct((-F.col("n")).alias("m"), "start", "line")).alias("b"))
     return best.select("quote_id", "doc", F.col("b.line").alias("line"), (-F.col("b.m")).alias("n"))
 

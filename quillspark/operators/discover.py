@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as X
@@ -47,42 +46,37 @@ def fetch_keys(records: DataFrame, keys: DataFrame) -> DataFrame:
     return found.withColumn("relevant", F.lit(True)).withColumn("why_excluded", F.lit(None).cast("string")).withColumn("via", F.lit("manual"))
 
 
-def variants_of(names: Sequence[str]) -> list[str]:
-    """Names with and without the space of a catalogue designation, in order, each once."""
-    out: dict[str, None] = {}
-    for name in map(str.strip, names):
-        m = re.match(r"^([A-Za-z]{2,4})\s*(\d[\w.+-]*)$", name)
-        for v in (f"{m[1]} {m[2]}", f"{m[1]}{m[2]}") if m else (name,):
-            out.setdefault(v)
-    return list(out)
-
-
 def mentions(columns: Sequence[Column], names: Sequence[str]) -> Column:
     """Whether any column holds a variant of any name as a phrase, case aside."""
-    tests = [F.contains(F.lower(X.collapse(F.coalesce(c, F.lit("")))), F.lit(v.lower())) for v in variants_of(names) for c in columns]
-    out = tests[0]
-    for t in tests[1:]:
-        out = out | t
-    return out
+    phrases = X.expand_variants(F.array(*map(F.lit, names)))
+    texts = F.array(*[F.lower(X.collapse(F.coalesce(c, F.lit("")))) for c in columns])
+    return F.exists(phrases, lambda p: F.exists(texts, lambda t: F.contains(t, F.lower(p))))
 
 
-def glyph_targets(names: Sequence[str]) -> dict[str, set[str]]:
-    """Letter to constellations, for names of a letter and a constellation whose letter has look-alikes."""
-    letter_of = {form: letter for letter, (forms, *_) in LETTERS.items() for form in forms}
-    letter_of |= {g: letter for letter, (_, own, others) in LETTERS.items() for g in own + others}
-    out: dict[str, set[str]] = {}
-    for name in names:
-        m = re.match(r"^(\S+)[\s ]+([A-Za-z]{2,})$", name.strip())
-        letter = letter_of.get(m[1].lower().rstrip(".")) if m else None
-        if letter and LETTERS[letter][2]:
-            out.setdefault(letter, set()).add(m[2])
-    return out
+def _letters() -> Column:
+    """A map from each form of a letter that has look-alikes, and from each of its glyphs, to the letter and all its glyphs."""
+    rows = [(form, letter, own + alike) for letter, (forms, own, alike) in LETTERS.items() if alike for form in (*forms, *own, *alike)]
+    return F.map_from_entries(F.array(*[F.struct(F.lit(form), F.struct(F.lit(letter).alias("letter"), F.lit(glyphs).alias("glyphs"))) for form, letter, glyphs in rows]))
 
 
-def glyph_pattern(letter: str, constellations: set[str]) -> str:
-    """A look-alike or the letter itself, next to a constellation; case counts."""
-    names = "|".join(re.escape(c) for c in sorted(constellations, key=lambda c: (-len(c), c)))
-    return rf"[{LETTERS[letter][1]}{LETTERS[letter][2]}][\s\x{{a0}}]*(?:{names})(?!\w)"
+def glyph_target(name: Column) -> Column:
+    """letter, glyphs, constellation and pattern of a name of a letter and a constellation; null for any other name.
+
+    The pattern finds the letter or a look-alike of it beside the constellation, in the constellation's own case.
+    """
+    words = F.split(X.collapse(name), " ")
+    known = F.try_element_at(_letters(), F.lower(F.rtrim(F.get(words, F.lit(0)), F.lit("."))))
+    place = F.get(words, F.lit(1))
+    ok = (F.size(words) == 2) & F.regexp_like(place, F.lit(r"\A[A-Za-z]{2,}\z")) & known.isNotNull()
+    pattern = F.concat(F.lit("["), known["glyphs"], F.lit(f"]{X.SPACE}*"), place, F.lit(r"(?!\w)"))
+    return F.when(ok, F.struct(known["letter"].alias("letter"), known["glyphs"].alias("glyphs"), place.alias("constellation"), pattern.alias("pattern")))
+
+
+def glyph_targets(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """letter, constellations and pattern of the names that a look-alike may hide, one row a letter."""
+    named = spark.createDataFrame([(n,) for n in names], "name string").select(glyph_target(F.col("name")).alias("t")).where("t is not null")
+    one = named.groupBy("t.letter", "t.glyphs").agg(F.array_sort(F.collect_set("t.constellation")).alias("constellations"), F.array_join(F.array_sort(F.collect_set("t.pattern")), "|").alias("pattern"))
+    return one.select("letter", "constellations", "pattern").orderBy("letter")
 
 
 def glyph_rescue(records: DataFrame, names: Sequence[str], rows: int = 2000) -> tuple[DataFrame | None, DataFrame | None]:
@@ -92,20 +86,21 @@ def glyph_rescue(records: DataFrame, names: Sequence[str], rows: int = 2000) ->
     letter is reported.
     """
     found = cut = None
-    for letter, constellations in sorted(glyph_targets(names).items()):
-        superset = search(records, mentions([F.col("title"), F.col("abstract")], sorted(constellations)), rows)
+    for t in glyph_targets(records.sparkSession, names).collect():  # no more rows than there are names
+        superset = search(records, mentions([F.col("title"), F.col("abstract")], t.constellations), rows)
         both = F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("abstract", F.lit("")))
-        kept = superset.where(F.regexp_like(both, F.lit(glyph_pattern(letter, constellations)))).drop("num_found", "truncated").withColumn("via", F.lit("glyph"))
-        mark = superset.where("truncated").select(F.lit(letter).alias("letter"), F.lit(", ".join(sorted(constellations))).alias("constellations"), "num_found", F.lit(rows).alias("rows")).distinct()
+        kept = superset.where(F.regexp_like(both, F.lit(t.pattern))).drop("num_found", "truncated").withColumn("via", F.lit("glyph"))
+        mark = superset.where("truncated").select(F.lit(t.letter).alias("letter"), F.lit(", ".join(t.constellations)).alias("constellations"), "num_found", F.lit(rows).alias("rows")).distinct()
         found, cut = (kept, mark) if found is None else (found.unionByName(kept), cut.unionByName(mark))
     return found, cut
 
 
 def subject_in_title(title: Column, names: Sequence[str]) -> Column:
     """Whether the title holds a variant of a name (part of a word counts) or one of its glyph forms."""
+    line = X.collapse(F.coalesce(title, F.lit("")))
     test = mentions([title], names)
-    for letter, constellations in glyph_targets(names).items():
-        test = test | F.regexp_like(X.collapse(F.coalesce(title, F.lit(""))), F.lit(glyph_pattern(letter, constellations)))
+    for name in names:
+        test = test | F.coalesce(F.regexp_like(line, glyph_target(F.lit(name))["pattern"]), F.lit(False))
     return test
 
 

@@ -217,24 +217,6 @@ def dangling_refs(spark, sf_dir):
     return ledger.unknown_keys(found, table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("bibcode"))).select("o_orderkey")
 
 
-_HREF = """WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS target, generate_subscripts(regexp_extract_all(html, 'href="([^"]*)"', 1), 1) - 1 AS pos FROM pages)"""
-
-
-def hrefs(spark, sf_dir) -> DataFrame:
-    found = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
-    return table(spark, sf_dir, "pages").select("page_id", F.posexplode(found).alias("pos", "target"))
-
-
-@query(_HREF + " SELECT page_id, CAST(pos AS INTEGER) AS pos, target FROM l")
-def link_extract(spark, sf_dir):
-    return hrefs(spark, sf_dir)
-
-
-@query(_HREF + " SELECT target, count(*) AS incoming, count(DISTINCT page_id) AS n_pages FROM l GROUP BY target")
-def link_indegree(spark, sf_dir):
-    return hrefs(spark, sf_dir).groupBy("target").agg(F.count(F.lit(1)).alias("incoming"), F.countDistinct("page_id").alias("n_pages"))
-
-
 @query("""
 WITH live AS (SELECT lang AS slug, count(*) AS n FROM documents WHERE lang <> 'fr' GROUP BY lang),
 old AS (SELECT lang AS slug, count(*) AS n FROM documents JOIN (SELECT DISTINCT doc_id FROM labels) USING (doc_id) GROUP BY lang)
@@ -282,23 +264,24 @@ def mass_choice(spark, sf_dir):
 
 
 @query(r"""
-WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents),
-s AS (SELECT doc_id, line, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS s FROM l),
-f AS (SELECT *, s = '' OR s LIKE '>%' OR s LIKE '#%' AS out, s LIKE '|%' AS tbl, regexp_matches(s, '^([-*] |[0-9]+\.\s)') AS bul FROM s),
+WITH d AS (SELECT doc_id, replace(replace(replace(replace(text, chr(10) || 'Licensed', chr(10) || '```' || chr(10) || 'Licensed'), chr(10) || 'Of.', chr(10) || '- Of.'), chr(10) || 'And ornd.', chr(10) || '> And ornd.'), chr(10) || 'Released', chr(10) || '| Released') AS text FROM documents),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM d),
+t AS (SELECT doc_id, line, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS s FROM l),
+s AS (SELECT *, sum(CASE WHEN s LIKE '```%' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line) AS fences FROM t),
+f AS (SELECT *, s LIKE '```%' OR fences % 2 = 1 OR s = '' OR s LIKE '>%' OR s LIKE '#%' AS out, s LIKE '|%' AS tbl, regexp_matches(s, '^([-*] |[0-9]+\.\s)') AS bul FROM s),
 b AS (SELECT *, lag(NOT out AND NOT tbl, 1, false) OVER (PARTITION BY doc_id ORDER BY line) AS open FROM f),
 g AS (SELECT *, sum(CASE WHEN NOT out AND (tbl OR bul OR NOT open) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line) AS n FROM b)
 SELECT doc_id, CAST(min(line) AS INTEGER) AS line, count(*) AS n_lines, md5(string_agg(s, ' ' ORDER BY line)) AS block FROM g WHERE NOT out GROUP BY doc_id, n""")
 def claim_blocks(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("stem"), "text")
-    rows = claims.blocks(d)
-    lines = claims.numbered_lines(d).where("s <> '' and s not like '>%' and s not like '#%'")
-    spans = rows.withColumn("stop", F.lead("line").over(Window.partitionBy("stem").orderBy("line")))
-    n = spans.join(lines.select("stem", F.col("line").alias("at")), "stem").where("at >= line and (stop is null or at < stop)").groupBy("stem", "line").agg(F.count(F.lit(1)).alias("n_lines"))
-    return rows.join(n, ["stem", "line"]).select(F.col("stem").alias("doc_id"), "line", "n_lines", F.md5("block").alias("block"))
+    marked = F.col("text")
+    for line, mark in (("Licensed", "```\n"), ("Of.", "- "), ("And ornd.", "> "), ("Released", "| ")):  # some lines open or close a fence, or are bullets, quotes and table rows
+        marked = F.replace(marked, F.lit(f"\n{line}"), F.lit(f"\n{mark}{line}"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("stem"), marked.alias("text"))
+    return claims.blocks(d).select(F.col("stem").alias("doc_id"), "line", "n_lines", F.md5("block").alias("block"))
 
 
 @query("""
-WITH r AS (SELECT item_id, CAST(item_id AS VARCHAR) AS k, item_id // 7 AS note, item_id // 3 AS line FROM benchmark ORDER BY item_id LIMIT 40),
+WITH r AS (SELECT item_id, CAST(item_id AS VARCHAR) AS k, item_id // 7 AS note, item_id // 3 AS line FROM benchmark),
 ring AS (SELECT k, row_number() OVER (ORDER BY k) - 1 AS i, count(*) OVER () AS n FROM (SELECT DISTINCT k FROM r)),
 m AS (
   SELECT r.item_id, r.k AS own, x.k AS other, (x.i - o.i + o.n) % o.n AS dist,
@@ -344,25 +327,6 @@ def quality_arbitration(spark, sf_dir):
     return notes.best_text(d).join(low, "stem").select("any_id", F.col("path").cast("bigint").alias("chosen"))
 
 
-@query("""
-SELECT conv_id, m AS member, count(*) AS n FROM (SELECT conv_id, unnest(regexp_extract_all(lower(text), '[a-z]{9,}')) AS m FROM conversations) GROUP BY conv_id, m""")
-def flatten_members(spark, sf_dir):
-    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{9,}"), F.lit(0))
-    return table(spark, sf_dir, "conversations").select("conv_id", F.explode(words).alias("member")).groupBy("conv_id", "member").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 50")
-def top50_index(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "n_chars").orderBy(classify.by_citations("n_chars"), "doc_id").limit(50)
-
-
-@query("""
-SELECT source, count(*) FILTER (WHERE lang = 'de') AS de, count(*) FILTER (WHERE lang = 'en') AS en, count(*) FILTER (WHERE lang = 'es') AS es, count(*) FILTER (WHERE lang = 'fr') AS fr FROM documents GROUP BY source""")
-def method_matrix(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("source", "lang")
-    return d.groupBy("source").pivot("lang", ["de", "en", "es", "fr"]).count().na.fill(0)
-
-
 @query(r"""
 WITH v AS (SELECT len(regexp_replace(text, '\s', '', 'g')) AS n, len(regexp_replace(text, '[^!-~]', '', 'g')) AS a FROM documents),
 i AS (SELECT 'illegible_text' AS category, 'backlog' AS severity, count(*) AS n FROM v WHERE n < 200 OR a / CAST(n AS DOUBLE) < 0.85),
@@ -416,26 +380,23 @@ def missing_documents(spark, sf_dir):
     return out.select(F.col("ordinal").alias("doc_id"), F.concat("bibstem", F.lit(" (0)")).alias("line"))
 
 
-@query("""
-WITH q AS (SELECT item_id, list_filter(string_split(lower(regexp_replace(trim(text), '\\s+', ' ', 'g')), ' '), lambda w: w <> '') AS w FROM benchmark),
-runs AS (SELECT item_id, n, s, array_to_string(list_slice(w, s, s + n - 1), ' ') AS run FROM q, unnest(range(8, least(len(w), 12) + 1)) AS a(n), unnest(range(1, len(w) - n + 2)) AS b(s)),
-seg AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
-kept AS (SELECT doc_id, i, regexp_replace(trim(raw), '\\s+', ' ', 'g') AS t FROM seg WHERE trim(raw) <> ''),
-num AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS line, ' ' || lower(t) || ' ' AS t FROM kept),
-hit AS (SELECT item_id, doc_id, n, s, line FROM runs JOIN num ON contains(t, ' ' || run || ' ')),
-best AS (SELECT *, row_number() OVER (PARTITION BY item_id, doc_id ORDER BY n DESC, s, line) AS q FROM hit)
-SELECT item_id AS quote_id, doc_id AS doc, CAST(line AS INTEGER) AS line, CAST(n AS INTEGER) AS n FROM best WHERE q = 1""")
+@query(r"""
+WITH q AS (SELECT item_id, list_filter(string_split(lower(regexp_replace(trim(text), '\s+', ' ', 'g')), ' '), lambda w: w <> '') AS w FROM benchmark),
+d AS (SELECT doc_id, replace(text, '. ', '.          ') AS text FROM documents),
+seg AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
+cut AS (SELECT doc_id, i, unnest(string_split_regex(raw, ' {8,}')) AS raw, generate_subscripts(string_split_regex(raw, ' {8,}'), 1) AS j FROM seg),
+num AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS line, list_filter(string_split(lower(regexp_replace(trim(raw), '\s+', ' ', 'g')), ' '), lambda w: w <> '') AS w FROM cut WHERE trim(raw) <> ''),
+a AS (SELECT item_id, s, array_to_string(w[s:s + 2], ' ') AS g FROM q, unnest(range(1, len(w) - 1)) AS t(s)),
+b AS (SELECT doc_id, line, p, array_to_string(w[p:p + 2], ' ') AS g FROM num, unnest(range(1, len(w) - 1)) AS t(p)),
+m AS (SELECT item_id, doc_id, line, s, p FROM a JOIN b USING (g)),
+isl AS (SELECT *, s - row_number() OVER (PARTITION BY item_id, doc_id, line, s - p ORDER BY s) AS run FROM m),
+hit AS (SELECT item_id, doc_id, line, min(s) AS s, count(*) + 2 AS n FROM isl GROUP BY item_id, doc_id, line, s - p, run),
+best AS (SELECT *, row_number() OVER (PARTITION BY item_id, doc_id ORDER BY n DESC, s, line) AS r FROM hit)
+SELECT item_id AS quote_id, doc_id AS doc, CAST(line AS INTEGER) AS line, CAST(n AS INTEGER) AS n FROM best WHERE r = 1""")
 def shortening_ladder(spark, sf_dir):
+    """Runs from the whole quote down to 3 words, in texts whose sentences stand in columns of their own."""
     quotes = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("quote_id"), F.col("text").alias("quote"))
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), "text")
-    return claims.ladder(quotes, docs, shortest=8, longest=12)
-
-
-@query()
-def shortening_ladder_whole(spark, sf_dir):
-    """Runs from the whole quote down to 3 words. It has no SQL twin and is tested against brute force."""
-    quotes = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("quote_id"), F.col("text").alias("quote"))
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), "text")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.replace("text", F.lit(". "), F.lit("." + " " * 10)).alias("text"))
     return claims.ladder(quotes, docs)
 
 
@@ -456,9 +417,3 @@ def composite_key_repeats(spark, sf_dir):
     n = rows.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     first = discover.first_wins(rows.select("l_orderkey", "l_linenumber", "l_extendedprice"), ["l_orderkey", "l_linenumber"], "l_extendedprice")
     return first.join(n, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "n", F.col("l_extendedprice").alias("low"))
-
-
-@query("""
-SELECT event_type, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, count(DISTINCT user_id) AS n_users FROM events GROUP BY event_type""")
-def ledger_over_time(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.countDistinct("user_id").alias("n_users"))

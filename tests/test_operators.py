@@ -75,9 +75,8 @@ def test_search_limits_before_reporting(spark):
 
 
 def test_names_and_glyphs(spark):
-    assert discover.variants_of(["HD 40307", "HD40307", "tau Ceti"]) == ["HD 40307", "HD40307", "tau Ceti"]
     assert one(spark, X.expand_variants(F.col("n")), n=["HD 40307", "51 Peg"]) == ["HD 40307", "HD40307", "51 Peg"]
-    assert discover.glyph_targets(["eps Eridani", "ε Eri", "tau Ceti", "AU Mic"]) == {"epsilon": {"Eridani", "Eri"}}
+    assert [(r.letter, r.constellations) for r in discover.glyph_targets(spark, ["eps Eridani", "ε Eri", "tau Ceti", "AU Mic"]).collect()] == [("epsilon", ["Eri", "Eridani"])]
     rows = [("s", i, str(i), t, "", "article", [], i, "query") for i, t in enumerate(["Planet at ∊ Eridani", "τ Eri", "ϵEri b", "Eridani only"])]
     found, cut = discover.glyph_rescue(rec(spark, rows), ["eps Eridani", "eps Eri"])
     assert sorted(r.bibcode for r in found.collect()) == ["0", "2"] and cut.count() == 0
@@ -261,7 +260,7 @@ def test_ladder_tries_whole_quotes_down_to_three_words(spark, tmp_path):
             runs = ((n, s) for n in range(len(q), 2, -1) for s in range(len(q) - n + 1))
             hits = ((i, d, k + 1, n) for n, s in runs for k, line in enumerate(text.lower().split("\n")) if f" {' '.join(q[s : s + n])} " in f" {line} ")
             want |= set([*hits][:1])
-    assert {tuple(r) for r in registry.QUERIES["shortening_ladder_whole"](spark, str(tmp_path)).select("quote_id", "doc", "line", "n").collect()} == want
+    assert {tuple(r) for r in registry.QUERIES["shortening_ladder"](spark, str(tmp_path)).select("quote_id", "doc", "line", "n").collect()} == want
     assert (1, 1, 2, 40) in want and (1, 5, 1, 3) in want and (2, 3, 1, 4) in want
     assert claims.ladder(spark.createDataFrame(quotes, "quote_id long, quote string"), spark.createDataFrame(docs, "doc long, text string")).where("n = 40").count() == 1
 
@@ -308,7 +307,7 @@ def test_audit(spark):
     assert keys(audit.corrections(n)) == [("2001A", "erratum (2020) no notice DOI")]
     assert keys(audit.dangling_thesis_links(n)) == [("gone", "1 notes: 2001A")]
     assert keys(audit.dangling_disputes(n)) == [("s", "c: 1999X")]
-    assert keys(audit.implementation_leaks(n)) == [("c1", "line 5: dial of an implementation")]
+    assert keys(audit.implementation_leaks(n)) == [("c1", "line 5: dial")]
     assert keys(audit.undeclared_areas(n, Lens({"a": "b"}, concept_areas=("known",)))) == [("c1", "odd")]
     assert keys(audit.unverifiable_citations(links, docs)) == [("c1", "2009Z")]
     changes = spark.createDataFrame([("c1", dt.date(2024, 2, 1))], "stem string, changed_on date")
@@ -371,3 +370,14 @@ def test_small_edits(spark):
     assert one(spark, notes.quoted(F.col("t")), t="a b&c") == "a%20b%26c"
     t = spark.createDataFrame([("a", ["10.1/x"], []), ("b", [None, ""], None), ("c", None, ["2001A"])], "slug string, dois array<string>, extra_core array<string>")
     assert [r.slug for r in audit.wants_retraction_check(t).collect()] == ["a", "c"]
+
+
+def test_long_runs_of_blanks_are_trimmed_in_linear_time(spark):
+    import time
+
+    blank = "  \t" * 350_000
+    rows = spark.createDataFrame([(f"a{blank}b{blank}", f"{blank}x y-{blank}"), ("", " \n"), ("a b", "é　")], "a string, b string")
+    start = time.time()
+    got = rows.select(X.strip(F.col("a")).alias("a"), X.strip(F.col("b")).alias("b"), X.ends_hyphenated(F.col("b")).alias("h"), X.blind(F.concat(F.lit(" - ;"), F.col("b"))).alias("c")).collect()
+    assert time.time() - start < 20
+    assert [(r.a, r.b) for r in got] == [(f"a{blank}b", "x y-"), ("", ""), ("a b", "é")] and [r.h for r in got] == [True, False, False]
