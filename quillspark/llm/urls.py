@@ -2,13 +2,18 @@
 
 Everything that touches rows is a DataFrame operation. The trees are grown on the driver from a bounded sample
 of labelled URLs (chosen by md5 of the id and gathered as counts of binned features) and become nested
-conditional expressions over the feature columns. Suffix statistics are a table of smoothed block rates by the
-host's last label, learned from all labelled URLs, joined by Spark's own choice of strategy.
+conditional expressions over the feature columns. Suffix statistics are smoothed block rates by the host's last
+label, learned from all labelled URLs; a row's rate is that of the other folds, so that neither in learning nor in
+judging its own label, or that of a URL on the same host, stands behind its feature. Features are computed once and written.
 
-Labels: a rule's verdict; else block where the host holds a seed term; else a weak allow, of a small weight.
+Labels: a rule's verdict; else block where a seed term stands in the host, or the host is a number or has a port;
+else a weak allow, of a small weight.
 
 Defined cases: a null url, or one without `://`, has an empty host and path, fits no rule and is judged by the
-trees as it is. Rules of equal length that both fit: the smaller string wins. Empty tables give no rows.
+trees as it is. Rules of equal length that both fit: the smaller string wins. Rows that repeat, and rows without
+page_id, are judged each for itself; ties of the sample's md5 are broken by page_id. Very long urls are read whole,
+in time that grows with their length. Only page_id and url are read, whatever else a table holds. Empty tables give
+no rows; without any label the trees allow.
 """
 
 from __future__ import annotations
@@ -20,12 +25,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillspark.llm.shared import bounded_sample
+from quillspark.llm.shared import bounded_sample, staged
 
 #: Host and path prefix, verdict.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 #: Terms in a host that label a URL as block for training.
-SEEDS = ("casino", "cheap", "farm", "free-", "loan", "pills", "porn", "spam", "viagra", "xxx")
+SEEDS = ("ads-", "casino", "cheap", "clickbait", "farm", "free-", "loan", "malware", "phish", "pills", "porn", "spam", "viagra", "xxx")
+#: Folds that block rates are learned in.
+FOLDS = 5
 #: Labelled URLs that trees are grown from at most; the weight of an allow that nothing but silence supports.
 MAX_TRAIN_ROWS, WEAK = 20_000, 0.3
 #: Rules up to this number are one expression; more are a table that hosts' suffixes are joined with.
@@ -83,11 +90,18 @@ def _count(text: Column, what: str) -> Column:
 
 
 def _entropy(text: Column) -> Column:
-    """Bits a character."""
+    """Bits a character, from the runs of its sorted characters."""
     n = F.length(text).cast("double")
-    chars = F.array_distinct(F.filter(F.split(text, ""), lambda c: c != ""))
-    share = lambda c: (n - F.length(F.replace(text, c))) / n
-    return F.coalesce(F.aggregate(chars, F.lit(0.0), lambda total, c: total - share(c) * F.log2(share(c))), F.lit(0.0))
+    chars = F.array_sort(F.filter(F.split(text, ""), lambda c: c != ""))
+    part = lambda run: F.when(run > 0, run * F.log2(run)).otherwise(0.0)
+    start = F.struct(F.lit("").alias("char"), F.lit(0.0).alias("run"), F.lit(0.0).alias("total"))
+
+    def step(done: Column, c: Column) -> Column:
+        same = done["char"] == c
+        return F.struct(c.alias("char"), F.when(same, done["run"] + 1.0).otherwise(1.0).alias("run"), (done["total"] + F.when(same, 0.0).otherwise(part(done["run"]))).alias("total"))
+
+    total = F.aggregate(chars, start, step, lambda done: done["total"] + part(done["run"]))
+    return F.when(n > 0, F.greatest(F.log2(n) - total / n, F.lit(0.0))).otherwise(0.0)
 
 
 def _digits(text: Column) -> Column:
@@ -193,7 +207,7 @@ def with_features(df: DataFrame) -> DataFrame:
 
 def labelled(df: DataFrame, seeds: Sequence[str] = SEEDS) -> DataFrame:
     """df (host, rule_verdict) with block (0 or 1) and weight."""
-    spam = F.lit(False)
+    spam = F.regexp_like("host", F.lit(r"^[0-9.]+(:[0-9]+)?$|:[0-9]+$")) & (F.col("host") != "")
     for term in seeds:
         spam = spam | F.contains(F.col("host"), F.lit(term))
     sure = F.col("rule_verdict").isNotNull()
@@ -203,10 +217,15 @@ def labelled(df: DataFrame, seeds: Sequence[str] = SEEDS) -> DataFrame:
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, seeds: Sequence[str] = SEEDS, max_rows: int = MAX_TRAIN_ROWS) -> DataFrame:
     """page_id, host, path, rule, verdict and the trees' block score of every row."""
-    full = with_features(with_rules(pages.select("page_id", "url"), rules))
-    marked = labelled(full, seeds)
-    rates = marked.groupBy("suffix").agg(((F.sum(F.col("block") * F.col("weight")) + 1.0) / (F.sum("weight") + 2.0)).alias("suffix_rate"))
-    rows = bounded_sample(marked.join(rates, "suffix"), "page_id", max_rows)
+    fold = F.pmod(F.xxhash64("host"), F.lit(FOLDS)).cast("int")  # one host is in one fold
+    marked = labelled(with_features(with_rules(pages.select("page_id", "url"), rules)), seeds).withColumn("fold", fold)
+    full = staged(marked.drop("url"), "urls")
+    sums = full.groupBy("suffix", "fold").agg(F.sum(F.col("block") * F.col("weight")).alias("blocked"), F.sum("weight").alias("all"))
+    totals = sums.groupBy("suffix").agg(F.sum("blocked").alias("t_blocked"), F.sum("all").alias("t_all"))
+    rate = (F.col("t_blocked") - F.col("blocked") + 1.0) / (F.col("t_all") - F.col("all") + 2.0)
+    rates = sums.join(totals, "suffix").select("suffix", "fold", rate.alias("suffix_rate"))
+    rated = full.join(rates, ["suffix", "fold"])
+    rows = bounded_sample(rated, "page_id", max_rows)
     counts = rows.groupBy(*FEATURES).agg(F.sum(F.col("block") * F.col("weight")).alias("blocked"), F.sum("weight").alias("weight")).orderBy(*FEATURES).collect()
     if counts:
         x = {name: np.array([r[name] for r in counts], float) for name in FEATURES}
@@ -214,6 +233,6 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, seeds: Se
         model = grow(x, np.array([r.blocked for r in counts]) / weight, weight)
     else:
         model = Trees()
-    out = full.join(rates, "suffix", "left").withColumn("score", model.column())
+    out = rated.withColumn("score", model.column())
     verdict = F.coalesce("rule_verdict", F.when(F.col("score") >= THRESHOLD, "block").otherwise("allow"))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")

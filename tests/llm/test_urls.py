@@ -1,3 +1,7 @@
+import math
+import random
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from quillspark.llm import urls
@@ -42,3 +46,25 @@ def test_verdicts(spark):
     assert sum(r.verdict == "allow" for r in out if r.page_id < 120) > 115
     empty = spark.createDataFrame([], "page_id long, url string")
     assert urls.judged(empty).count() == 0
+
+
+def test_urls_without_a_label_are_judged_by_their_shape(spark):
+    """A tenth of the spam has no seed term, so nothing marks it; its shape is that of the marked rest."""
+    r = random.Random(1)
+    spam = lambda i, seed: f"http://{seed}{r.randrange(10**6)}-{r.randrange(10**6)}-offers.example.com/a/b/c/{i}?q=1&p=2&z={i}"
+    rows = [(i, spam(i, "spam" if i % 10 else "mail")) for i in range(600)]
+    rows += [(1000 + i, f"https://{r.choice(['news', 'blog', 'town', 'river'])}.example.org/{r.choice('xyz')}{i}.html") for i in range(600)]
+    out = {x.page_id: x.verdict for x in urls.judged(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    hidden = [i for i in range(600) if i % 10 == 0]
+    assert sum(out[i] == "block" for i in hidden) > 0.9 * len(hidden)
+    assert sum(out[1000 + i] == "allow" for i in range(600)) > 580
+
+
+def test_entropy_and_long_urls(spark):
+    hosts = ["", "a", "aab", "a.b-c.example", "é" * 5 + "x", "ab" * 50_000]
+    rows = spark.createDataFrame([(h,) for h in hosts], "h string").select("h", urls._entropy(F.col("h")).alias("e")).collect()
+    for row in rows:
+        want = -sum(c / len(row.h) * math.log2(c / len(row.h)) for c in Counter(row.h).values())
+        assert abs(row.e - want) < 1e-9
+    clash = spark.createDataFrame([(1, "http://" + "a." * 50_000 + "net/x", "h", "r", 1.0), (None, "http://x.net/", None, "r", 2.0), (None, "http://x.net/", None, "r", 2.0)], "page_id long, url string, host string, rule string, fold double")
+    assert sorted((r.page_id or 0, r.rule, r.verdict) for r in urls.judged(clash).collect()) == [(0, "net/", "block"), (0, "net/", "block"), (1, "net/", "block")]
