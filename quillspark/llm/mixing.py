@@ -9,10 +9,14 @@ Ranges of positions then order the documents globally.
 
 The running sum of words is taken in two steps, so no source passes through one task: documents fall into
 buckets by the head of their id's md5, bucket totals are summed over the buckets of a source, and inside a
-bucket a window adds what stands before.
+bucket a window adds what stands before. Rows of one source, id and size are counted before that and dealt out
+again after it, so copies, or rows without an id, don't meet in one bucket either. What is ordered in one task is
+the table of sources, one row each.
 
 Defined cases: null texts have size 0; null sources are one source and come last. Sources without words get
-target 0. Repeated rows stand side by side in the order and are counted each. An empty table gives no rows.
+target 0. Rows of one source, id and size stand side by side in the order and are counted each; null ids count as
+an empty one. Ties of the order's md5 are broken by size and id. Very long texts are counted whole. An empty table
+gives no rows. Only doc_id, text and source are read, whatever else a table holds.
 """
 
 from __future__ import annotations
@@ -41,11 +45,12 @@ def word_count(text: Column) -> Column:
 
 
 def sized(documents: DataFrame) -> DataFrame:
-    """doc_id, source and size of each row, and its place in the fixed order; written once, the texts are read once."""
+    """doc_id, source, size, place in the fixed order and number n of rows of the same; written once, the texts are read once."""
     source = F.col("source").cast("string")
-    place = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    out = documents.select("doc_id", source.alias("source"), F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("source_key"), word_count(F.col("text").cast("string")).alias("size"), place.alias("place"))
-    return staged(out, "sizes")
+    rows = documents.select("doc_id", source.alias("source"), F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("source_key"), word_count(F.col("text").cast("string")).alias("size"))
+    one = rows.groupBy("doc_id", "source", "source_key", "size").agg(F.count(F.lit(1)).alias("n"))
+    place = F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string")).cast("binary"))
+    return staged(one.withColumn("place", place), "sizes")
 
 
 def _cycle(values: Sequence[float], rank: Column) -> Column:
@@ -58,7 +63,7 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float
     Sorted by what a source can give for each unit of weight, the capped sources are a head of the list, and
     the first one whose share of what is left stays below its cap sets the share for all that follow.
     """
-    one = sizes.groupBy("source_key").agg(F.max("source").alias("source"), F.sum("size").cast("long").alias("source_size"))
+    one = sizes.groupBy("source_key").agg(F.max("source").alias("source"), F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size"))
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     cap = F.col("source_size") * F.lit(float(passes))
     ranked = one.withColumn("rank", rank).select("source_key", "source_size", _cycle(weights, F.col("rank")).alias("weight"), _cycle(slopes, F.col("rank")).alias("slope"), "rank", cap.alias("cap"))
@@ -86,12 +91,13 @@ def mixed(sizes: DataFrame, goals: DataFrame, digits: int = BUCKET_DIGITS, passe
     """
     keyed = sizes.withColumn("bucket", F.substring("place", 1, digits))
     in_source = Window.partitionBy("source_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = keyed.groupBy("source_key", "bucket").agg(F.sum("size").alias("bucket_size"))
+    totals = keyed.groupBy("source_key", "bucket").agg(F.sum(F.col("size") * F.col("n")).alias("bucket_size"))
     starts = totals.select("source_key", "bucket", F.coalesce(F.sum("bucket_size").over(in_source), F.lit(0)).alias("bucket_start")).join(goals, "source_key")
     inside = Window.partitionBy("source_key", "bucket").orderBy("place", "size", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    rows = keyed.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["source_key", "bucket"])
+    rows = keyed.withColumn("inside", F.coalesce(F.sum(F.col("size") * F.col("n")).over(inside), F.lit(0))).join(starts, ["source_key", "bucket"])
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     words = F.floor("target")
-    before = F.col("bucket_start") + F.col("inside")
+    before = F.col("bucket_start") + F.col("inside") + F.col("copy") * F.col("size")
     parts, places = [], []
     for k in range(passes):
         start = before + F.lit(k) * F.col("source_size")

@@ -98,16 +98,15 @@ FROM d LEFT JOIN covered USING (r) LEFT JOIN found USING (r)
 
 @_query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document in training order with its source's target and the words that the mix takes of it."""
+    """Every document in training order with its source's target, the words that the mix takes of it, and when it does."""
     out = mixing.mix(_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "size", "source_size", "target", "taken", F.element_at("positions", 1).alias("position"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", F.element_at("positions", 1).alias("position"), F.element_at("positions", 2).alias("second_position"))
 
 
 ORACLES["op3_mixing"] = r"""
 WITH d AS (
-  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place,
-         CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size
-  FROM documents
+  SELECT *, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || size) AS place FROM (
+    SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents)
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM d GROUP BY source
 ), w AS (
@@ -125,12 +124,14 @@ WITH d AS (
          coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY place, size, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 ), p AS (
-  SELECT *, least(1.0::DOUBLE, (CAST(c AS DOUBLE) + size / 2.0::DOUBLE) / target) AS y, greatest(0, least(size, floor(target) - c)) AS one,
+  SELECT *, least(1.0::DOUBLE, (CAST(c AS DOUBLE) + size / 2.0::DOUBLE) / target) AS y, least(1.0::DOUBLE, (CAST(c + source_size AS DOUBLE) + size / 2.0::DOUBLE) / target) AS z, greatest(0, least(size, floor(target) - c)) AS one,
          greatest(0, least(size, floor(target) - c - source_size)) AS two FROM r
 )
 SELECT doc_id, size, source_size, target, CAST(one + two AS BIGINT) AS taken,
        CASE WHEN one > 0 THEN CASE WHEN slope = 0 THEN y
-            ELSE (slope - 1 + sqrt((1 - slope) * (1 - slope) + 4 * slope * y)) / (2 * slope) END END AS position
+            ELSE (slope - 1 + sqrt((1 - slope) * (1 - slope) + 4 * slope * y)) / (2 * slope) END END AS position,
+       CASE WHEN two > 0 THEN CASE WHEN slope = 0 THEN z
+            ELSE (slope - 1 + sqrt((1 - slope) * (1 - slope) + 4 * slope * z)) / (2 * slope) END END AS second_position
 FROM p
 """
 
