@@ -7,10 +7,14 @@ position whose shingle is some window's prefix shingle is a candidate if the win
 document's words (length and positional bound); each candidate is verified word by word.
 
 Benchmark items are handled in blocks of a bounded number of windows, and only one block at a time is
-broadcast; any number of items is therefore exact, with one pass over the documents a block.
+broadcast; any number of items is therefore exact. A block reads the documents twice, for rarity and for its hits.
+With one block the hits are a column right away; with more, each block writes only the hits of texts that have any,
+under a digest of the text, and one join at the end brings them together, so the documents are never written again.
 
 Defined cases: null texts have no words. An item without words has no window. Items with a null id mark
-words but are not counted or listed. Equal items each count. Empty tables give no rows, or no hits.
+words but are not counted or listed. Equal items each count. Rows that repeat are marked each; rows that share a
+doc_id are marked by their own text. Ties between equally rare shingles go to the smaller hash. Very long texts are
+read whole. Other columns are kept; names that begin with __q_ are ours. Empty tables give no rows, or no hits.
 """
 
 from __future__ import annotations
@@ -18,10 +22,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,7 +83,7 @@ def _found(runs: np.ndarray, sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarra
     """Indices of runs that occur in the sorted array, and where."""
     if not len(sorted_) or not len(runs):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    # a table of 2**16 bits on the hash's top bits rejects nearly all runs before the search
+    # a table of 2**20 bits on the hash's top bits rejects nearly all runs before the search
     head = np.zeros(1 << 20, bool)
     head[(sorted_ >> _U(44)).astype(np.int64)] = True
     hit = np.flatnonzero(head[(runs >> _U(44)).astype(np.int64)])
@@ -242,22 +247,33 @@ def _union(blocks: pa.Array) -> pa.Array:
     return pa.array(rows, fields)
 
 
+@F.arrow_udf(T.LongType())
+def _n_words(text: pa.Array) -> pa.Array:
+    return pa.array(np.concatenate([np.zeros(0, np.int64), *(np.diff(words_of(b)[1]) for _, b in tokens.batches(text))]))
+
+
+def _digest(text: Column) -> list[Column]:
+    """128 bits that name a text."""
+    return [F.xxhash64(text).alias("__q_a"), F.xxhash64(F.lit("second"), text).alias("__q_b")]
+
+
 def marked(documents: DataFrame, benchmark: DataFrame, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """documents with a struct column __q_hits (HITS); spans are in words, end exclusive."""
-    text = F.col("text").cast("string")
-    out, done = documents, []
-    for distinct in _blocks(benchmark, block_windows):
-        if done:  # more than one block: keep what there is, so that only one block's windows are held
-            out = staged(out, "marked")
-        name = f"__q_hits{len(done)}"
-        out = out.withColumn(name, _marker(documents, distinct)(text))
-        done.append(name)
-    if not done:
-        out = out.withColumn("__q_hits0", _marker(documents, {})(text))
-        done = ["__q_hits0"]
-    if len(done) == 1:
-        return out.withColumnRenamed(done[0], "__q_hits")
-    return out.withColumn("__q_hits", _union(F.array(*done))).drop(*done)
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    blocks = _blocks(benchmark, block_windows)
+    first, second = next(blocks, {}), next(blocks, None)
+    if second is None:
+        return documents.withColumn("__q_hits", _marker(documents, first)(text))
+    hits = None
+    for distinct in chain((first, second), blocks):
+        held = documents.select(*_digest(text), _marker(documents, distinct)(text).alias("h")).where("h.n_hit > 0")
+        one = staged(held.groupBy("__q_a", "__q_b").agg(F.any_value("h").alias("h")), "hits")  # equal texts have equal hits
+        hits = one if hits is None else hits.unionByName(one)
+    found = hits.groupBy("__q_a", "__q_b").agg(F.collect_list("h").alias("h")).withColumn("__q_found", _union("h")).drop("h")
+    digests = dict(zip(("__q_a", "__q_b"), _digest(text), strict=True))
+    out = documents.withColumns(digests).join(found, ["__q_a", "__q_b"], "left")
+    none = F.struct(_n_words(text).alias("n_words"), F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"), F.sha2(F.lit(""), 256).alias("items_sha256"), F.array().cast("array<string>").alias("item_ids"), F.array().cast("array<bigint>").alias("spans"))
+    return out.withColumn("__q_hits", F.coalesce("__q_found", none)).drop("__q_a", "__q_b", "__q_found")
 
 
 def filtered(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
