@@ -5,8 +5,14 @@ sample of labelled documents, an ordered list of threshold conjunctions for the
 grows literal by literal on a growing set by information gain, is pruned from its end on a pruning set, and
 is kept only if it is precise there. The list becomes a Spark conditional expression over the statistics.
 
-Defined cases: a null text has no words; all statistics are 0 and it fails the base rules. Without labels
-of both classes the list is empty and only the base rules decide. Repeated rows are judged each for itself.
+Only the sample's statistics are computed for learning; every text's are computed once, where it is judged.
+
+Defined cases: a null text has no words; all statistics are 0 and it fails the base rules. Without labels of both
+classes the list is empty and only the base rules decide. Labels that are null, or of no document, are left out; of
+several labels of a doc_id the lowest counts. Repeated rows are judged each for itself; a doc_id with several rows is
+learned from its smallest text. Ties of the sample's md5 are broken by doc_id, ties between literals by their order.
+Very long texts are read whole. Other columns pass through; names that begin with __q_ are ours. Empty tables give
+no rows.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.llm import tokens
-from quillspark.llm.shared import bounded_sample, staged
+from quillspark.llm.shared import bounded_sample
 
 #: Labelled rows that the list is learned from at most.
 MAX_TRAIN_ROWS = 20_000
@@ -206,32 +212,34 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, *, precision: float = 0.9,
     return DecisionList(tuple(rules))
 
 
-def fit(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, **options) -> DecisionList:
-    """Learn from the labelled rows of a statistics table (doc_id and COUNTS); quality 0 is the class to reject."""
+def fit(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN_ROWS, **options) -> DecisionList:
+    """Learn from the labelled documents; quality 0 is the class to reject."""
     marked = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    rows = bounded_sample(stats.join(marked, "doc_id"), "doc_id", max_rows).select("quality", *COUNTS).collect()
+    chosen = bounded_sample(documents.select("doc_id").join(marked, "doc_id").distinct(), "doc_id", max_rows)
+    texts = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")  # max_rows ids
+    texts = texts.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # a repeated doc_id is one row
+    rows = texts.select("doc_id", "quality", counts_of("text").alias("s")).select("doc_id", "quality", *[f"s.{c}" for c in COUNTS]).collect()
     if not rows:
         return DecisionList()
-    table = np.array(rows, float)
+    rows.sort(key=lambda r: r.doc_id)  # which rows prune must not depend on where they were read
+    table = np.array([r[1:] for r in rows], float)
     at = {c: table[:, k + 1] for k, c in enumerate(COUNTS)}
     return learn({name: f(at.__getitem__) for name, f in FEATURES.items()}, table[:, 0] == 0, **options)
 
 
 def document_stats(documents: DataFrame) -> DataFrame:
-    """doc_id and COUNTS of each row; written once, because both learning and judging read it."""
-    return staged(documents.select("doc_id", counts_of("text").alias("s")).select("doc_id", "s.*"), "stats")
+    """doc_id and COUNTS of each row."""
+    return documents.select("doc_id", counts_of(F.col("text").cast("string")).alias("s")).select("doc_id", "s.*")
 
 
 def judged(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """Each document's counts, base_failed and kept."""
-    stats = document_stats(documents)
-    list_ = fit(stats, labels)
-    return stats.withColumn("base_failed", base_failed()).withColumn("kept", ~(F.col("base_failed") | list_.rejects()))
+    list_ = fit(documents, labels)
+    return document_stats(documents).withColumn("base_failed", base_failed()).withColumn("kept", ~(F.col("base_failed") | list_.rejects()))
 
 
 def filtered(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are kept, all columns as they came."""
-    stats = document_stats(documents)
-    list_ = fit(stats, labels)
-    held = documents.withColumn("__q_stats", counts_of("text"))
+    list_ = fit(documents, labels)
+    held = documents.withColumn("__q_stats", counts_of(F.col("text").cast("string")))
     return held.where(~(base_failed("__q_stats.") | list_.rejects("__q_stats."))).drop("__q_stats")

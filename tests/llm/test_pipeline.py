@@ -4,7 +4,7 @@ import hashlib
 
 import duckdb
 import pytest
-from brute import contamination, lines, near_classes, pii, rules
+from brute import ODD, contamination, lines, near_classes, pii, rules
 
 import __spark_entry__
 import corpus_pipeline
@@ -59,3 +59,23 @@ def test_pipeline_stages(spark, sf_dir):
         if name == "decontamination":
             assert after == [(i, t) for i, t in before if not contamination(t, items)[1]]
         docs = spark.createDataFrame(out.collect(), out.schema)
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Nulls, repeats, long texts and columns with clashing names go through all stages, and an empty table too."""
+    clean = [(100 + i, " ".join(f"w{(i * 97 + k * 31) % 9973}x{k}" for k in range(90))) for i in range(40)]
+    rows = [*ODD, *clean, clean[0], (None, clean[1][1]), (None, None), (500, clean[2][1] + " end"), (501, clean[3][1] + "\n" + " ".join(f"q{k}" for k in range(12))), (502, " ".join(f"v{k}" for k in range(60_000)))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, id long, row string, n long, stays string, h string"
+    table = lambda rows: spark.createDataFrame([(i, t, "en", None if i is None else f"src{i % 3}", len(t or ""), 1, "r", 2, "s", "h") for i, t in rows], schema)
+    spark.createDataFrame([(i, 1, 0) for i, _ in clean] + [(None, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, " ".join(f"q{k}" for k in range(12))), (2, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    table(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+    assert got == sorted([i for i, _ in clean[1:]] + [502] + [100] * got.count(100)) and 100 in got
+    docs = table(rows)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == table([]).columns
+    empty = table([])
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0, name

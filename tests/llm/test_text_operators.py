@@ -75,6 +75,29 @@ def test_rules_without_labels_and_rows(spark):
     assert [(r.doc_id, r.n_words) for r in rule_ops.filtered(extra, labels).collect()] == [(1, "mine")]
 
 
+def test_kept_is_what_the_list_says(spark):
+    r = random.Random(8)
+    rows, labels = [], []
+    for i in range(900):
+        bad = i % 4 == 0
+        w = prose(i, 80, 10**6).split()
+        rows.append((i, " ".join(f"{x} #|$" if bad and r.random() < 0.5 else x for x in w)))
+        labels.append((i, int(not bad)))
+    rows += [(5000 + i, t) for i, t in ODD] + [(None, prose(1, 90, 10**6)), (None, None), (3, rows[3][1])]
+    df, marks = table(spark, rows), spark.createDataFrame([*labels, (None, 0), (7, None), (99_999, 0)], "doc_id long, quality int")
+    list_ = rule_ops.fit(df, marks)
+    assert list_.rules and list_ == rule_ops.fit(df.repartition(7), marks)
+    got = rule_ops.judged(df, marks).collect()
+    assert len(got) == len(rows)
+    for x in got:
+        features = {name: np.array([f(lambda c, x=x: float(x[c]))]) for name, f in rule_ops.FEATURES.items()}
+        assert x.kept == (not x.base_failed and not list_.applies(features)[0])
+    held = [x for x in got if x.doc_id is not None and x.doc_id < 900]
+    assert sum(x.kept == (x.doc_id % 4 != 0) for x in held) > 0.97 * len(held)
+    clash = df.selectExpr("*", "'a' as s", "1 as n_words", "2 as quality")
+    assert rule_ops.filtered(clash, marks).count() == sum(x.kept for x in got) and rule_ops.filtered(clash, marks).columns == clash.columns
+
+
 def test_line_dedup_like_brute_force(spark):
     rows = [*ODD, (13, "unique text of its own\n  SAME LINE here\t\nend"), (14, "short\nshort"), (15, "short"), (13, "unique text of its own\n  SAME LINE here\t\nend")]
     want = lines(rows)
@@ -159,6 +182,9 @@ def test_decontamination_like_brute_force(spark, block):
     items = [(1, passage), (2, "Short Item, here"), (3, None), (4, "..."), (5, passage), (None, prose(9, 12)), (6, "a b c d e f g h i j k"), (7, "one")]
     docs = [*ODD, (20, "x " + passage.upper() + " y"), (21, " ".join(passage.split()[5:17])), (22, "a short   item--HERE a short item"), (23, prose(9, 12)), (24, " ".join(passage.split()[:9]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
+    docs += [(25, "z " + passage + " z " + prose(9, 12)), (26, prose(88, 50_000) + " " + passage)]
+    clash = table(spark, docs + docs[-2:-1]).selectExpr("*", "'x' as h", "1 as n_hit", "2 as item_id")
+    assert {tuple(r["__q_hits"])[:4] for r in decontam.marked(clash, bench, block).where("doc_id = 25").collect()} == {contamination(docs[-2][1], items)}
     got = decontam.marked(table(spark, docs), bench, block).collect()
     assert len(got) == len(docs)
     for r in got:
@@ -376,6 +402,18 @@ def test_mixing_targets_and_order(spark):
     assert [r.position for r in mixing.schedule(df).collect()] == sorted(r.position for r in mixing.schedule(df).collect())
 
 
+def test_mixing_of_copies_and_rows_without_id(spark):
+    rows = [(None, "w " * (3 + i % 4), "a") for i in range(40)] + [(7, "w w w", "a")] * 30 + [(8, "w " * 30_000, "b"), (8, None, None)]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, source string, n int, place int")
+    out = mixing.mix(df).collect()
+    assert sorted((r.doc_id or -1, r["size"], r.source or "") for r in out) == sorted((i or -1, len((t or "").split()), s or "") for i, t, s in rows)
+    for source in ("a", "b"):
+        own = [r for r in out if r.source == source]
+        assert sum(r.taken for r in own) == int(own[0].target) and own[0].source_size == sum(r["size"] for r in own)
+        at = sorted(p for r in own for p in r.positions if p is not None)
+        assert all(x < y for x, y in zip(at, at[1:], strict=False))  # each copy has a place of its own
+
+
 def test_toxicity_learns_and_generalises(spark):
     r = random.Random(2)
     docs, labels = [], []
