@@ -19,7 +19,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document holds go; every document stays, with the text that is left."""
+    """Lines that an earlier document holds go; a document that loses all its words so goes too, any other stays with the rest."""
     return lines.filtered(docs)
 
 
@@ -34,9 +34,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken and the first training position of each document."""
+    """doc_id, source, size, source_size, target, taken and the training position of both passes of each document."""
     out = mixing.mix(docs)
-    return out.select("doc_id", "source", "size", "source_size", "target", "taken", F.element_at("positions", 1).alias("position"))
+    return out.select("doc_id", "source", "size", "source_size", "target", "taken", F.element_at("positions", 1).alias("position"), F.element_at("positions", 2).alias("second_position"))
 
 
 STAGES = [("quality_rules", quality), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("mixing", mix)]
