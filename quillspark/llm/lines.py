@@ -273,7 +273,8 @@ def deduplicated(documents: DataFrame, store: LineStore | None = None) -> DataFr
     doomed = store.doomed(references(documents) if asked is None else asked)
     doomed = doomed.select(F.col("id").alias("__q_id"), F.col("text_key").alias("__q_text"), F.col("keys").alias("__q_keys"))
     joined = documents.withColumn("__q_id", ordered_id()).withColumn("__q_text", text_key()).join(doomed, ["__q_id", "__q_text"], "left")
-    return joined.withColumn("__q_lines", without_lines(F.col("text").cast("string"), "__q_keys")).drop("__q_id", "__q_text", "__q_keys")
+    once = without_lines.asNondeterministic()  # else a later filter on it would have every text cut twice
+    return joined.withColumn("__q_lines", once(F.col("text").cast("string"), "__q_keys")).drop("__q_id", "__q_text", "__q_keys")
 
 
 def filtered(documents: DataFrame) -> DataFrame:

@@ -296,27 +296,23 @@ def _forest(group: dict[str, np.ndarray], least: float) -> tuple[np.ndarray, np.
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     left, right, bound = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.lexsort((right, left, -bound))
-    owner = np.unique(group["class_id"], return_inverse=True)[1].tolist()
-    root, at, flat = list(range(len(owner))), np.concatenate(([0], np.cumsum(group["size"]))).tolist(), group["elements"]
-
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
+    owner = np.unique(group["class_id"], return_inverse=True)[1]
+    root, at, flat = np.arange(owner.max() + 1), np.concatenate(([0], np.cumsum(group["size"]))), group["elements"]
     a, b = [], []
-    for x, y in zip(left[order].tolist(), right[order].tolist(), strict=True):
-        p, q = top(owner[x]), top(owner[y])
-        if p == q:
-            continue
-        m, n = flat[at[x] : at[x + 1]], flat[at[y] : at[y + 1]]
-        place = np.minimum(np.searchsorted(n, m), len(n) - 1)
-        both = int((n[place] == m).sum())
-        if both / (len(m) + len(n) - both) >= least:
-            root[q] = p
-            a.append(group["id"][x])
-            b.append(group["id"][y])
+    for i in range(0, len(order), ROWS):
+        p, q = left[order[i : i + ROWS]], right[order[i : i + ROWS]]
+        apart = root[owner[p]] != root[owner[q]]
+        for x, y in zip(p[apart].tolist(), q[apart].tolist(), strict=True):
+            r, s = root[owner[x]], root[owner[y]]
+            if r == s:
+                continue
+            m, n = flat[at[x] : at[x + 1]], flat[at[y] : at[y + 1]]
+            place = np.minimum(np.searchsorted(n, m), len(n) - 1)
+            both = int((n[place] == m).sum())
+            if both / (len(m) + len(n) - both) >= least:
+                root[root == s] = r
+                a.append(group["id"][x])
+                b.append(group["id"][y])
     return np.array(a, np.int64), np.array(b, np.int64)
 
 
