@@ -185,6 +185,11 @@ def ends_hyphenated(line: Column) -> Column:
     return F.regexp_like(line, F.lit(rf"\p{{L}}-{SPACE}*+\z"))
 
 
+def joined_lines(text: Column) -> Column:
+    """The text with words that are split at a line's end put together, for finding a quote; never to be stored."""
+    return F.regexp_replace(text, r"(?<=\p{L})-[ \t]*+\n[ \t]*+(?=\p{Ll})", "")
+
+
 def segments(text: Column) -> Column:
     """Lines cut at gutters, blank segments dropped: what may be searched without joining columns."""
     cut = F.flatten(F.transform(F.split(text, "\n"), lambda line: F.split(line, f" {{{GUTTER},}}")))

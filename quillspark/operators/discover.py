@@ -34,6 +34,18 @@ def search(records: DataFrame, where: Column, rows: int = 2000, also: Column | N
     return top.crossJoin(F.broadcast(found)).withColumn("truncated", F.col("num_found") > rows)  # one row beside the limit
 
 
+def projected(raw: DataFrame) -> DataFrame:
+    """Records from a catalogue's rows, where title, doi and bibstem are lists: the first of each, or a default."""
+    first = lambda c, default=None: F.coalesce(F.get(F.col(c), F.lit(0)), F.lit(default).cast("string"))
+    other = [c for c in raw.columns if c not in ("title", "doi", "bibstem", "identifier", "citation_count")]
+    return raw.select(*other, first("title", "").alias("title"), first("doi").alias("doi"), first("bibstem", "").alias("bibstem"), F.nullif(X.arxiv_id(F.col("identifier")), F.lit("")).alias("arxiv_id"), F.coalesce("citation_count", F.lit(0)).cast("bigint").alias("citation_count"))
+
+
+def in_full_text(names: Sequence[str]) -> Column:
+    """Whether the whole text says any variant of any name."""
+    return mentions([F.col("text")], names)
+
+
 def require_hits(found: DataFrame) -> DataFrame:
     if found.isEmpty():
         raise EmptyResult("the direct search found nothing; nothing is stored")
@@ -48,9 +60,9 @@ def fetch_keys(records: DataFrame, keys: DataFrame) -> DataFrame:
 
 def mentions(columns: Sequence[Column], names: Sequence[str]) -> Column:
     """Whether any column holds a variant of any name as a phrase, case aside."""
-    phrases = X.expand_variants(F.array(*map(F.lit, names)))
+    phrases = F.transform(X.expand_variants(F.array(*map(F.lit, names))), lambda p: F.lower(X.collapse(p)))
     texts = F.array(*[F.lower(X.collapse(F.coalesce(c, F.lit("")))) for c in columns])
-    return F.exists(phrases, lambda p: F.exists(texts, lambda t: F.contains(t, F.lower(p))))
+    return F.exists(phrases, lambda p: F.exists(texts, lambda t: F.contains(t, p)))
 
 
 def _letters() -> Column:

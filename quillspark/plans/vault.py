@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quillspark.config import Lens
 from quillspark.functions import text as X
-from quillspark.operators import audit, claims, discover, fetch, layout, ledger, truth
+from quillspark.operators import audit, claims, discover, fetch, layout, ledger, render, truth
 from quillspark.operators import notes as N
 from quillspark.plans.registry import query, table
 from quillspark.sources import query as language
@@ -418,3 +418,51 @@ def catalogue_search(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ordinal"), F.col("n_chars").alias("citation_count"), "lang")
     found: Column = F.col("lang") == "en"
     return discover.search(rows, found, rows=100).select(F.col("ordinal").alias("doc_id"), F.col("num_found").alias("n_found"), "truncated")
+
+
+@query(VAULT + """,
+r AS (SELECT n.*, d.source, d.lang FROM n JOIN documents d USING (doc_id))
+SELECT stem, '---' || chr(10) || 'title: ''' || title || ' it''''s''' || chr(10) || 'tags: [paper]' || chr(10) || 'year: ''2001''' || chr(10) || CASE WHEN doc_id % 2 = 0 THEN 'doi: ''10.1/x''' || chr(10) ELSE '' END
+  || 'citations: ' || CAST(n_chars AS VARCHAR) || chr(10) || 'methods: []' || chr(10) || '---' || chr(10) || '# ' || title || ' it''s' || chr(10) || '· `' || stem || '` · A, B' || chr(10) || chr(10) || '## Search' || chr(10) AS text, NULL AS unknown_area
+FROM r WHERE k < 5 AND doc_id % 3 <> 0
+UNION ALL SELECT stem, '---' || chr(10) || 'title: ''' || title || '''' || chr(10) || 'tags: [concept]' || chr(10) || 'area: ' || CASE WHEN doc_id % 4 = 1 THEN '''hypotheses''' || chr(10) || 'status: ''open''' ELSE '''' || lang || '''' END || chr(10) || '---' || chr(10)
+  || '# ' || title || chr(10) || '> generated note' || chr(10) || chr(10) || '## Records' || chr(10), doc_id % 4 <> 1 AND lang <> 'en' FROM r WHERE k = 7 AND doc_id % 3 <> 0
+UNION ALL SELECT stem, '---' || chr(10) || 'title: ''' || title || '''' || chr(10) || 'tags: [star]' || chr(10) || 'spectral_type: null' || chr(10) || 'teff_K: 5000.0' || chr(10) || 'planets: [''c'', ''b'']' || chr(10) || '---' || chr(10)
+  || '# ' || title || chr(10) || '> generated note' || chr(10) || chr(10) || '## Planets' || chr(10) || 'c | 1.5 | ' || chr(10) || 'b |  | 2.0' || chr(10), NULL FROM r WHERE k IN (5, 6) AND doc_id % 3 <> 0
+UNION ALL SELECT stem, '---' || chr(10) || 'title: ''' || title || '''' || chr(10) || 'tags: [paper, ' || CASE WHEN doc_id % 2 = 0 THEN 'web' ELSE 'local-pdf' END || ']' || chr(10) || 'year: null' || chr(10)
+  || CASE WHEN doc_id % 2 = 0 THEN 'source_url: ''http://x''' || chr(10) ELSE 'pdf: ''a.pdf''' || chr(10) END || CASE WHEN doc_id % 2 = 0 AND doc_id % 5 <> 0 THEN 'accessed: ''2020-01-02''' || chr(10) ELSE '' END || CASE WHEN doc_id % 5 = 0 THEN 'pending_source: ''publisher''' || chr(10) ELSE '' END
+  || '---' || chr(10) || '# ' || title || chr(10) || '· `' || stem || '` · A, B' || chr(10) || chr(10) || '## Search' || chr(10), NULL FROM r WHERE k IN (8, 9) AND doc_id % 3 <> 0""")
+def rendered_notes(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    n = vault(spark, sf_dir).join(d, "doc_id").withColumn("slug", F.col("stem")).withColumn("name", F.col("fm.title"))
+    held = n.where("doc_id % 3 = 0").select("stem")
+    authors = F.array(F.lit("A"), F.lit("B"))
+    records = n.where("k < 5").select(F.col("stem").alias("bibcode"), F.concat("name", F.lit(" it's")).alias("title"), authors.alias("authors"), F.lit("2001").alias("year"), F.when(F.col("doc_id") % 2 == 0, "10.1/x").alias("doi"), F.col("fm.citations").alias("citation_count"), F.lit(True).alias("relevant"))
+    concepts = n.where("k = 7").select("slug", "name", F.when(F.col("doc_id") % 4 == 1, "hypotheses").otherwise(F.col("lang")).alias("area"), F.lit(None).cast("string").alias("status"))
+    hosts = n.where("k in (5, 6)").select("slug", "name", F.lit(None).cast("string").alias("spectral_type"), F.lit(5000.0).alias("teff_K"))
+    planets = hosts.select("slug", F.explode(F.array(F.struct(F.lit("b").alias("letter"), F.lit(None).cast("double").alias("P_days"), F.lit(2.0).alias("mass")), F.struct(F.lit("c").alias("letter"), F.lit(1.5).alias("P_days"), F.lit(None).cast("double").alias("mass")))).alias("p")).select("slug", "p.*")
+    even, i = F.col("doc_id") % 2 == 0, F.col("doc_id")
+    sources = n.where("k in (8, 9)").select(F.col("stem").alias("bibcode"), F.col("name").alias("title"), authors.alias("authors"), F.lit(None).cast("string").alias("year"), F.lit(None).cast("string").alias("doi"), F.when(even, "http://x").alias("url"), F.when(~even, "a.pdf").alias("pdf"), F.when(i % 5 == 0, "publisher").alias("pending"), F.lit(None).cast("date").alias("explicit"), F.lit("2020-01-02").cast("date").alias("snapshot"))
+    none = F.lit(None).cast("boolean").alias("unknown_area")
+    parts = [render.record_notes(records, held).select("stem", "text", none), render.concept_notes(concepts, held, Lens({"x": "x"}, concept_areas=("en",))), render.entity_notes(hosts, planets, held).select("stem", "text", none), render.source_notes(sources, held).select("stem", "text", none)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN 'plain' WHEN doc_id % 2 = 0 THEN '---' || chr(10) || 'title: a' || chr(10) || 'retracted: true' || chr(10) || 'other: 1' || chr(10) || 'retraction: {type: ''removal'', date: null}' || chr(10) || 'fulltext: web' || chr(10) || '---' || chr(10) || 'body --- x'
+  ELSE '---' || chr(10) || 'title: a' || chr(10) || 'retracted: false' || chr(10) || 'other: 1' || chr(10) || 'fulltext: web' || chr(10) || '---' || chr(10) || 'body --- x' END AS text FROM documents""")
+def stamped_heads(spark, sf_dir):
+    i = F.col("doc_id")
+    text = F.when(i % 3 == 2, "plain").otherwise("---\ntitle: a\nretracted: false\nother: 1\n---\nbody --- x")
+    notice = F.struct(F.lit("removal").alias("type"), F.lit(None).cast("string").alias("date"))
+    return table(spark, sf_dir, "documents").select("doc_id", render.stamp(render.retraction_stamp(text, i % 2 == 0, notice), {"fulltext": F.lit("web")}).alias("text"))
+
+
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source ELSE '' END AS title, CASE WHEN doc_id % 3 = 0 THEN '10.1/x' END AS doi, '' AS bibstem, CASE WHEN doc_id % 5 = 0 THEN '2101.00001' END AS arxiv_id, CASE WHEN doc_id % 4 = 0 THEN 0 ELSE n_chars END AS citation_count,
+       contains(lower(regexp_replace(text, '\\s+', ' ', 'g')), 'the of') OR contains(lower(regexp_replace(text, '\\s+', ' ', 'g')), 'licensed under') AS said, 'a whole word, and-\nMore' AS whole FROM documents""")
+def record_projection(spark, sf_dir):
+    i, none = F.col("doc_id"), F.array().cast("array<string>")
+    raw = table(spark, sf_dir, "documents").select("doc_id", "text", F.when(i % 2 == 0, F.array("source", F.lit("later"))).otherwise(none).alias("title"), F.when(i % 3 == 0, F.array(F.lit("10.1/x"))).alias("doi"), none.alias("bibstem"), F.when(i % 5 == 0, F.array(F.lit("x"), F.lit("arXiv:2101.00001"))).otherwise(none).alias("identifier"), F.when(i % 4 != 0, F.col("n_chars")).alias("citation_count"))
+    said = discover.in_full_text(["the  of", "Licensed under"])
+    return discover.projected(raw).select("doc_id", "title", "doi", "bibstem", "arxiv_id", "citation_count", said.alias("said"), X.joined_lines(F.lit("a who-\n  le word, and-\nMore")).alias("whole"))

@@ -56,6 +56,11 @@ def write_run(records: DataFrame, path: str) -> None:
     records.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slug").parquet(path)
 
 
+def write_search_log(log: DataFrame, path: str) -> None:
+    """Replace the logs of the slugs in log; decisions are a table of their own and are never touched by a search."""
+    write_run(log, path)
+
+
 def append_new(rows: DataFrame, path: str, key: str) -> int:
     """Append the rows whose key the stored table lacks; what is stored is never written again. Returns their number."""
     spark = rows.sparkSession
