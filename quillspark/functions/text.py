@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: White space as a Unicode-aware class, with the separators that counting by character also leaves out.
 SPACE = r"[\s\x{a0}\x1c-\x1f\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x85]"
+#: The same, one by one.
+BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: Thresholds of legibility and of page layout.
 MIN_ASCII_SHARE, MIN_CHARS, MIN_CHARS_PAGE = 0.85, 200, 200
 USEFUL_LINE, GUTTER, MULTI_COLUMN = 40, 8, 0.30
@@ -18,13 +20,8 @@ KEY = r"^[0-9]{4}[A-Za-z]"
 LINK = r"\[\[([^\]|#]+)"
 
 
-def _edges(marks: str) -> str:
-    """Runs of marks (a class) at a text's ends. A run is read once, however long it is, since no match starts inside one."""
-    return rf"\A{marks}++|(?<!{marks}){marks}++\z"
-
-
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, _edges(SPACE), "")
+    return F.trim(text, F.lit(BLANKS))
 
 
 def collapse(text: Column) -> Column:
@@ -66,7 +63,7 @@ def safe_name(key: Column) -> Column:
 def blind(text: Column) -> Column:
     """A claim without its links, so that it can be judged by content only."""
     bare = F.regexp_replace(text, r"\[\[[^\]]*\]\]", "")
-    return F.regexp_replace(F.regexp_replace(bare, f"{SPACE}+", " "), _edges(f"[{EDGE_MARKS}]"), "")
+    return F.trim(F.regexp_replace(bare, f"{SPACE}+", " "), F.lit(EDGE_MARKS))
 
 
 def sentences(text: Column) -> Column:
