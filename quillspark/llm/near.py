@@ -417,7 +417,8 @@ def _classed(documents: DataFrame, least: float, bands: int, band: int) -> DataF
     rows = texts.select("id", "low", F.posexplode("bands").alias("band", "hash"))
     met = rows.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("lead")).where("n > 1").select("band", "hash", "lead")
     # a bucket's rows are dealt over several parts, so that a hot one isn't joined in one task
-    spread = met.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    # (the repartitioning is explicit, else Spark would reuse that of the aggregation, by bucket)
+    spread = met.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))).repartition("band", "hash", "part")
     rows = rows.withColumn("part", F.pmod("id", F.lit(SPREAD)).cast("int"))
     buckets = staged(rows.join(spread, ["band", "hash", "part"]).select("band", "hash", "id", "low", "lead"), "buckets")
     wanted = staged(buckets.select("id", "low").distinct(), "wanted")
