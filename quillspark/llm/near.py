@@ -374,7 +374,8 @@ def candidate_links(held: DataFrame, elements: DataFrame, least: float) -> DataF
     """
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.col("size").cast("long")) / BLOCK_ELEMENTS))
     several = held.groupBy("band", "hash").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"), blocks.alias("blocks")).where("low < high")
-    rows = held.join(several.select("band", "hash", "blocks"), ["band", "hash"])
+    several = several.select("band", "hash", "blocks", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part")).repartition("band", "hash", "part")
+    rows = held.withColumn("part", F.pmod("id", F.lit(SPREAD)).cast("int")).join(several, ["band", "hash", "part"]).drop("part")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("band", "hash", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "id", "size", "class_id", F.col("own").alias("side"), "marks")
 
