@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import decontam, lines, lm, mixing, near, pii, rules, substring, toxicity, urls
+from quillspark.llm import asof, decontam, lines, lm, mixing, near, pii, rules, substring, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -172,3 +172,39 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's unigram and model log10 probabilities."""
     return lm.scored(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op11_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every click with the latest order of its client in the 240 hours before it."""
+    return asof.clicks_to_orders(_table(spark, sf_dir, "clicks"), _table(spark, sf_dir, "sales"))
+
+
+ORACLES["op11_asof_join"] = r"""
+WITH ids AS (SELECT click_id AS id FROM clicks UNION SELECT sale_id FROM sales),
+crc AS (
+  SELECT id, xor(4294967295, list_reduce([4294967295] || [CAST(ord(c) AS BIGINT) FOR c IN string_split(CAST(id AS VARCHAR), '')],
+         lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) AS h
+  FROM ids WHERE id IS NOT NULL
+), c AS (
+  SELECT DISTINCT click_id, client_id, CASE WHEN h % 2 = 1 THEN us - us % 3600000000 ELSE us END AS ts_us
+  FROM (SELECT click_id, client_id, epoch_us(ts) AS us FROM clicks) JOIN crc ON id = click_id
+), s AS (
+  SELECT sale_id, client_id, priority, CAST(floor(100 * total + 0.5::DOUBLE) AS BIGINT) AS cents, coalesce(h, 0) AS h,
+         CASE WHEN h % 2 = 1 THEN us - us % 3600000000 ELSE us END AS t
+  FROM (SELECT *, epoch_us(sold_at) AS us FROM sales) LEFT JOIN crc ON id = sale_id
+), o AS (
+  SELECT sale_id, client_id, priority, cents, t FROM s
+  UNION ALL SELECT -1 - sale_id, client_id, 6 - priority, cents, t FROM s WHERE h % 3 <> 0
+), best AS (
+  SELECT * FROM (
+    SELECT *, count(*) OVER (PARTITION BY client_id, t) AS n,
+           row_number() OVER (PARTITION BY client_id, t ORDER BY priority NULLS LAST, sale_id DESC NULLS LAST) AS place
+    FROM o WHERE client_id IS NOT NULL AND t IS NOT NULL) WHERE place = 1
+), m AS (
+  SELECT c.*, b.sale_id, b.cents, b.t, b.n FROM c ASOF LEFT JOIN best b ON c.client_id = b.client_id AND c.ts_us >= b.t
+)
+SELECT click_id, client_id, ts_us, CASE WHEN ok THEN sale_id END AS sale_id, CASE WHEN ok THEN ts_us - t END AS lag_us,
+       CASE WHEN ok THEN cents END AS total_cents, CASE WHEN ok THEN n ELSE 0 END AS n_tied
+FROM (SELECT *, coalesce(ts_us - t <= 864000000000, false) AS ok FROM m)
+"""
