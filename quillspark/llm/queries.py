@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillspark.llm import asof, decontam, lines, lm, mixing, near, pii, rules, substring, toxicity, urls
+from quillspark.llm import asof, counts, decontam, lines, lm, mixing, near, pii, rules, spelling, substring, toxicity, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -208,3 +208,47 @@ SELECT click_id, client_id, ts_us, CASE WHEN ok THEN sale_id END AS sale_id, CAS
        CASE WHEN ok THEN cents END AS total_cents, CASE WHEN ok THEN n ELSE 0 END AS n_tied
 FROM (SELECT *, coalesce(ts_us - t <= 864000000000, false) AS ok FROM m)
 """
+
+
+@_query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes and tokens."""
+    return counts.counted(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with its near words, the form that it is a variant of, and the root of its group."""
+    return spelling.grouped(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_spelling_variants"] = r"""
+WITH RECURSIVE r AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents
+), d AS (SELECT id, run, count(*) AS n FROM r GROUP BY id, run
+), b AS (
+  SELECT *, flatten([CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [CAST(192 + (ord(c) >> 6) AS BIGINT), CAST(128 + (ord(c) & 63) AS BIGINT)] END
+                     FOR c IN string_split(id || ':' || run, '')]) AS bytes FROM d
+), h AS (
+  SELECT run, n, xor(4294967295, list_reduce([4294967295] || bytes, lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))) AS h
+  FROM b
+), w AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substring(run, 1, CAST(h % length(run) AS INT)) || substring(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, n FROM h
+), words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), k AS MATERIALIZED (
+  SELECT word, n, i, substring(word, 1, CAST(i AS INT) - 1) || substring(word, CAST(i AS INT) + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) AS u(i)
+), near AS (
+  SELECT x.word, y.word AS other, y.n AS other_n FROM k x JOIN k y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word
+  UNION SELECT x.word, s.word, s.n FROM k x JOIN words s ON x.rest = s.word
+  UNION SELECT s.word, x.word, x.n FROM k x JOIN words s ON x.rest = s.word
+), f AS MATERIALIZED (
+  SELECT word, n, coalesce(m, 0) AS n_near, CASE WHEN best_n >= 2 * n THEN best END AS form, CASE WHEN best_n >= 2 * n THEN best_n END AS form_n
+  FROM words LEFT JOIN (SELECT word, count(*) AS m, arg_min(other, (-other_n, other)) AS best, max(other_n) AS best_n FROM near GROUP BY word) USING (word)
+), chain AS (
+  SELECT word, word AS at FROM f
+  UNION ALL SELECT chain.word, f.form FROM chain JOIN f ON chain.at = f.word WHERE f.form IS NOT NULL
+), ends AS (SELECT chain.word, chain.at AS root FROM chain JOIN f ON chain.at = f.word WHERE f.form IS NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, ends.root FROM f JOIN ends ON f.word = ends.word
+"""
