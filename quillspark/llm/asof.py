@@ -57,7 +57,7 @@ def _bucketed(df: DataFrame, tolerance: int) -> DataFrame:
 def _sliced(df: DataFrame, sizes: DataFrame, tolerance: int, by: str) -> DataFrame:
     """df with the slice of its bucket that its time is in; buckets that aren't in sizes are one slice."""
     wide = (tolerance - 1).bit_length()
-    several = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    several = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")  # it grows with the rows: no broadcast
     out = df.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int")).join(several, ["key", "bucket", "salt"], "left")
     slice_ = F.when(F.col("bits").isNull(), F.lit(0).cast("long")).otherwise(F.expr(f"shiftright(pmod(t, {tolerance}), {wide} - bits)"))
     return out.withColumn("slice", slice_).drop("salt", "bits")
