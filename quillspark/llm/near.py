@@ -15,8 +15,10 @@ pairs first. No link between classes that the bands show is lost, no pairs of a
 holds a bucket. Classes are the connected components of the
 links, found by alternating star contractions with joins.
 
-Defined cases: words are as in `tokens.PLAIN`, with A-Z lower-cased. Texts of fewer than five words, but not
-none, are one shingle. Null texts and texts without words are alike to nothing, each its own class. Different
+Defined cases: words are as in `tokens.PLAIN`, with A-Z lower-cased; texts of any length are read whole. Texts of fewer
+than five words, but not none, are one shingle. Of equally old texts of a class the one of the smaller hash of its
+words stays. Only doc_id and text are read; `filtered` returns all other columns as they are, and its own are named
+__q_. Null texts and texts without words are alike to nothing, each its own class. Different
 texts that share a doc_id are compared each for itself; doc_id only ranks which one stays, and equal rows stay or
 go together. Null doc_ids count as one largest id. Empty tables give no rows.
 """
@@ -364,20 +366,34 @@ def _by_group(lists: str, use):
     return step
 
 
+def grouped_rows(held: DataFrame) -> DataFrame:
+    """band, hash, one, two (the blocks of a group), id, size, class_id, side and marks: each text of a bucket of several
+    labels in every group where its block meets another. The largest label's blocks come after those of the others."""
+    many = lambda n, elements: F.greatest(F.ceil(n / BLOCK), F.ceil(elements / BLOCK_ELEMENTS))
+    labels = held.groupBy("band", "hash", "class_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("size").cast("long")).alias("elements"))
+    several = labels.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("n", "elements", "class_id")).alias("top"), F.sum("n").alias("n"), F.sum("elements").alias("elements")).where("labels > 1")
+    several = several.select("band", "hash", F.col("top.class_id").alias("largest"), many(F.col("n") - F.col("top.n"), F.col("elements") - F.col("top.elements")).alias("few"), many(F.col("top.n"), F.col("top.elements")).alias("most"))
+    several = several.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))).repartition("band", "hash", "part")
+    rows = held.withColumn("part", F.pmod("id", F.lit(SPREAD)).cast("int")).join(several, ["band", "hash", "part"]).drop("part")
+    large = F.col("class_id") == F.col("largest")
+    own = F.pmod(F.xxhash64("id", F.lit("block")), F.when(large, F.col("most")).otherwise(F.col("few")))
+    rows = rows.withColumn("own", own + F.when(large, F.col("few")).otherwise(0))
+    last = F.when(large, F.col("few")).otherwise(F.col("few") + F.col("most")) - 1
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    return rows.select("band", "hash", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "id", "size", "class_id", F.col("own").alias("side"), "marks")
+
+
 def candidate_links(held: DataFrame, elements: DataFrame, least: float) -> DataFrame:
     """Links (a, b) among texts of different labels in one bucket (band, hash, id, size, marks, class_id).
 
-    A bucket's texts fall by hash into blocks of a bounded number of texts and elements, and every two blocks meet
-    in a group of their own, so no task holds a bucket. The groups are formed twice: with bitmaps, where texts
-    without any pair that may be alike drop out, and then with the elements of the others. A group gives no more
-    rows than it has texts.
+    A bucket's texts fall by hash into blocks of a bounded number of texts and elements. Texts of its largest class
+    aren't compared with each other: their blocks meet only those of the other texts, so the rows are as many as the
+    largest class's texts by the blocks of the others, and the others by all blocks. Two blocks meet in a group of
+    their own, so no task holds a bucket. The groups are formed twice: with bitmaps, where texts without any pair that
+    may be alike drop out, and then with the elements of the others. A group gives no more rows than it has texts.
     """
-    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.col("size").cast("long")) / BLOCK_ELEMENTS))
-    several = held.groupBy("band", "hash").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"), blocks.alias("blocks")).where("low < high")
-    several = several.select("band", "hash", "blocks", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part")).repartition("band", "hash", "part")
-    rows = held.withColumn("part", F.pmod("id", F.lit(SPREAD)).cast("int")).join(several, ["band", "hash", "part"]).drop("part")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("band", "hash", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "id", "size", "class_id", F.col("own").alias("side"), "marks")
+    grouped = lambda df: df.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+    rows = grouped_rows(held)
 
     def doubtful(table: pa.Table, groups: list) -> Iterator[pa.RecordBatch]:
         keep = np.concatenate([i + _doubtful(g, least) for i, g in groups])
@@ -387,7 +403,6 @@ def candidate_links(held: DataFrame, elements: DataFrame, least: float) -> DataF
         a, b = (np.concatenate(x) for x in zip(*(_forest(g, least) for _, g in groups), strict=True))
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    grouped = lambda df: df.repartition(*_GROUP).sortWithinPartitions(*_GROUP)
     some = grouped(rows).mapInArrow(_by_group("marks", doubtful), "band int, hash long, one long, two long, id long, size int, class_id long, side long")
     whole = staged(some, "doubtful").join(elements.select("id", "elements"), "id")
     return grouped(whole).mapInArrow(_by_group("elements", forest), "a long, b long").distinct()

@@ -276,3 +276,34 @@ def test_keys_meet_exactly_once_for_words_at_distance_one(words):
     for i in range(len(words)):
         for j in range(i + 1, len(words)):
             assert met[i, j] == distance_one(words[i], words[j]), (words[i], words[j])
+
+
+# ---------------------------------------------------------------- blocks of near-duplicate buckets
+
+
+@pytest.mark.parametrize("sizes", [(399, 1), (200,), (60, 60), (50, 30, 20), (1, 1)])
+def test_a_buckets_groups_hold_every_pair_of_labels_once(spark, monkeypatch, sizes):
+    from quillspark.llm import near
+
+    monkeypatch.setattr(near, "BLOCK", 8)
+    rows = [(0, 7, 7919 * sum(sizes[:c]) + 7919 * k, 10, c, [0]) for c, n in enumerate(sizes) for k in range(n)]
+    held = spark.createDataFrame(rows, "band int, hash long, id long, size int, class_id long, marks array<long>")
+    groups = {}
+    for r in near.grouped_rows(held).collect():
+        groups.setdefault((r.one, r.two), []).append(r)
+    met = Counter()
+    for g in groups.values():
+        two = len({r.side for r in g}) > 1
+        met.update((a.id, b.id) for a in g for b in g if a.id < b.id and a.class_id != b.class_id and (not two or a.side != b.side))
+    assert set(met) == {(min(a[2], b[2]), max(a[2], b[2])) for a in rows for b in rows if a[4] != b[4]} and all(n == 1 for n in met.values())
+    if sizes == (399, 1):  # one outlier meets each block of the others once
+        assert sum(map(len, groups.values())) == 399 + 1 + 50
+
+
+def test_near_reads_long_texts_whole_and_leaves_other_columns(spark):
+    from quillspark.llm import near
+
+    long = " ".join(f"w{k}" for k in range(60_000))
+    rows = [(1, long, "a", 9), (2, long + " end", "b", 8), (3, long[: len(long) // 2], "c", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, id string, class_id int")
+    assert sorted((r.doc_id, r.id, r.class_id) for r in near.filtered(docs).collect()) == [(1, "a", 9), (3, "c", 7)]
