@@ -22,7 +22,8 @@ class Lens:
     min_topics: int = 1
     noise_doctypes: Sequence[str] = ()
     concept_areas: Sequence[str] = field(default_factory=tuple)
-    leaks: Sequence[tuple[str, str]] = ()  # pattern and name of what notes should not say, beside the usual ones
+    leaks: Sequence[tuple[str, str]] = ()  # pattern and name of what notes should not say; none: the usual ones
+    verification: str = "Citation check"  # the heading of verification records, as a pattern
 
     def __post_init__(self) -> None:
         unknown = [f for f in self.require if f not in self.facets]
@@ -49,7 +50,7 @@ def load_yaml(path: str | Path) -> dict[str, Any]:
 def lens_from(objective: Mapping[str, Any]) -> Lens:
     """The lens of an objective mapping: relevance.topics, require, min_topics, noise_doctypes; concept_areas."""
     relevance = require_field(objective, "relevance", "objective")
-    return Lens(require_field(relevance, "topics", "relevance"), tuple(relevance.get("require") or ()), int(relevance.get("min_topics") or 1), tuple(relevance.get("noise_doctypes") or ()), tuple(objective.get("concept_areas") or ()), tuple((p, n) for n, p in (objective.get("leaks") or {}).items()))
+    return Lens(require_field(relevance, "topics", "relevance"), tuple(relevance.get("require") or ()), int(relevance.get("min_topics") or 1), tuple(relevance.get("noise_doctypes") or ()), tuple(objective.get("concept_areas") or ()), tuple((p, n) for n, p in (objective.get("leaks") or {}).items()), objective.get("verification") or "Citation check")
 
 
 def by_slug(registry: Mapping[str, Mapping[str, Any]], slug: str) -> tuple[str, Mapping[str, Any]]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from quillspark.config import Lens
 from quillspark.functions import text as X
+from quillspark.operators.ranks import before
 from quillspark.operators.truth import msini_earth, outside_band
 
 #: Categories in the order of the report, with their severity.
@@ -31,7 +32,7 @@ NAVIGATION = ("index", "log", "README")
 LEAKS = ((r"(?i)\bperilla\b", "perilla"), (r"(?i)\bdial\b", "dial"), (r"w_\{?j", "w_j"), (r"=\s*peso\(", "peso()"))
 PLACEHOLDER = "<"
 RESERVED_AREAS = ("methods", "hypotheses")
-VERIFY_HEADING = r"(?m)^##\s+Citation check\b(.*)$"
+VERIFICATION = "Citation check"
 
 
 def found(rows: DataFrame, category: str, key: Column | str, detail: Column) -> DataFrame:
@@ -104,8 +105,12 @@ def dangling_disputes(notes: DataFrame) -> DataFrame:
     return found(rows.join(papers, "ref", "left_anti"), "dangling_dispute", "stem", F.concat_ws(": ", "letter", "ref"))
 
 
-def implementation_leaks(notes: DataFrame, patterns: Sequence[tuple[str, str]] = LEAKS) -> DataFrame:
-    """The first pattern that a line holds; quoted lines and navigation are left out. Line numbers count line feeds only."""
+def implementation_leaks(notes: DataFrame, patterns: Sequence[tuple[str, str]] | None = None, lens: Lens | None = None) -> DataFrame:
+    """The first pattern that a line holds; quoted lines and navigation are left out. Line numbers count line feeds only.
+
+    Patterns are those given, else the lens's, else the usual ones.
+    """
+    patterns = patterns or (lens.leaks if lens else ()) or LEAKS
     lines = notes.where(~F.col("stem").isin(*NAVIGATION)).select("stem", F.posexplode(F.split("text", "\n")).alias("i", "s")).where(~F.startswith(F.ltrim("s"), F.lit(">")))
     what = F.coalesce(*[F.when(F.regexp_like("s", F.lit(p)), F.lit(name)) for p, name in patterns])
     return found(lines.withColumn("what", what).where("what is not null"), "implementation_leak", "stem", F.concat(F.lit("line "), (F.col("i") + 1).cast("string"), F.lit(": "), F.col("what")))
@@ -153,17 +158,20 @@ def unverifiable_citations(links: DataFrame, documents: DataFrame) -> DataFrame:
     return found(gone, "unverifiable_citation", "stem", F.col("target"))
 
 
-def verified_on(text: Column) -> tuple[Column, Column]:
-    """Whether there is a verification block, and the latest date of all of them."""
-    heads = F.regexp_extract_all(text, F.lit(VERIFY_HEADING), F.lit(1))
+def verified_on(text: Column, heading: str = VERIFICATION) -> tuple[Column, Column]:
+    """Whether there is a verification block, under this heading (a pattern), and the latest date of all of them."""
+    heads = F.regexp_extract_all(text, F.lit(rf"(?m)^##\s+(?:{heading})\b(.*)$"), F.lit(1))
     dates = F.transform(heads, lambda h: F.nullif(F.regexp_extract(h, r"[0-9]{4}-[0-9]{2}-[0-9]{2}", 0), F.lit("")))
     return F.size(heads) > 0, F.array_max(dates)
 
 
-def verification(notes: DataFrame, links: DataFrame, changes: DataFrame) -> DataFrame:
-    """never_verified, stale_verification and no_citations of query and concept notes. changes: stem, changed_on."""
+def verification(notes: DataFrame, links: DataFrame, changes: DataFrame, lens: Lens | None = None) -> DataFrame:
+    """never_verified, stale_verification and no_citations of query and concept notes. changes: stem, changed_on.
+
+    The lens names the heading of verification records.
+    """
     n = citations(links).groupBy("stem").agg(F.count(F.lit(1)).alias("n"))
-    has, last = verified_on(F.col("text"))
+    has, last = verified_on(F.col("text"), lens.verification if lens else VERIFICATION)
     rows = notes.where("kind in ('query', 'concept')").join(n, "stem", "left").join(changes.select("stem", "changed_on"), "stem", "left")
     rows = rows.withColumn("n", F.coalesce("n", F.lit(0))).withColumn("has", has).withColumn("last", last)
     never = found(rows.where("n > 0 and not has"), "never_verified", "stem", F.concat(F.col("n").cast("string"), F.lit(" citations")))
@@ -172,6 +180,24 @@ def verification(notes: DataFrame, links: DataFrame, changes: DataFrame) -> Data
     return never.unionByName(stale).unionByName(bare)
 
 
+def verified_since(notes: DataFrame, log: DataFrame, uncommitted: DataFrame, today: Column, heading: str = VERIFICATION) -> DataFrame:
+    """stem, verified (its last verification's date), n_before and n_after (changes up to that day and after it) and
+    last_before of every note that has a dated verification record.
+
+    log: stem, changed_on, any number of changes a note; a change on the day of the verification counts as before it.
+    uncommitted: stems that have changes which aren't in the log yet; they count as one change today.
+    """
+    _, last = verified_on(F.col("text"), heading)
+    points = notes.select("stem", last.cast("date").alias("changed_on")).where("changed_on is not null")
+    changes = log.select("stem", F.col("changed_on").cast("date").alias("changed_on")).unionByName(uncommitted.select("stem").distinct().withColumn("changed_on", today.cast("date")))
+    return before(points, changes, "stem", "changed_on").select("stem", F.col("changed_on").alias("verified"), "n_before", "n_after", F.col("last").alias("last_before"))
+
+
+def stale_since(history: DataFrame) -> DataFrame:
+    """A finding for each note that changed after it was verified (see verified_since)."""
+    return found(history.where("n_after > 0"), "stale_verification", "stem", F.concat(F.lit("verified "), F.col("verified").cast("string"), F.lit(", changes since: "), F.col("n_after").cast("string")))
+
+
 def headless(notes: DataFrame, anchor: str) -> DataFrame:
     return found(notes.where(F.col("kind").isin("star", "concept") & ~F.contains("text", F.lit(anchor))), "no_generated_header", "stem", F.lit("no generator line"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as X
+from quillspark.operators.ranks import before, numbered
 
 #: The heading of verification records, and the least characters of a claim.
 VERIFIED = "## Citation check"
@@ -47,8 +48,8 @@ def blocks(notes: DataFrame, heading: str = VERIFIED) -> DataFrame:
     return held.select("stem", "line", F.size("l").cast("long").alias("n_lines"), F.array_join(F.transform("l", lambda x: x["s"]), " ").alias("block"))
 
 
-def pairs(notes: DataFrame, documents: DataFrame, most: int = MAX_PAIRS, heading: str = VERIFIED) -> DataFrame:
-    """ordinal, note, line, claim and bibcode: the first claims that cite a key whose text there is."""
+def pairs(notes: DataFrame, documents: DataFrame, most: int | None = MAX_PAIRS, heading: str = VERIFIED) -> DataFrame:
+    """ordinal, note, line, claim and bibcode: the first claims, or all, that cite a key whose text there is."""
     cited = blocks(notes, heading).withColumn("keys", F.filter(X.links(F.col("block")), X.is_key))
     raw = X.strip(F.regexp_replace("block", r"^(?:[-*+]|[0-9]+\.)\s+", ""))
     bare = F.replace(F.regexp_replace(raw, X.LINK, ""), F.lit("]]"), F.lit(""))
@@ -58,9 +59,9 @@ def pairs(notes: DataFrame, documents: DataFrame, most: int = MAX_PAIRS, heading
     each = each.withColumn("claim", F.when(F.length(short) < MIN_CLAIM, X.blind(F.col("raw"))).otherwise(short))
     each = each.join(documents.select(F.col("stem").alias("bibcode")).distinct(), "bibcode", "left_semi")
     once = Window.partitionBy("stem", "claim", "bibcode").orderBy("line", "k")
-    each = each.withColumn("r", F.row_number().over(once)).where("r = 1").orderBy("stem", "line", "k").limit(most)
-    order = Window.orderBy("stem", "line", "k")  # at most `most` rows
-    return each.select((F.row_number().over(order) - 1).alias("ordinal"), F.col("stem").alias("note"), "line", "claim", "bibcode")
+    each = each.withColumn("r", F.row_number().over(once)).where("r = 1")
+    each = each if most is None else each.orderBy("stem", "line", "k").limit(most)
+    return numbered(each, "stem", "line", "k", name="ordinal").select("ordinal", F.col("stem").alias("note"), "line", "claim", "bibcode")
 
 
 def _next_free(cited: DataFrame, by: list[str], keys: DataFrame) -> DataFrame:
@@ -79,10 +80,10 @@ def seed(real: DataFrame) -> DataFrame:
 
     All keys of the selection stand in a ring; from a pair's own key on, the first that its note never cites is
     taken (tier 0), else the first that its line doesn't cite (tier 1). A pair without either is left out. Runs of
-    cited places are skipped at once, so no pair meets the whole ring; only the distinct keys are numbered in one task.
+    cited places are skipped at once, so no pair meets the whole ring, and keys are numbered range by range.
     """
     keys = real.select("bibcode").where("bibcode is not null").distinct()
-    ring = keys.select("bibcode", (F.row_number().over(Window.orderBy("bibcode")) - 1).alias("i"))
+    ring = numbered(keys, "bibcode", name="i")
     size = keys.agg(F.count(F.lit(1)).alias("n"))
     own = real.join(ring, "bibcode")
     by_note = _next_free(own, ["note"], size).withColumnRenamed("free", "in_ring")
@@ -99,7 +100,7 @@ def shuffle_key(id_: Column, claim: Column) -> Column:
 
 def benchmark(real: DataFrame, false_: DataFrame) -> DataFrame:
     """Real and seeded pairs with ids, in shuffled order and without verdicts."""
-    named = lambda rows, label: rows.select(F.concat(F.lit(label[0]), F.lpad(F.col("ordinal").cast("string"), 3, "0")).alias("id"), F.lit(label).alias("label"), "note", "line", "claim", "bibcode", F.lit(None).cast("string").alias("verdict"))
+    named = lambda rows, label: rows.select(F.concat(F.lit(label[0]), F.format_string("%03d", F.col("ordinal").cast("long"))).alias("id"), F.lit(label).alias("label"), "note", "line", "claim", "bibcode", F.lit(None).cast("string").alias("verdict"))
     rows = named(real, "real").unionByName(named(false_, "seeded"))
     return rows.orderBy(shuffle_key(F.col("id"), F.col("claim")))
 
@@ -153,3 +154,26 @@ def contradictions(claims: DataFrame) -> DataFrame:
     """
     held = claims.groupBy("entity", "parameter").agg(F.countDistinct("bibcode").alias("n_records"), F.array_sort(F.collect_set("bibcode")).alias("records"))
     return held.where("n_records > 1")
+
+
+def contradicting(claims: DataFrame) -> DataFrame:
+    """claims with n_apart: how many claims of other records on the same entity and parameter can't be true with it.
+
+    claims: entity, parameter, bibcode, low, high (a value's interval, ends included). Two claims can't both be true
+    if their intervals don't meet: one ends before the other begins. So each claim counts the ends before its begin
+    and the begins after its end, over sorted ranges of an axis, and takes off those of its own record; no two claims
+    are paired. A claim without an entity, a parameter or an end contradicts nothing; an empty interval is taken as
+    its two ends the other way round.
+    """
+    ends = claims.withColumn("__low", F.least("low", "high")).withColumn("__high", F.greatest("low", "high")).withColumn("__low", F.when(F.col("low").isNull() | F.col("high").isNull(), None).otherwise(F.col("__low")))
+    ends = ends.withColumn("__high", F.when(F.col("__low").isNotNull(), F.col("__high"))).withColumn("__n", F.lit(0).cast("long"))
+    axis = F.when(F.col("entity").isNotNull() & F.col("parameter").isNotNull(), F.struct("entity", "parameter"))
+    own = F.when(axis.isNotNull() & F.col("bibcode").isNotNull(), F.struct(axis.alias("axis"), "bibcode"))
+    for key, sign in ((axis, 1), (own, -1)):
+        rows = ends.withColumn("__axis", key)
+        log = rows.where("__low is not null and __axis is not null")
+        for point, other, strict, count in (("__low", "__high", True, "n_before"), ("__high", "__low", False, "n_after")):
+            met = before(rows.withColumn("__t", F.col(point)), log.select("__axis", F.col(other).alias("__t")), "__axis", "__t", strict)
+            rows = met.withColumn("__n", F.col("__n") + sign * F.col(count)).drop("__t", "n_before", "n_after", "last")
+        ends = rows.drop("__axis")
+    return ends.withColumnRenamed("__n", "n_apart").drop("__low", "__high")

@@ -26,12 +26,12 @@ class EmptyResult(RuntimeError):
     """A direct search of a subject found nothing, which is never stored."""
 
 
-def search(records: DataFrame, where: Column, rows: int = 2000, also: Column | None = None) -> DataFrame:
-    """The `rows` most cited records that match, with num_found (all matches) and truncated on each row."""
+def search(records: DataFrame, where: Column, rows: int | None = 2000, also: Column | None = None) -> DataFrame:
+    """The `rows` most cited records that match, or all for None, with num_found (all matches) and truncated on each row."""
     hits = records.where(where if also is None else where & also)
     found = hits.agg(F.count(F.lit(1)).alias("num_found"))
-    top = hits.orderBy(by_citations(), "ordinal").limit(rows)
-    return top.crossJoin(F.broadcast(found)).withColumn("truncated", F.col("num_found") > rows)  # one row beside the limit
+    top = hits if rows is None else hits.orderBy(by_citations(), "ordinal").limit(rows)
+    return top.crossJoin(F.broadcast(found)).withColumn("truncated", F.lit(False) if rows is None else F.col("num_found") > rows)  # one row beside the limit
 
 
 def projected(raw: DataFrame) -> DataFrame:
@@ -91,7 +91,7 @@ def glyph_targets(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     return one.select("letter", "constellations", "pattern").orderBy("letter")
 
 
-def glyph_rescue(records: DataFrame, names: Sequence[str], rows: int = 2000) -> tuple[DataFrame | None, DataFrame | None]:
+def glyph_rescue(records: DataFrame, names: Sequence[str], rows: int | None = 2000) -> tuple[DataFrame | None, DataFrame | None]:
     """Records that name the subject with a look-alike, via glyph; and a row for each letter whose superset was cut.
 
     The limit stands between the superset and the glyph filter, as a remote search would cut; that is why a cut

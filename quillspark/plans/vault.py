@@ -323,7 +323,7 @@ def glyph_rescue(spark, sf_dir):
     i = F.col("doc_id")
     title = F.when(i % 3 == 0, "the ϵ Eri").when(i % 3 == 1, "the eps Eri").otherwise("Eridanus and εEri")
     rows = table(spark, sf_dir, "documents").select(i.alias("ordinal"), title.alias("title"), F.lit(None).cast("string").alias("abstract"), F.col("n_chars").alias("citation_count"))
-    found, _ = discover.glyph_rescue(rows, ["eps Eri", "tau Cet", "ε  Eridani"], rows=100_000)
+    found, _ = discover.glyph_rescue(rows, ["eps Eri", "tau Cet", "ε  Eridani"], rows=None)
     return found.select(F.col("ordinal").alias("doc_id"), "via", discover.subject_in_title(F.col("title"), ["eps Eri"]).alias("named"))
 
 
@@ -362,7 +362,7 @@ x AS (SELECT stem, unnest([line, line, line + 2, line + 2]) AS line, unnest([one
 SELECT DISTINCT stem AS note, CAST(line AS INTEGER) AS line, key AS bibcode FROM x WHERE regexp_matches(key, '^[0-9]{4}[A-Za-z]') AND key IN (SELECT stem FROM n WHERE doc_id % 2 = 0)""")
 def claim_pairs(spark, sf_dir):
     n = vault(spark, sf_dir)
-    out = claims.pairs(n.select("stem", "text"), n.where("doc_id % 2 = 0").select("stem"), most=100_000)
+    out = claims.pairs(n.select("stem", "text"), n.where("doc_id % 2 = 0").select("stem"), most=None)
     return out.select("note", "line", "bibcode").distinct()
 
 
@@ -425,10 +425,12 @@ r AS (SELECT n.*, d.source, d.lang FROM n JOIN documents d USING (doc_id))
 SELECT stem, '---' || chr(10) || 'title: ''' || title || ' it''''s''' || chr(10) || 'tags: [paper]' || chr(10) || 'year: ''2001''' || chr(10) || CASE WHEN doc_id % 2 = 0 THEN 'doi: ''10.1/x''' || chr(10) ELSE '' END
   || 'citations: ' || CAST(n_chars AS VARCHAR) || chr(10) || 'methods: []' || chr(10) || '---' || chr(10) || '# ' || title || ' it''s' || chr(10) || '· `' || stem || '` · A, B' || chr(10) || chr(10) || '## Search' || chr(10) AS text, NULL AS unknown_area
 FROM r WHERE k < 5 AND doc_id % 3 <> 0
-UNION ALL SELECT stem, '---' || chr(10) || 'title: ''' || title || '''' || chr(10) || 'tags: [concept]' || chr(10) || 'area: ' || CASE WHEN doc_id % 4 = 1 THEN '''hypotheses''' || chr(10) || 'status: ''open''' ELSE '''' || lang || '''' END || chr(10) || '---' || chr(10)
-  || '# ' || title || chr(10) || '> generated note' || chr(10) || chr(10) || '## Records' || chr(10), doc_id % 4 <> 1 AND lang <> 'en' FROM r WHERE k = 7 AND doc_id % 3 <> 0
-UNION ALL SELECT stem, '---' || chr(10) || 'title: ''' || title || '''' || chr(10) || 'tags: [star]' || chr(10) || 'spectral_type: null' || chr(10) || 'teff_K: 5000.0' || chr(10) || 'planets: [''c'', ''b'']' || chr(10) || '---' || chr(10)
-  || '# ' || title || chr(10) || '> generated note' || chr(10) || chr(10) || '## Planets' || chr(10) || 'c | 1.5 | ' || chr(10) || 'b |  | 2.0' || chr(10), NULL FROM r WHERE k IN (5, 6) AND doc_id % 3 <> 0
+UNION ALL SELECT stem, array_to_string(list_filter(['---', 'title: ''' || title || '''', 'name: ''' || title || '''', 'aliases: []', 'tags: [concept]', 'area: ''' || CASE WHEN doc_id % 4 = 1 THEN 'hypotheses' ELSE lang END || '''',
+  CASE WHEN doc_id % 4 = 1 THEN 'status: ''open''' END, 'confidence: medium', '---', '# ' || title, '> generated note', '', '## Synthesis', '', '## Gaps', '', '## Records', '```view', 'records_on: ' || stem, '```', ''], lambda x: x IS NOT NULL), chr(10)), doc_id % 4 <> 1 AND lang <> 'en' FROM r WHERE k = 7 AND doc_id % 3 <> 0
+UNION ALL SELECT stem, array_to_string(['---', 'title: ''' || title || '''', 'name: ''' || title || '''', 'slug: ''' || stem || '''', 'aliases: []', 'simbad_id: null', 'tags: [star]', 'spectral_type: null', 'teff_K: 5000.0', 'dist_pc: ' || CASE WHEN n_chars = 0 THEN 'null' ELSE CAST(n_chars AS VARCHAR) || '.0' END, 'P_rot_days: null', 'activity_indicators_expected: []',
+  'planets: [{letter: ''c'', P_days: 1.5, K_ms: null, e: null, mass_earth: null, status: null}, {letter: ''b'', P_days: null, K_ms: null, e: null, mass_earth: 2.0, status: ''known''}]', 'data_local: null', 'methods_applied: {literature: [], ours: []}', 'confidence: medium', '---',
+  '# ' || title, '> generated note', '', '## Summary', '', '## Gaps', '', '## Planets', '| letter | P (d) | K (m/s) | e | mass (Earths) | status |', '|---|---|---|---|---|---|', '| c | 1.5 |  |  |  |  |', '| b |  |  |  | 2.0 | known |', '',
+  '## Records', '```view', 'records_of: ' || stem, '```', '', '## Methods', '```view', 'members: ' || stem, '```', '', '## Data', 'none', ''], chr(10)), NULL FROM r WHERE k IN (5, 6) AND doc_id % 3 <> 0
 UNION ALL SELECT stem, '---' || chr(10) || 'title: ''' || title || '''' || chr(10) || 'tags: [paper, ' || CASE WHEN doc_id % 2 = 0 THEN 'web' ELSE 'local-pdf' END || ']' || chr(10) || 'year: null' || chr(10)
   || CASE WHEN doc_id % 2 = 0 THEN 'source_url: ''http://x''' || chr(10) ELSE 'pdf: ''a.pdf''' || chr(10) END || CASE WHEN doc_id % 2 = 0 AND doc_id % 5 <> 0 THEN 'accessed: ''2020-01-02''' || chr(10) ELSE '' END || CASE WHEN doc_id % 5 = 0 THEN 'pending_source: ''publisher''' || chr(10) ELSE '' END
   || '---' || chr(10) || '# ' || title || chr(10) || '· `' || stem || '` · A, B' || chr(10) || chr(10) || '## Search' || chr(10), NULL FROM r WHERE k IN (8, 9) AND doc_id % 3 <> 0""")
@@ -439,8 +441,8 @@ def rendered_notes(spark, sf_dir):
     authors = F.array(F.lit("A"), F.lit("B"))
     records = n.where("k < 5").select(F.col("stem").alias("bibcode"), F.concat("name", F.lit(" it's")).alias("title"), authors.alias("authors"), F.lit("2001").alias("year"), F.when(F.col("doc_id") % 2 == 0, "10.1/x").alias("doi"), F.col("fm.citations").alias("citation_count"), F.lit(True).alias("relevant"))
     concepts = n.where("k = 7").select("slug", "name", F.when(F.col("doc_id") % 4 == 1, "hypotheses").otherwise(F.col("lang")).alias("area"), F.lit(None).cast("string").alias("status"))
-    hosts = n.where("k in (5, 6)").select("slug", "name", F.lit(None).cast("string").alias("spectral_type"), F.lit(5000.0).alias("teff_K"))
-    planets = hosts.select("slug", F.explode(F.array(F.struct(F.lit("b").alias("letter"), F.lit(None).cast("double").alias("P_days"), F.lit(2.0).alias("mass")), F.struct(F.lit("c").alias("letter"), F.lit(1.5).alias("P_days"), F.lit(None).cast("double").alias("mass")))).alias("p")).select("slug", "p.*")
+    hosts = n.where("k in (5, 6)").select("slug", "name", F.lit(None).cast("string").alias("spectral_type"), F.lit(5000.0).alias("teff_K"), F.nullif(F.col("fm.citations").cast("double"), F.lit(0.0)).alias("dist_pc"))
+    planets = hosts.select("slug", F.explode(F.array(F.struct(F.lit("b").alias("letter"), F.lit(None).cast("double").alias("P_days"), F.lit(2.0).alias("mass"), F.lit("known").alias("status")), F.struct(F.lit("c").alias("letter"), F.lit(1.5).alias("P_days"), F.lit(None).cast("double").alias("mass"), F.lit(None).cast("string").alias("status")))).alias("p")).select("slug", "p.*")
     even, i = F.col("doc_id") % 2 == 0, F.col("doc_id")
     sources = n.where("k in (8, 9)").select(F.col("stem").alias("bibcode"), F.col("name").alias("title"), authors.alias("authors"), F.lit(None).cast("string").alias("year"), F.lit(None).cast("string").alias("doi"), F.when(even, "http://x").alias("url"), F.when(~even, "a.pdf").alias("pdf"), F.when(i % 5 == 0, "publisher").alias("pending"), F.lit(None).cast("date").alias("explicit"), F.lit("2020-01-02").cast("date").alias("snapshot"))
     none = F.lit(None).cast("boolean").alias("unknown_area")
