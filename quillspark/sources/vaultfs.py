@@ -6,8 +6,8 @@ from then on the write counts: its notes are moved into place, and whoever opens
 driver has left. A write that ends before its journal leaves nothing that anyone sees. Notes that are there are never
 touched in the mode `insert`; in the mode `update` those of the same text aren't written again.
 
-The driver handles the names of folders, one a task, not the notes' names or texts: each task lists its own notes in
-its folder. The folder can be any that pyarrow's file systems and all executors reach.
+The driver never holds the notes: each task lists its own in its folder, and the driver moves them, some at a time,
+list by list. The folder can be any that pyarrow's file systems and all executors reach.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ import json
 import posixpath
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -25,6 +26,8 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 
 #: Where writes lie before they are in place.
 PENDING = ".pending"
+#: Notes that are moved into place at once.
+MOVES = 16
 #: Bytes of notes that a partition of a scan reads, about, and rows that it hands on at a time.
 SPLIT, ROWS = 32 << 20, 2_000
 
@@ -44,12 +47,20 @@ def _read(files: fs.FileSystem, path: str) -> bytes:
         return f.read()
 
 
+def _put(files: fs.FileSystem, path: str, data: bytes, made: set[str]) -> None:
+    """Write a file that nobody looks at yet; made holds the folders that are there."""
+    folder = posixpath.dirname(path)
+    if folder not in made:
+        files.create_dir(folder)
+        made.add(folder)
+    with files.open_output_stream(path) as f:
+        f.write(data)
+
+
 def _write(files: fs.FileSystem, path: str, data: bytes) -> None:
     """The whole file or none: it is written beside its place and moved there."""
-    files.create_dir(posixpath.dirname(path))
     beside = f"{path}.{uuid.uuid4().hex}.tmp"
-    with files.open_output_stream(beside) as f:
-        f.write(data)
+    _put(files, beside, data, set())
     files.move(beside, path)
 
 
@@ -70,11 +81,16 @@ def recover(root: str) -> int:
     for entry in files.get_file_info(fs.FileSelector(f"{base}/{PENDING}")):
         if entry.type == fs.FileType.Directory and _there(files, f"{entry.path}/JOURNAL"):
             for task in json.loads(_read(files, f"{entry.path}/JOURNAL")):
-                for path in json.loads(_read(files, f"{entry.path}/{task}/LIST")):
-                    staged = f"{entry.path}/{task}/notes/{path}"
-                    if _there(files, staged):
-                        files.create_dir(posixpath.dirname(f"{base}/{path}"))
-                        files.move(staged, f"{base}/{path}")
+                paths = json.loads(_read(files, f"{entry.path}/{task}/LIST"))
+                for folder in {posixpath.dirname(f"{base}/{p}") for p in paths}:
+                    files.create_dir(folder)
+
+                def place(path: str, staged: str = f"{entry.path}/{task}/notes") -> None:
+                    if _there(files, f"{staged}/{path}"):
+                        files.move(f"{staged}/{path}", f"{base}/{path}")
+
+                with ThreadPoolExecutor(MOVES) as pool:
+                    list(pool.map(place, paths))
             files.delete_dir(entry.path)
             done += 1
     return done
@@ -125,16 +141,16 @@ class _Writer(DataSourceArrowWriter):
     def write(self, iterator: Iterator[pa.RecordBatch]) -> _Task:
         files, base = _open(self.root)
         task = uuid.uuid4().hex
-        where, listed = f"{base}/{PENDING}/{self.id}/{task}", []
+        where, listed, made = f"{base}/{PENDING}/{self.id}/{task}", [], set()
         for batch in iterator:
             for path, text in zip(batch.column("path").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 data = (text or "").encode()
                 if _there(files, f"{base}/{_safe(path)}") and (self.mode == "insert" or _read(files, f"{base}/{path}") == data):
                     continue
-                _write(files, f"{where}/notes/{path}", data)
+                _put(files, f"{where}/notes/{path}", data, made)
                 listed.append(path)
         if listed:
-            _write(files, f"{where}/LIST", json.dumps(listed).encode())
+            _put(files, f"{where}/LIST", json.dumps(listed).encode(), made)
         return _Task(task, len(listed))
 
     def commit(self, messages: list[_Task | None]) -> None:
