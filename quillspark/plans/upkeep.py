@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quillspark.operators import audit, claims, ranks, render, renames
+from quillspark.operators import audit, claims, ledger, ranks, render, renames, steps
 from quillspark.operators import notes as N
-from quillspark.plans.registry import query, table
+from quillspark.plans.registry import _FACETS, classified, query, table
 from quillspark.plans.vault import VAULT, vault
+from quillspark.sources import files
+from quillspark.sources.keyed import KeyedStore
 from quillspark.sources.store import new_path
 from quillspark.sources.vaultfs import read_vault, write_vault
 
@@ -96,3 +98,43 @@ def vault_round_trip(spark, sf_dir):
     write_vault(n.select(F.substr("path", F.lit(3)).alias("path"), F.concat(render.head(fields), "text").alias("text")), path)
     held = N.parse_heads(read_vault(spark, path).withColumn("path", F.concat(F.lit("v/"), "path")))
     return held.select("path", N.note_kind(F.col("path")).alias("kind"), "fm.title", F.substring_index("fm_status", ":", 1).alias("status"), "fm.retracted", "fm.citations")
+
+
+@query("SELECT DISTINCT click_id, client_id FROM clicks WHERE click_id IS NOT NULL")
+def keyed_stream(spark, sf_dir):
+    """Clicks as a stream into a store by click_id: copies count once, and a restart or a repeat adds nothing."""
+    where = f"{sf_dir}/clicks.parquet"
+    schema = spark.read.parquet(where).schema
+    store = KeyedStore(spark, new_path(spark, "clicks"), "click_id", buckets=8)
+    arriving = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(f"{sf_dir}/click[s].parquet").select("click_id", "client_id")
+    state = new_path(spark, "clicks-state")
+    store.ingest(arriving(), "clicks", state)
+    store.ingest(arriving(), "clicks", state)  # nothing has arrived since
+    store.append(spark.read.parquet(where).select("click_id", "client_id"), "by-hand")
+    return store.rows()
+
+
+@query(_FACETS + """, k AS (SELECT lang AS slug, count(*) AS n_total, count(*) FILTER (WHERE why IS NULL) AS n_core FROM c GROUP BY lang),
+z AS (SELECT * FROM (VALUES (0, 'discover', 'done', 0), (1, 'guard', 'failed', 3), (2, 'discover', 'skipped', 0), (3, 'guard', 'done', 0), (4, 'log', 'done', 0), (5, 'discover', 'skipped', 0), (6, 'guard', 'skipped', 0), (7, 'log', 'skipped', 0)) AS t(place, step, status, code))
+SELECT slug, n_total, n_core, place, step, status, code FROM k, z""")
+def resumable_steps(spark, sf_dir):
+    """A chain that writes a run and its log, stopped by its guard, resumed, and run again without a change; all langs' counts beside it."""
+    out, path = new_path(spark, "steps"), f"{sf_dir}/documents.parquet"
+    book = steps.Ledger(spark, f"{out}/ledger")
+
+    def discover(_: str) -> None:
+        files.write_run(classified(spark, sf_dir).select("slug", "bibcode", "relevant", "via"), f"{out}/run")
+
+    def log(_: str) -> None:
+        rows = spark.read.parquet(f"{out}/run")
+        counts = ledger.run_counts(rows, rows.where("false"), rows.where("false"))
+        files.write_search_log(counts, f"{out}/log")
+
+    def chain(yes: bool) -> list[steps.Step]:
+        return [steps.Step("discover", discover, (path,)), steps.Step("guard", lambda _: steps.OK if yes else steps.STOPPED, (path,)), steps.Step("log", log, (path,))]
+
+    for yes in (False, True, True):
+        book.run("all", chain(yes))
+    counts = spark.read.parquet(f"{out}/log").select("slug", "n_total", "n_core")
+    done = ranks.numbered(book.rows(), "at", "place", name="n").select(F.col("n").cast("int").alias("place"), "step", "status", "code")
+    return counts.crossJoin(F.broadcast(done))  # eight rows
