@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import text as X
 from quillspark.operators.ranks import before, numbered
+from quillspark.sources.store import staged
 
 #: The heading of verification records, and the least characters of a claim.
 VERIFIED = "## Citation check"
@@ -124,26 +125,34 @@ def ladder(quotes: DataFrame, documents: DataFrame, shortest: int = 3, longest:
     """quote_id, doc, line and n: where the longest run of a quote's words stands in one segment of a document.
 
     As if runs of n words were tried from the whole quote (or `longest` words of it) down to `shortest`, from left
-    to right, and the first hit won. Quotes and segments meet wherever they share `shortest` words, and from there
-    the run goes on word by word. quotes: quote_id, quote. documents: doc, text.
+    to right, and the first hit won. Quotes and segments meet where they share `shortest` words and the words before
+    differ, so a run that repeats is met once and not at each of its words, and from there the run goes on word by
+    word. quotes: quote_id, quote. documents: doc, text.
     """
     split = lambda c: F.filter(F.split(F.lower(X.collapse(c)), " "), lambda w: w != "")
-    heads = F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - shortest + 1), lambda i: F.xxhash64(F.array_join(F.slice("w", i, F.lit(shortest)), " ")))).alias("at", "head")
+    # each place with the hash of its first words and the word before it, which is null at the beginning
+    head = lambda i: F.struct(F.xxhash64(F.array_join(F.slice("w", i, F.lit(shortest)), " ")).alias("head"), F.get("w", i - 2).alias("prev"))
+    heads = F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - shortest + 1), head)).alias("at", "h")
     q = quotes.select("quote_id", split(F.col("quote")).alias("w")).where(F.size("w") >= shortest)
-    most = q.agg(F.max(F.size("w"))).first()[0] or shortest
-    most = most if longest is None else min(most, longest)
-    rest = F.slice("w", F.col("at") + 1, F.lit(most))
-    runs = q.select("quote_id", "w", heads).select("quote_id", "head", (F.col("at") + 1).alias("start"), rest.alias("run"))
+    runs = q.select("quote_id", heads).select("quote_id", (F.col("at") + 1).alias("start"), F.col("h.head").alias("q_head"), F.col("h.prev").alias("q_prev"))
     lines = documents.select("doc", F.posexplode(X.segments(F.col("text"))).alias("line", "raw")).select("doc", "line", split(F.col("raw")).alias("w")).where(F.size("w") >= shortest)
-    # places first, without any text: only those whose head some quote has are looked at again
-    places = lines.select("doc", "line", heads).join(runs.select("head").distinct(), "head", "left_semi").groupBy("doc", "line").agg(F.collect_list(F.struct("at", "head")).alias("places"))
-    held = documents.join(places.select("doc").distinct(), "doc", "left_semi").select("doc", X.segments(F.col("text")).alias("s"))
-    there = held.join(places, "doc").select("doc", "line", F.explode("places").alias("p"), split(F.get("s", F.col("line"))).alias("w")).select("doc", (F.col("line") + 1).alias("line"), "p.at", "p.head", "w")
-    met = there.select("doc", "line", "head", rest.alias("s")).join(runs, "head")
-    both = F.least(F.size("run"), F.size("s"))
-    parts = F.array_position(F.zip_with(F.slice("run", 1, both), F.slice("s", 1, both), lambda a, b: a != b), True)
-    met = met.withColumn("n", F.when(parts > 0, parts - 1).otherwise(both).cast("int")).where(F.col("n") >= shortest)  # heads are hashes
-    best = met.groupBy("quote_id", "doc").agg(F.min(F.struct((-F.col("n")).alias("m"), "start", "line")).alias("b"))
+    places = lines.select("doc", "line", heads).select("doc", "line", "at", "h.head", "h.prev")
+    # only where both sides' words before differ: any other match goes on from one that begins earlier and is longer
+    begins = F.col("prev").isNull() | F.col("q_prev").isNull() | (F.col("prev") != F.col("q_prev"))
+    met = places.join(runs, (F.col("head") == F.col("q_head")) & begins).groupBy("quote_id", "doc", "line").agg(F.collect_list(F.struct("start", "at")).alias("seeds"))
+    met = staged(met, "seeds")
+    # now the words, once for each quote and line
+    held = documents.join(met.select("doc").distinct(), "doc", "left_semi").select("doc", X.segments(F.col("text")).alias("s"))
+    there = held.join(met, "doc").select("quote_id", "doc", (F.col("line") + 1).alias("line"), "seeds", split(F.get("s", F.col("line"))).alias("l")).join(q, "quote_id")
+    most = F.lit(longest if longest is not None else (1 << 31) - 1)
+
+    def reached(seed: Column) -> Column:
+        n = F.least(F.size("w") - seed["start"] + 1, F.size("l") - seed["at"], most)
+        parts = F.array_position(F.zip_with(F.slice("w", seed["start"], n), F.slice("l", seed["at"] + 1, n), lambda a, b: a != b), True)
+        return F.struct((-F.when(parts > 0, parts - 1).otherwise(n)).cast("int").alias("m"), seed["start"].alias("start"))
+
+    best = there.select("quote_id", "doc", "line", F.array_min(F.transform("seeds", reached)).alias("b")).where(F.col("b.m") <= -shortest)  # heads are hashes
+    best = best.groupBy("quote_id", "doc").agg(F.min(F.struct("b.m", "b.start", "line")).alias("b"))
     return best.select("quote_id", "doc", F.col("b.line").alias("line"), (-F.col("b.m")).alias("n"))
 
 

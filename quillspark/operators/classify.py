@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillspark.config import Lens
+from quillspark.sources.store import staged
 
 UNTITLED_REASON = "reason not recorded"
 
@@ -76,10 +77,13 @@ def excluded_top(classified: DataFrame, n: int = 10) -> DataFrame:
 
 
 def probe(classified: DataFrame, n: int = 25) -> DataFrame:
-    """All core and the most cited others, core first."""
-    core = classified.where("relevant")
-    rest = classified.where("not relevant").orderBy(by_citations(), "ordinal").limit(n)
-    return core.unionByName(rest).orderBy(F.col("relevant").desc(), by_citations(), "ordinal")
+    """All core and the most cited others, core first, without their abstracts.
+
+    Texts are classified once: what is limited, put together and sorted are the written rows without the texts.
+    """
+    held = staged(classified.drop("abstract"), "probe")
+    rest = held.where("not relevant").orderBy(by_citations(), "ordinal").limit(n)
+    return held.where("relevant").unionByName(rest).orderBy(F.col("relevant").desc(), by_citations(), "ordinal")
 
 
 def reclass_diff(before: DataFrame, after: DataFrame, notes: DataFrame) -> DataFrame:

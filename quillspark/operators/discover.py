@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillspark.functions import text as X
@@ -117,8 +117,10 @@ def subject_in_title(title: Column, names: Sequence[str]) -> Column:
 
 
 def first_wins(rows: DataFrame, key: Sequence[str], *order: str) -> DataFrame:
-    """The first row of each key; every other order would be arbitrary."""
-    return rows.withColumn("__rank", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("__rank = 1").drop("__rank")
+    """The first row of each key in a total order; rows of a hot key are compared where they are, before the shuffle."""
+    rest = [c for c in rows.columns if c not in key]
+    best = rows.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__row"))
+    return best.select(*[F.col(f"__row.{c}").alias(c) if c in rest else F.col(c) for c in rows.columns])
 
 
 def override(records: DataFrame, extra: DataFrame, catalogue: DataFrame) -> tuple[DataFrame, DataFrame]:

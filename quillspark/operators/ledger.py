@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: At least so many new core, and such a growth, stop an ingest until a person agrees.
@@ -22,8 +22,9 @@ def run_counts(records: DataFrame, candidates: DataFrame, decisions: DataFrame)
 def merged_decisions(legacy: DataFrame, current: DataFrame) -> DataFrame:
     """Both ledgers' decisions; the current one wins on the same slug and key. Running it again changes nothing."""
     rows = legacy.withColumn("p", F.lit(0)).unionByName(current.withColumn("p", F.lit(1)))
-    best = Window.partitionBy("slug", "bibcode").orderBy(F.desc("p"))
-    return rows.withColumn("r", F.row_number().over(best)).where("r = 1").drop("p", "r")
+    rest = [c for c in current.columns if c not in ("slug", "bibcode")]
+    best = rows.groupBy("slug", "bibcode").agg(F.max_by(F.struct(*rest), "p").alias("b"))
+    return best.select(*[F.col(f"b.{c}").alias(c) if c in rest else F.col(c) for c in legacy.columns])
 
 
 def upsert_decisions(held: DataFrame, slug: str, keys: list[str], decision: str, reason: str, today: dt.date | None = None) -> DataFrame:

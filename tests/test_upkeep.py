@@ -241,3 +241,14 @@ def test_a_megabyte_of_tags_is_cleaned_in_linear_time(spark, text):
     start = time.time()
     cleaned(spark, [text])
     assert time.time() - start < 20
+
+
+def test_a_repeated_head_is_met_once(spark):
+    line = "of the way " * 500
+    quotes = table(spark, [(k, f"w{k} of the way of the way end") for k in range(20)] + [(99, "the way of"), (98, "way way way")], "quote_id int, quote string")
+    docs = table(spark, [(1, line + "end"), (2, "nothing of the kind")], "doc int, text string")
+    start = time.time()
+    got = {(r.quote_id, r.doc): (r.line, r.n) for r in claims.ladder(quotes, docs).collect()}
+    assert got == {(k, 1): (1, 7) for k in range(20)} | {(99, 1): (1, 3)} and time.time() - start < 30
+    capped = {(r.quote_id, r.doc): r.n for r in claims.ladder(quotes, docs, longest=4).collect()}
+    assert capped == {(k, 1): 4 for k in range(20)} | {(99, 1): 3}
