@@ -307,3 +307,28 @@ def test_near_reads_long_texts_whole_and_leaves_other_columns(spark):
     rows = [(1, long, "a", 9), (2, long + " end", "b", 8), (3, long[: len(long) // 2], "c", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, id string, class_id int")
     assert sorted((r.doc_id, r.id, r.class_id) for r in near.filtered(docs).collect()) == [(1, "a", 9), (3, "c", 7)]
+
+
+# ---------------------------------------------------------------- the language model's learners
+
+
+def test_scores_do_not_depend_on_the_partitions(spark, sf_dir):
+    from quillspark.llm import lm
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(120)
+    held = [{r.doc_id: (r.score, r.base_score, r.n_known) for r in lm.scored(docs.repartition(n)).collect()} for n in (1, 5)]
+    assert held[0].keys() == held[1].keys() and all(v[1:] == held[1][i][1:] and v[0] == pytest.approx(held[1][i][0], rel=1e-6) for i, v in held[0].items())
+
+
+def test_learners_are_dealt_and_averaged_alike_however_windows_arrive(spark):
+    import numpy as np
+
+    from quillspark.llm import lm
+
+    rng = np.random.default_rng(3)
+    rows = [(k % 2, int(h), rng.integers(0, 30, 3 * lm.STRIDE).astype(np.int32).tobytes()) for k, h in enumerate(rng.integers(-(1 << 62), 1 << 62, 600))]
+    table = spark.createDataFrame(rows, "round int, key long, windows binary")
+    counts = np.arange(30.0) + 1
+    one, done = lm.trained(table.coalesce(1), counts, rounds=2, each=64)
+    two, _ = lm.trained(table.repartition(7), counts, rounds=2, each=64)
+    assert all((one.weights[n] == two.weights[n]).all() for n in one.weights) and sum(n for n, _ in done) == 600
