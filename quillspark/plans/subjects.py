@@ -1,6 +1,6 @@
 """Queries over many subjects at once: names in texts, phrase search by postings, staged discovery.
 
-Each document stands for a subject, named by the first two words of its text, as far as they are letters.
+The first three words of a document's text, as far as they are letters, name a subject: the first document that starts so.
 """
 
 from __future__ import annotations
@@ -13,16 +13,17 @@ from quillspark.plans.registry import _FACETS, classified, part_edges, query, ta
 from quillspark.sources.index import Index
 from quillspark.sources.store import new_path
 
-_FIRST = r"^\s*([A-Za-z]+ [A-Za-z]+)"
+_FIRST = r"^\s*([A-Za-z]+ [A-Za-z]+ [A-Za-z]+)"
 
 
 def subject_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """subject (a document's number) and name of the documents whose text starts with two words."""
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("subject"), F.regexp_extract("text", _FIRST, 1).alias("name")).where("name <> ''")
+    """subject (the least number of the documents that start so) and name, lower-cased."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.lower(F.regexp_extract("text", _FIRST, 1)).alias("name")).where("name <> ''")
+    return rows.groupBy("name").agg(F.min("doc_id").alias("subject"))
 
 
 _NAMES = r"""
-WITH RECURSIVE s AS (SELECT doc_id AS subject, lower(regexp_extract(text, '^\s*([A-Za-z]+ [A-Za-z]+)', 1)) AS phrase FROM documents WHERE regexp_extract(text, '^\s*([A-Za-z]+ [A-Za-z]+)', 1) <> ''),
+WITH RECURSIVE s AS (SELECT min(doc_id) AS subject, lower(regexp_extract(text, '^\s*([A-Za-z]+ [A-Za-z]+ [A-Za-z]+)', 1)) AS phrase FROM documents WHERE regexp_extract(text, '^\s*([A-Za-z]+ [A-Za-z]+ [A-Za-z]+)', 1) <> '' GROUP BY 2),
 x AS (SELECT *, lower(trim(regexp_replace(text, '[\s\x{a0}\x0b\x1c-\x1f\x{85}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' ', 'g'))) AS whole FROM documents),
 u AS (SELECT DISTINCT phrase FROM s), m AS (SELECT x.doc_id, u.phrase FROM x JOIN u ON contains(x.whole, u.phrase))
 """
