@@ -51,6 +51,8 @@ ABSTAIN, NO, YES = 0, 1, 2
 CONTEXT_CHARS, SURE = 40, 0.9
 _BLOCK = 64
 
+#: Patterns of inputs that are learned from as they are.
+MOST_PATTERNS = 20_000
 #: Values that the word before a span is hashed to, and shapes: which of these stand in a span.
 WORDS, MARKS = 24, (".", "-", "(", " ")
 
@@ -238,10 +240,23 @@ def candidates(documents: DataFrame) -> DataFrame:
     return staged(documents.select("doc_id", spans_of(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("found")), "pii")
 
 
-def classifier(found: DataFrame) -> np.ndarray | None:
-    """Coefficients learned from the counts of all patterns of inputs, of which there is a bounded number."""
+def patterns_of(found: DataFrame, most: int = MOST_PATTERNS) -> DataFrame:
+    """Each pattern of inputs with its count n: the `most` most frequent, or a few less, as they are, all others with the
+    word before and the shape left out, of which there are at most 4 kinds x 81 votes x 9 sizes x 4 characters after."""
     names = ("kind", *_VOTES, "size", "shape", "after", "word")
-    counts = found.select(F.explode("found").alias("s")).groupBy(*[F.col(f"s.{c}").alias(c) for c in names]).agg(F.count(F.lit(1)).alias("n")).orderBy(*names).collect()
+    counts = found.select(F.explode("found").alias("s")).groupBy(*[F.col(f"s.{c}").alias(c) for c in names]).agg(F.count(F.lit(1)).alias("n"))
+    counts = staged(counts, "patterns")
+    if counts.count() <= most:
+        return counts
+    least = counts.orderBy(F.desc("n")).limit(most).agg(F.min("n")).first()[0]
+    fold = [F.when(F.col("n") > least, F.col(c)).otherwise(0).alias(c) if c in ("shape", "word") else F.col(c) for c in names]
+    return counts.select(*fold, "n").groupBy(*names).agg(F.sum("n").alias("n"))
+
+
+def classifier(found: DataFrame, most: int = MOST_PATTERNS) -> np.ndarray | None:
+    """Coefficients learned from the counts of patterns of inputs, of which there is a bounded number."""
+    names = ("kind", *_VOTES, "size", "shape", "after", "word")
+    counts = patterns_of(found, most).orderBy(*names).collect()
     if not counts:
         return None
     patterns: dict[tuple[int, ...], int] = {}

@@ -332,3 +332,56 @@ def test_learners_are_dealt_and_averaged_alike_however_windows_arrive(spark):
     one, done = lm.trained(table.coalesce(1), counts, rounds=2, each=64)
     two, _ = lm.trained(table.repartition(7), counts, rounds=2, each=64)
     assert all((one.weights[n] == two.weights[n]).all() for n in one.weights) and sum(n for n, _ in done) == 600
+
+
+# ---------------------------------------------------------------- personal data that the base patterns miss
+
+
+def planted_spans(n):
+    """Texts with one span each, and (kind or None, start, end): every fourth kind of row is clean."""
+    r = random.Random(8)
+    prose = lambda k: " ".join(r.choice("abcdefgh") + r.choice("aeiou") + r.choice("lmnrst") for _ in range(k))
+
+    def card(good):
+        d = "4" + "".join(r.choice("0123456789") for _ in range(14))
+        check = -sum(sum(divmod(2 * int(c), 10)) if i % 2 == 0 else int(c) for i, c in enumerate(d[::-1])) % 10
+        d += str(check if good else (check + 1 + r.randrange(8)) % 10)
+        return " ".join(d[i : i + 4] for i in range(0, 16, 4))
+
+    number = lambda: (r.randrange(200, 999), r.randrange(200, 999), r.randrange(1000, 9999))
+    made = [
+        lambda i: ("email", "write to ", f"user{i}@host{i % 9}.com"), lambda i: ("ip", "server ip ", f"10.{i % 200}.3.{i % 250}"), lambda i: ("card", "my card number is ", card(True)), lambda i: ("phone", "please call ", "+1 {} {} {}".format(*number())),
+        lambda i: ("email", "mail me at ", f"user{i} (at) host{i % 9} (dot) com"), lambda i: ("ip", "from address ", f"2001:0db8:85a3:0000:0000:8a2e:0370:{i:04x}"), lambda i: ("card", "card number ", card(False)), lambda i: ("phone", "or call ", "({}) {}-{}".format(*number())),
+        lambda i: (None, "order id ", card(False)), lambda i: (None, "version ", "300.400.1.2"), lambda i: (None, "took ", "12-34-56"), lambda i: (None, "part ", "+12 3"),
+    ]
+    out = []
+    for i in range(n):
+        kind, before, span = made[i % len(made)](i)
+        head = f"{prose(8)} {before}"
+        out.append((i, f"{head}{span} {prose(5)}", kind, len(head), len(head) + len(span)))
+    return out
+
+
+def test_planted_spans_of_every_kind_are_found_and_clean_texts_stay(spark):
+    from quillspark.llm import pii
+
+    rows = planted_spans(360)
+    out = {r.doc_id: (r.spans or "").split(",") for r in pii.digest(spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")).collect()}
+    found, missed, wrong = Counter(), Counter(), 0
+    for i, _, kind, start, end in rows:
+        if kind is None:
+            wrong += out[i] != [""]
+        else:
+            (found if f"{kind}:{start}:{end}" in out[i] else missed)[kind] += 1
+    assert all(found[k] >= 0.95 * (found[k] + missed[k]) for k in ("email", "ip", "card", "phone")) and wrong == 0, (found, missed, wrong)
+
+
+def test_patterns_that_are_learned_from_are_bounded(spark):
+    from quillspark.llm import pii
+
+    found = pii.candidates(spark.createDataFrame([x[:2] for x in planted_spans(360)], "doc_id long, text string"))
+    whole, few = pii.patterns_of(found).collect(), pii.patterns_of(found, most=5).collect()
+    assert sum(r.n for r in whole) == sum(r.n for r in few) and len(few) < len(whole)
+    rare = [r for r in few if r.n <= sorted(x.n for x in whole)[-5]]
+    assert all(r.word == 0 and r["shape"] == 0 for r in rare)
+    assert pii.classifier(found, most=5) is not None
