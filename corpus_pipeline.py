@@ -2,6 +2,13 @@
 
 Each stage works on all that the one before kept. The first four return the columns of documents; the last
 returns every document that is left with the words that the mix takes of it, in training order.
+
+Defined cases: null texts and texts without words fail the base rules of the first stage, so they go; a stage that is
+given such texts by itself keeps them (line dedup, decontamination, mixing) or takes each as its own class (near dedup).
+Texts of any length are read whole. Rows that share a doc_id, or have none (it counts as the largest), are judged each
+by its text; equal rows stay or go together, and of equal texts the smallest doc_id stays. A null source is a source of
+its own, the last. Empty tables go through all stages and give no rows; without labels the first stage has the base
+rules only. Columns beside those of documents are carried through the first four stages.
 """
 
 from __future__ import annotations
