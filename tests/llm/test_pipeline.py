@@ -14,7 +14,7 @@ from quillspark.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_like_sql(spark, sf_dir, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "clicks", "sales"):
         con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     df = __spark_entry__.queries()[name](spark, sf_dir)
     cols = sorted(df.columns)
