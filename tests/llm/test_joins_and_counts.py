@@ -385,3 +385,67 @@ def test_patterns_that_are_learned_from_are_bounded(spark):
     rare = [r for r in few if r.n <= sorted(x.n for x in whole)[-5]]
     assert all(r.word == 0 and r["shape"] == 0 for r in rare)
     assert pii.classifier(found, most=5) is not None
+
+
+# ---------------------------------------------------------------- FTRL-proximal against one text at a time
+
+
+def test_ftrl_equals_a_plain_restatement():
+    import math
+
+    import numpy as np
+
+    from quillspark.llm import tokens, toxicity
+
+    bits, mask = 12, (1 << 64) - 1
+    r = random.Random(12)
+    vocabulary = ["vile", "Scum", "hateful", "nice", "garden", "thank", "you", "üüab", "x1", "a", "longerwordhere"]
+    texts = [" ".join(r.choice(vocabulary) for _ in range(r.randrange(14))) + r.choice(["", "!", "\n"]) for _ in range(120)]
+    labels = [float("vile" in t or "Scum" in t) for t in texts]
+
+    def one(data, salt=0):  # the hash of one word, or of its head, by itself
+        b = next(tokens.batches(pa.array([data])))[1]
+        starts, ends, _ = b.words(tokens.ALNUM)
+        return int(b.hashes(starts, ends, fold=True)[0]) ^ salt
+
+    def place(h):
+        return int(tokens.mix(np.array([h & mask], np.uint64))[0]) >> (64 - bits)
+
+    def features(text):
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(FOLD))
+        out = [one(w) for w in words]
+        for gap, salt in ((1, 0x8CB92BA72F3D8DD7), (2, 0xD2B74407B1CE6E93)):
+            out += [one(a) * salt + one(b) for a, b in zip(words, words[gap:], strict=False)]
+        for size in toxicity.HEADS:
+            out += [one(w.encode()[:size].decode("utf-8"), size) for w in words if len(w.encode()) > size]
+        return {k: min(n, toxicity.MOST) for k, n in Counter(map(place, out)).items()}
+
+    held = [features(t) for t in texts]
+    alpha, beta, l1 = 0.3, 1.0, 0.5
+    z, n = {}, {}
+
+    def weight(k):
+        penalty = 0 if k == "bias" else l1
+        v = z.get(k, 0.0)
+        return 0.0 if abs(v) <= penalty else -(v - math.copysign(penalty, v)) / ((beta + math.sqrt(n.get(k, 0.0))) / alpha)
+
+    for epoch in range(3):
+        for i in np.random.default_rng(epoch).permutation(len(texts)):
+            x = held[i] | {"bias": 1}
+            w = {k: weight(k) for k in x}
+            p = 1 / (1 + math.exp(-sum(w[k] * v for k, v in x.items())))
+            for k, v in x.items():
+                g = (p - labels[i]) * v
+                old = n.get(k, 0.0)
+                n[k] = old + g * g
+                z[k] = z.get(k, 0.0) + g - (math.sqrt(n[k]) - math.sqrt(old)) / alpha * w[k]
+    want = {k: weight(k) for k in z}
+
+    rows = toxicity.training_rows(pa.array(texts), bits)
+    model = toxicity.learn([np.array(x, np.int32) for x in rows.to_pylist()], np.array(labels), bits, alpha=alpha, beta=beta, l1=l1)
+    got = dict(zip(model.at.tolist(), model.weights.tolist(), strict=True))
+    assert set(got) <= set(z) and all(got.get(k, 0) == pytest.approx(v, rel=1e-4, abs=1e-6) for k, v in want.items() if k != "bias")  # one may be 0 but for rounding
+    assert model.bias == pytest.approx(want["bias"])
+    assert 0 < len(got) < len(z)  # the penalty leaves some at 0
+    scores = toxicity.probabilities(pa.array(texts), model)
+    assert scores == pytest.approx([1 / (1 + math.exp(-sum(want.get(k, 0) * v for k, v in x.items()) - want["bias"])) for x in held], abs=1e-5)
