@@ -1,8 +1,10 @@
 """A positional inverted index: which documents say a phrase, answered from postings, without reading a text.
 
-A posting is a term, a document and the term's places in it. Postings lie in folders by bucket (a hash of the term),
-sorted by term, so that a search reads the buckets of its terms and, in these, the row groups of them. Documents are
-appended batch by batch; a batch counts once it is listed, so one that failed half-way is never seen.
+A posting is a term, a document and the term's places in it. Postings are grouped before they are shuffled: a task turns
+some documents at a time into blocks, each a term with the documents that have it and its places in every one of them.
+Blocks lie in folders by bucket (a hash of the term), sorted by term, so that a search reads the buckets of its terms
+and, in these, the row groups of them. Documents are appended batch by batch; a batch counts once it is listed, so one
+that failed half-way is never seen.
 
 A phrase is sought from its rarest term on: its postings, moved back by the term's place in the phrase, are the places
 where the phrase may begin, and each other term's postings of the same documents must hold the same places. Postings
@@ -13,13 +15,16 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillspark.sources.store import exists
 
 BUCKETS = 64
-#: Parts over which a bucket's documents are dealt when they are written.
+#: Parts over which a bucket's blocks are dealt at least; where the session has more shuffle partitions, there are more.
 PARTS = 4
 TERM = r"[\p{L}\p{N}]+"
 
@@ -33,11 +38,35 @@ def _bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def _blocks(batches):
+    """A block for each term of an Arrow batch of documents (doc, words): the docs that have it, and its places in each."""
+    for batch in batches:
+        words = batch.column("words")
+        held = words.flatten().dictionary_encode()
+        sizes = np.diff(words.offsets.to_numpy())
+        if not len(held):
+            continue
+        codes, row = held.indices.to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
+        at = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        order = np.argsort(codes, kind="stable")  # rows and places stay ascending inside a term
+        codes, row, at = codes[order], row[order], at[order].astype(np.int32)
+        term = np.flatnonzero(np.diff(codes, prepend=-1))
+        posting = np.flatnonzero((np.diff(codes, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))
+        ends = np.append(np.searchsorted(posting, term), len(posting)).astype(np.int32)
+        places = pa.ListArray.from_arrays(np.append(posting, len(at)).astype(np.int32), pa.array(at))
+        docs = pa.ListArray.from_arrays(ends, batch.column("doc").take(pa.array(row[posting])))
+        yield pa.RecordBatch.from_arrays([held.dictionary.take(pa.array(codes[term])), docs, pa.ListArray.from_arrays(ends, places)], ["term", "docs", "places"])
+
+
 class Index:
-    """An index at a path. `append` adds documents, `search` finds phrases, `compact` puts all batches together."""
+    """An index at a path. `append` adds documents, `search` finds phrases, `compact` puts all batches together.
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS):
+    `parts` deals a bucket's blocks over as many tasks and files; it should grow with the documents of a batch.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = BUCKETS, parts: int | None = None):
         self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
+        self.parts = parts or max(PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")) // buckets)
 
     def _batches(self) -> DataFrame | None:
         where = f"{self.path}/batches"
@@ -56,21 +85,21 @@ class Index:
         rows = [(batch, r) for r in replaces or [None]]
         self.spark.createDataFrame(rows, "batch string, replaces string").coalesce(1).write.mode("append").parquet(f"{self.path}/batches")
 
-    def _write(self, postings: DataFrame) -> str:
+    def _write(self, blocks: DataFrame) -> str:
         batch = uuid.uuid4().hex
-        dealt = postings.sortWithinPartitions("bucket", "term", "doc")
+        part = F.pmod(F.xxhash64(F.get("docs", F.lit(0))), F.lit(self.parts))
+        dealt = blocks.repartition("bucket", part).sortWithinPartitions("bucket", "term")
         dealt.write.partitionBy("bucket").parquet(f"{self.path}/postings/{batch}")
         held = self.spark.read.parquet(f"{self.path}/postings/{batch}")
-        held.groupBy("bucket", "term").agg(F.count(F.lit(1)).alias("n_docs")).write.parquet(f"{self.path}/terms/{batch}")
+        held.groupBy("bucket", "term").agg(F.sum(F.size("docs")).alias("n_docs")).write.parquet(f"{self.path}/terms/{batch}")
         return batch
 
     def append(self, documents: DataFrame) -> str:
-        """Index documents (doc, text); a doc that is there already is not replaced, its places count twice."""
-        places = documents.select("doc", F.posexplode(terms(F.col("text"))).alias("at", "term"))
-        dealt = places.withColumn("bucket", _bucket(F.col("term"), self.buckets)).withColumn("part", F.pmod(F.xxhash64("doc"), F.lit(PARTS)).cast("int"))
-        # dealt once, by bucket and part; the grouping below is finer and needs no other shuffle
-        dealt = dealt.repartition("bucket", "part").groupBy("bucket", "part", "term", "doc").agg(F.array_sort(F.collect_list("at")).alias("places"))
-        batch = self._write(dealt.drop("part"))
+        """Index documents (doc, text); a doc that is there already is not replaced, it has the places of all its texts."""
+        doc = documents.schema["doc"].dataType
+        kinds = T.StructType([T.StructField("term", T.StringType()), T.StructField("docs", T.ArrayType(doc)), T.StructField("places", T.ArrayType(T.ArrayType(T.IntegerType())))])
+        blocks = documents.select("doc", terms(F.col("text")).alias("words")).mapInArrow(_blocks, kinds)
+        batch = self._write(blocks.withColumn("bucket", _bucket(F.col("term"), self.buckets)))
         self._list(batch)
         return batch
 
@@ -79,7 +108,7 @@ class Index:
         old = self.batches()
         if len(old) < 2:
             return old[0] if old else None
-        batch = self._write(self.postings().repartition("bucket", F.pmod(F.xxhash64("doc"), F.lit(PARTS))))
+        batch = self._write(self.blocks())
         self._list(batch, old)
         return batch
 
@@ -90,8 +119,14 @@ class Index:
             out = rows if out is None else out.unionByName(rows)
         return self.spark.createDataFrame([], schema) if out is None else out
 
-    def postings(self) -> DataFrame:
-        return self._read("postings", "term string, doc long, places array<int>, bucket int")
+    def blocks(self) -> DataFrame:
+        """term, docs, places (by doc) and bucket."""
+        return self._read("postings", "term string, docs array<long>, places array<array<int>>, bucket int")
+
+    def postings(self, blocks: DataFrame | None = None) -> DataFrame:
+        """term, doc and the term's places in it, of all blocks or of those given."""
+        each = (self.blocks() if blocks is None else blocks).select("term", F.explode(F.arrays_zip("docs", "places")).alias("p"))
+        return each.select("term", F.col("p.docs").alias("doc"), F.col("p.places").alias("places"))
 
     def document_counts(self) -> DataFrame:
         """term and n_docs over all batches."""
@@ -108,7 +143,9 @@ class Index:
         counts = self.document_counts().where(F.col("bucket").isin(buckets)).join(each.select("term").distinct(), "term", "left_semi")
         known = each.join(counts.select("term", "n_docs"), "term")
         whole = known.groupBy("query_id", "size").agg(F.min(F.struct("n_docs", "at", "term")).alias("rare"), F.collect_list(F.struct("at", "term")).alias("parts")).where(F.size("parts") == F.col("size"))
-        held = self.postings().where(F.col("bucket").isin(buckets)).groupBy("term", "doc").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places")) if len(self.batches()) > 1 else self.postings().where(F.col("bucket").isin(buckets)).select("term", "doc", "places")
+        asked_terms = whole.select(F.explode("parts.term").alias("term")).distinct()
+        blocks = self.blocks().where(F.col("bucket").isin(buckets)).join(asked_terms, "term", "left_semi")
+        held = self.postings(blocks).groupBy("term", "doc").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
         rare = whole.select("query_id", "size", F.col("rare.term").alias("term"), F.col("rare.at").alias("at"), F.filter("parts", lambda p: p["at"] != F.col("rare.at")).alias("rest"))
         first = held.join(rare, "term").select("query_id", "doc", "size", "rest", F.transform("places", lambda p: p - F.col("at")).alias("starts"))
         more = first.select("query_id", "doc", "size", F.explode("rest").alias("r")).select("query_id", "doc", "size", "r.at", "r.term")

@@ -65,6 +65,19 @@ def scan(rows, queries):
     return out
 
 
+def test_index_of_repeats_empties_and_long_texts(spark, tmp_path):
+    """A doc given twice has the places of both texts, also after compaction; texts without terms leave nothing."""
+    index = Index(spark, str(tmp_path / "i"), buckets=4, parts=3)
+    rows = [(1, "one two"), (1, "zero one two"), (2, None), (3, ""), (4, "... --"), (5, "one two " * 50_000), (6, "two one")]
+    index.append(spark.createDataFrame(rows, "doc long, text string").repartition(5))
+    index.append(spark.createDataFrame(rows[:2], "doc long, text string").where("doc < 0"))
+    for _ in range(2):
+        got = {r.doc: list(r.starts) for r in index.search(spark.createDataFrame([(1, "One two")], "query_id int, phrase string")).collect()}
+        assert got == {1: [0, 1], 5: list(range(0, 100_000, 2))}
+        assert {r.term: r.n_docs for r in index.document_counts().collect()} == {"zero": 1, "one": 4, "two": 4}
+        index.compact()
+
+
 def test_index_equals_a_scan(spark, tmp_path):
     r = random.Random(8)
     rows = [(i, " ".join(r.choice(["the", "the", "cat", "sat", "on", "mat", "Ünï", "x1"]) for _ in range(r.randrange(60)))) for i in range(80)] + [(90, None), (91, ""), (92, "the the the the")]
