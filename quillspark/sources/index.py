@@ -90,7 +90,7 @@ class Index:
         part = F.pmod(F.xxhash64(F.get("docs", F.lit(0))), F.lit(self.parts))
         dealt = blocks.repartition("bucket", part).sortWithinPartitions("bucket", "term")
         dealt.write.partitionBy("bucket").parquet(f"{self.path}/postings/{batch}")
-        held = self.spark.read.parquet(f"{self.path}/postings/{batch}")
+        held = self.spark.read.schema(blocks.schema).parquet(f"{self.path}/postings/{batch}")  # a batch without terms has no files
         held.groupBy("bucket", "term").agg(F.sum(F.size("docs")).alias("n_docs")).write.parquet(f"{self.path}/terms/{batch}")
         return batch
 
@@ -115,7 +115,7 @@ class Index:
     def _read(self, kind: str, schema: str) -> DataFrame:
         out = None
         for b in self.batches():
-            rows = self.spark.read.parquet(f"{self.path}/{kind}/{b}")
+            rows = self.spark.read.schema(schema).parquet(f"{self.path}/{kind}/{b}")
             out = rows if out is None else out.unionByName(rows)
         return self.spark.createDataFrame([], schema) if out is None else out
 
