@@ -6,8 +6,8 @@ Blocks lie in folders by bucket (a hash of the term), sorted by term, so that a
 and, in these, the row groups of them. Documents are appended batch by batch; a batch counts once it is listed, so one
 that failed half-way is never seen.
 
-A phrase is sought from its rarest term on: its postings, moved back by the term's place in the phrase, are the places
-where the phrase may begin, and each other term's postings of the same documents must hold the same places. Postings
+A phrase is sought from its rarest term on: the documents that have it are looked up in the postings of each term of
+the phrase, whose places, moved back by the term's place in the phrase, must have a value in common. Postings
 of frequent terms are joined by term and document, so a term that every document has makes no pairs.
 """
 
@@ -26,6 +26,8 @@ from quillspark.sources.store import exists
 BUCKETS = 64
 #: Parts over which a bucket's blocks are dealt at least; where the session has more shuffle partitions, there are more.
 PARTS = 4
+#: Places to look up (query, doc, term) that are broadcast; more are joined by a shuffle of the terms' postings.
+MOST_BROADCAST = 200_000
 TERM = r"[\p{L}\p{N}]+"
 
 
@@ -143,13 +145,15 @@ class Index:
         counts = self.document_counts().where(F.col("bucket").isin(buckets)).join(each.select("term").distinct(), "term", "left_semi")
         known = each.join(counts.select("term", "n_docs"), "term")
         whole = known.groupBy("query_id", "size").agg(F.min(F.struct("n_docs", "at", "term")).alias("rare"), F.collect_list(F.struct("at", "term")).alias("parts")).where(F.size("parts") == F.col("size"))
-        asked_terms = whole.select(F.explode("parts.term").alias("term")).distinct()
-        blocks = self.blocks().where(F.col("bucket").isin(buckets)).join(asked_terms, "term", "left_semi")
-        held = self.postings(blocks).groupBy("term", "doc").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
-        rare = whole.select("query_id", "size", F.col("rare.term").alias("term"), F.col("rare.at").alias("at"), F.filter("parts", lambda p: p["at"] != F.col("rare.at")).alias("rest"))
-        first = held.join(rare, "term").select("query_id", "doc", "size", "rest", F.transform("places", lambda p: p - F.col("at")).alias("starts"))
-        more = first.select("query_id", "doc", "size", F.explode("rest").alias("r")).select("query_id", "doc", "size", "r.at", "r.term")
-        more = more.join(held, ["term", "doc"]).select("query_id", "doc", "size", F.transform("places", lambda p: p - F.col("at")).alias("starts"))
-        both = first.drop("rest").unionByName(more).groupBy("query_id", "doc", "size").agg(F.collect_list("starts").alias("all")).where(F.size("all") == F.col("size"))
-        starts = F.aggregate(F.slice("all", 2, F.size("all")), F.get("all", F.lit(0)), lambda done, x: F.array_intersect(done, x))
+        rare = whole.select("query_id", "size", F.col("rare.term").alias("term"), "parts")
+        blocks = self.blocks().where(F.col("bucket").isin(buckets)).join(each.select("term").distinct(), "term", "left_semi")
+        maybe = blocks.select("term", F.explode("docs").alias("doc")).join(rare, "term").select("query_id", "doc", "size", F.explode("parts").alias("r"))
+        maybe = maybe.select("query_id", "doc", "size", "r.at", "r.term")
+        most = whole.agg(F.sum(F.col("rare.n_docs") * F.col("size"))).first()[0] or 0  # rows of maybe, from counts alone
+        held = self.postings(blocks).join(F.broadcast(maybe) if most <= MOST_BROADCAST else maybe, ["term", "doc"])
+        held = held.select("query_id", "doc", "size", "at", F.transform("places", lambda p: p - F.col("at")).alias("starts"))
+        # a doc given twice has several rows a term, so places are united by term before they are intersected
+        both = held.groupBy("query_id", "doc", "size").agg(F.collect_list(F.struct("at", "starts")).alias("all"))
+        of = lambda at: F.array_distinct(F.flatten(F.transform(F.filter("all", lambda x: x["at"] == at), lambda x: x["starts"])))
+        starts = F.aggregate(F.sequence(F.lit(1), F.col("size")), of(F.lit(0)), lambda done, x: F.array_intersect(done, F.when(x < F.col("size"), of(x)).otherwise(done)))
         return both.select("query_id", "doc", F.array_sort(starts).alias("starts")).where(F.size("starts") > 0)

@@ -65,8 +65,10 @@ def scan(rows, queries):
     return out
 
 
-def test_index_of_repeats_empties_and_long_texts(spark, tmp_path):
-    """A doc given twice has the places of both texts, also after compaction; texts without terms leave nothing."""
+@pytest.mark.parametrize("most", [0, 1000])
+def test_index_of_repeats_empties_and_long_texts(spark, tmp_path, monkeypatch, most):
+    """A doc given twice has the places of both texts, also after compaction and without a broadcast; texts without terms leave nothing."""
+    monkeypatch.setattr("quillspark.sources.index.MOST_BROADCAST", most)
     index = Index(spark, str(tmp_path / "i"), buckets=4, parts=3)
     rows = [(1, "one two"), (1, "zero one two"), (2, None), (3, ""), (4, "... --"), (5, "one two " * 50_000), (6, "two one")]
     index.append(spark.createDataFrame(rows, "doc long, text string").repartition(5))
