@@ -7,12 +7,11 @@ words, each at most a small share of all tokens by that choice, are joined with
 Model: words become subword ids of a given tokenizer file. One layer of causal self-attention reads the ids before
 an id, and a softmax of two levels gives its probability: of its class, and of its cell in the class, both predicted
 from the layer's output. Ids are dealt over classes and cells by their counts over all training documents; some
-4,000 have a cell of their own, the rarest share cells by their counts. Weights are learned in numpy from a fixed
-fraction of the windows of every training document, chosen by a hash of doc_id and the window's number, so what is
-learned from grows with the corpus. The windows are dealt over rounds by a hash: in a round each learner goes on from
-the weights so far, and the learners' weights are averaged, an id's by how often the learners read it. Learners are as
-many as the windows ask for, and windows are dealt to them and ordered by hashes of doc_id and content, so the weights
-don't depend on how the input is partitioned. Scoring cuts each text's ids into
+4,000 have a cell of their own, the rarest share cells by their counts. Weights are learned in numpy from all windows
+of all training documents. Windows that follow each other are written as one piece, which holds each id once. Pieces
+are dealt over rounds by a hash: in a round each learner goes on from the weights so far, and the learners' weights
+are averaged, an id's by how often the learners read it. Learners are as many as the windows ask for, and pieces are
+dealt to them and ordered by hashes of doc_id and content, so the weights don't depend on how the input is partitioned. Scoring cuts each text's ids into
 overlapping windows: the first half of a window is context only, so every id is scored once, with at least half a
 window before it wherever the text has that much. Windows of many texts form one masked batch.
 
@@ -47,10 +46,10 @@ SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s
 STRIDE = 16
 #: Size of the layer, classes, and cells of a class.
 WIDTH, CLASSES, CELLS = 16, 64, 64
-#: One window in so many is learned from; rounds of learning; groups of ids whose weights are averaged together.
-EVERY, ROUNDS, GROUPS = 8, 4, 512
-#: Windows of a learner in a round, at most and at least half of it wherever there are so many.
-EACH = 1 << 14
+#: One piece in so many is learned from (1: all); rounds of learning; groups of ids whose weights are averaged together.
+EVERY, ROUNDS, GROUPS = 1, 4, 512
+#: Windows of a learner in a round, at most and at least half of it wherever there are so many; windows of a piece.
+EACH, PIECE = 1 << 17, 16
 #: Words whose counts are broadcast; every other word is at most this fraction of the tokens.
 HEAD_WORDS = 1 << 16
 #: Distinct words that a worker remembers the ids of.
@@ -186,21 +185,46 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
-def forward(w: dict[str, np.ndarray], ids: np.ndarray, valid: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
-    """Log probabilities of the classes, and of the cells in the given classes, after each of the last STRIDE inputs of each window."""
-    x = w["e"][ids] + w["p"]
+def _large(x: np.ndarray) -> bool:
+    return max(x.max(initial=0), -x.min(initial=0)) > 60
+
+
+def _dot(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """x @ w as one product, whatever the leading axes of x."""
+    return (x.reshape(-1, x.shape[-1]) @ w).reshape(*x.shape[:-1], w.shape[1])
+
+
+def _attended(w: dict[str, np.ndarray], ids: np.ndarray, valid: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """Logits of the classes, and of the cells in the given classes, after each of the last STRIDE inputs of each window; and what they came from."""
+    x = np.take(w["e"], ids, axis=0)
+    x += w["p"]
     now = np.ascontiguousarray(x[:, STRIDE:])
-    q, k, v = now @ w["q"], x @ w["k"], x @ w["v"]
-    s = (q @ k.transpose(0, 2, 1)) * np.asarray(WIDTH**-0.5, x.dtype) + _CAUSAL.astype(x.dtype)
-    s += np.where(valid, 0, -1e9).astype(x.dtype)[:, None, :]
-    s -= s.max(2, keepdims=True)
+    q, k, v = _dot(now, w["q"]), _dot(x, w["k"]), _dot(x, w["v"])
+    s = q @ k.transpose(0, 2, 1)
+    s *= np.asarray(WIDTH**-0.5, x.dtype)
+    part = np.flatnonzero(~valid.all(1))
+    if _large(s):  # else no exponential overflows
+        s += _CAUSAL.astype(x.dtype)
+        s[part] += np.where(valid[part], 0, -1e9).astype(x.dtype)[:, None, :]
+        s -= s.max(2, keepdims=True)
     np.exp(s, out=s)
-    s /= s.sum(2, keepdims=True)
+    s *= _SEEN
+    s[part] *= valid[part][:, None, :]
+    s /= np.maximum(s @ np.ones((2 * STRIDE, 1), x.dtype), 1e-30)  # a row that sees nothing has no target
     h = s @ v
-    y = (now + h @ w["o"]).reshape(-1, WIDTH)
-    gate = w["g"][cls.reshape(-1)]
-    inside = (y * gate) @ w["t"] + w["c"][cls.reshape(-1)]
-    return _log_softmax(y @ w["u"] + w["b"]), _log_softmax(inside), {"x": x, "now": now, "q": q, "k": k, "v": v, "a": s, "h": h, "y": y, "gate": gate}
+    y = (now + _dot(h, w["o"])).reshape(-1, WIDTH)
+    gate = np.take(w["g"], cls.reshape(-1), axis=0)
+    one = y @ w["u"]
+    one += w["b"]
+    inside = (y * gate) @ w["t"]
+    inside += np.take(w["c"], cls.reshape(-1), axis=0)
+    return one, inside, {"x": x, "now": now, "q": q, "k": k, "v": v, "a": s, "h": h, "y": y, "gate": gate}
+
+
+def forward(w: dict[str, np.ndarray], ids: np.ndarray, valid: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+    """Log probabilities of the classes, and of the cells in the given classes, after each of the last STRIDE inputs of each window."""
+    one, inside, c = _attended(w, ids, valid, cls)
+    return _log_softmax(one), _log_softmax(inside), c
 
 
 class Scorer:
@@ -220,7 +244,7 @@ class Scorer:
         for x, at in zip((k, v, q), self.at, strict=True):
             x += at
         s = q @ k.transpose(0, 2, 1)
-        if max(s.max(initial=0), -s.min(initial=0)) > 60:  # else no exponential overflows
+        if _large(s):
             s += _CAUSAL
             s += np.where(valid, 0, -1e9).astype(np.float32)[:, None, :]
             s -= s.max(2, keepdims=True)
@@ -246,7 +270,7 @@ class Scorer:
 
 def _chosen(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The log softmax of each row at one place; x is overwritten."""
-    if max(x.max(initial=0), -x.min(initial=0)) > 60:
+    if _large(x):
         x -= x.max(1, keepdims=True)
     out = x.reshape(-1).take(np.arange(0, x.size, x.shape[1]) + at)
     np.exp(x, out=x)
@@ -255,31 +279,40 @@ def _chosen(x: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def gradients(w: dict[str, np.ndarray], ids: np.ndarray, valid: np.ndarray, cls: np.ndarray, cell: np.ndarray, scored: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss over the scored inputs and its gradients; e's come for each input."""
-    one, two, c = forward(w, ids, valid, cls)
+    d, dd, c = _attended(w, ids, valid, cls)
     cls, cell, on = cls.reshape(-1), cell.reshape(-1), scored.reshape(-1)
     n, row = max(1, on.sum()), np.arange(len(on))
-    loss = float(-((one[row, cls] + two[row, cell]) * on).sum() / n)
-    d, dd = np.exp(one), np.exp(two)
-    d[row, cls] -= 1
-    dd[row, cell] -= 1
-    share = (on / n)[:, None].astype(d.dtype)
-    d *= share
-    dd *= share
+    share = (on / n).astype(d.dtype)
+    loss = 0.0
+    for logits, at in ((d, cls), (dd, cell)):  # in place: shares less what was there
+        if _large(logits):
+            logits -= logits.max(1, keepdims=True)
+        goal = logits[row, at]
+        np.exp(logits, out=logits)
+        total = logits @ np.ones(logits.shape[1], d.dtype)
+        loss += float(((np.log(total) - goal) * on).sum() / n)
+        logits *= (share / total)[:, None]
+        logits[row, at] -= share
     dot = lambda a, b: a.reshape(-1, a.shape[-1]).T @ b.reshape(-1, b.shape[-1])
-    mine = np.zeros((len(row), CLASSES), d.dtype)
-    mine[row, cls] = 1
     back = dd @ w["t"].T
-    g = {"u": dot(c["y"], d), "b": d.sum(0), "t": dot(c["y"] * c["gate"], dd), "c": dot(mine, dd), "g": dot(mine, back * c["y"])}
+    by = np.argsort(cls.astype(np.uint8 if CLASSES <= 256 else np.int64), kind="stable")
+    first = np.flatnonzero(np.diff(cls[by], prepend=-1))
+    g = {"u": dot(c["y"], d), "b": np.ones(len(row), d.dtype) @ d, "t": dot(c["y"] * c["gate"], dd), "c": np.zeros((CLASSES, CELLS), d.dtype), "g": np.zeros((CLASSES, WIDTH), d.dtype)}
+    for name, each in (("c", dd), ("g", back * c["y"])):
+        g[name][cls[by[first]]] = np.add.reduceat(np.take(each, by, axis=0), first, axis=0)
     dy = (d @ w["u"].T + back * c["gate"]).reshape(c["h"].shape)
-    dh = dy @ w["o"].T
+    dh = _dot(dy, w["o"].T)
     g["o"] = dot(c["h"], dy)
-    da = dh @ c["v"].transpose(0, 2, 1)
+    ds = dh @ c["v"].transpose(0, 2, 1)
     dv = c["a"].transpose(0, 2, 1) @ dh
-    ds = c["a"] * (da - (da * c["a"]).sum(2, keepdims=True)) * np.asarray(WIDTH**-0.5, d.dtype)
+    ds -= np.einsum("ijk,ijk->ij", dh, c["h"])[:, :, None]  # the mean of each row by its attention
+    ds *= c["a"]
+    ds *= np.asarray(WIDTH**-0.5, d.dtype)
     dq, dk = ds @ c["k"], ds.transpose(0, 2, 1) @ c["q"]
     g |= {"q": dot(c["now"], dq), "k": dot(c["x"], dk), "v": dot(c["x"], dv)}
-    dx = dk @ w["k"].T + dv @ w["v"].T
-    dx[:, STRIDE:] += dy + dq @ w["q"].T
+    dx = _dot(dk, w["k"].T)
+    dx += _dot(dv, w["v"].T)
+    dx[:, STRIDE:] += dy + _dot(dq, w["q"].T)
     return loss, g | {"p": dx.sum(0), "e": dx}
 
 
@@ -294,11 +327,15 @@ def learn(w: dict[str, np.ndarray], seen: dict[str, np.ndarray], cls: np.ndarray
         ids = np.where(valid, ids, size)
         loss, g = gradients(w, ids, valid, np.where(scored, cls[target], 0), np.where(scored, cell[target], 0), scored)
         total += loss * len(rows)
-        flat, where = np.unique(ids.reshape(-1), return_inverse=True)
-        order_ = np.argsort(where.reshape(-1), kind="stable")
-        own = np.add.reduceat(g.pop("e").reshape(-1, WIDTH)[order_], np.searchsorted(where.reshape(-1)[order_], np.arange(len(flat))), axis=0)
-        seen["e"][flat] += own**2
-        w["e"][flat] -= rate * own / np.sqrt(seen["e"][flat])
+        flat = ids.reshape(-1).astype(np.uint16 if size < 1 << 16 else np.int64)  # sorted by digits where they are short
+        by = np.argsort(flat, kind="stable")
+        flat = flat[by]
+        first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+        flat = flat[first].astype(np.int64)
+        own = np.add.reduceat(np.take(g.pop("e").reshape(-1, WIDTH), by, axis=0), first, axis=0)
+        held = seen["e"][flat] + own**2
+        seen["e"][flat] = held
+        w["e"][flat] -= rate * own / np.sqrt(held)
         for name, x in g.items():
             seen[name] += x**2
             w[name] -= rate * x / np.sqrt(seen[name])
@@ -367,7 +404,7 @@ _GATHERED = "kind int, round int, key long, n long, windows binary"
 
 
 def _gathering(ranks, every: int, rounds: int):
-    """Counts of words (kind 0) and of subword ids (kind 1) of a partition, and its training windows (kind 2)."""
+    """Counts of words (kind 0) and of subword ids (kind 1) of a partition, and its pieces to learn from (kind 2; n: windows)."""
 
     def step(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer_of(ranks.value)
@@ -382,11 +419,11 @@ def _gathering(ranks, every: int, rounds: int):
             return rows(0, keys, np.bincount(where, np.concatenate([n for _, n in parts])))
 
         def packed() -> pa.RecordBatch:
-            windows, seeds = (np.concatenate(x) for x in zip(*chosen, strict=True))
-            own = (tokens.mix(seeds) % _U(rounds)).astype(np.int32)
-            n, width = len(windows), windows.itemsize * windows.shape[1]
-            data = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * width), pa.py_buffer(windows.tobytes())])
-            return pa.RecordBatch.from_arrays([pa.array(np.full(n, 2, np.int32)), pa.array(own), pa.array(tokens.signed(seeds)), pa.nulls(n, pa.int64()), data], names)
+            flat, length, seeds = (np.concatenate(x) for x in zip(*chosen, strict=True))
+            own, n = (tokens.mix(seeds) % _U(rounds)).astype(np.int32), len(length)
+            off = np.concatenate(([0], np.cumsum(length * flat.itemsize))).astype(np.int32)
+            data = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(off), pa.py_buffer(flat.tobytes())])
+            return pa.RecordBatch.from_arrays([pa.array(np.full(n, 2, np.int32)), pa.array(own), pa.array(tokens.signed(seeds)), pa.array(-(-(length - STRIDE - 1) // STRIDE)), data], names)
 
         names = ["kind", "round", "key", "n", "windows"]
         for batch in it:
@@ -396,13 +433,12 @@ def _gathering(ranks, every: int, rounds: int):
                 ids += np.bincount(flat, minlength=t.size)
                 parts.append((np.append(folded, END_KEY), np.append(np.bincount(which, minlength=len(folded)), b.n)))
                 gathered += len(folded)
-                windows, seed = training_windows(t.size, flat, at, seeds[i : i + b.n], every)
-                chosen.append((windows, seed))
-                n_chosen += len(windows)
+                chosen.append(pieces(t.size, flat, at, seeds[i : i + b.n], every))
+                n_chosen += len(chosen[-1][0])
                 if gathered > 1_500_000:
                     yield merged()
                     parts, gathered = [], 0
-                if n_chosen > 100_000:
+                if n_chosen > 4_000_000:
                     yield packed()
                     chosen, n_chosen = [], 0
         if parts:
@@ -415,14 +451,50 @@ def _gathering(ranks, every: int, rounds: int):
     return step
 
 
+def _kind(size: int) -> type:
+    return np.uint16 if size + 2 <= 1 << 16 else np.int32
+
+
+def pieces(size: int, ids: np.ndarray, at: np.ndarray, seeds: np.ndarray, every: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts, or one piece in `every`, in pieces of PIECE windows: the pieces' ids flat, their lengths, and a hash of
+    each by the text's seed and what it holds, so that pieces of one hash are alike.
+
+    A piece has the STRIDE + 1 ids before its first target (before a text: size + 1, and last `size`), then its targets.
+    """
+    length, step = np.diff(at), STRIDE * PIECE
+    number = -(-length // step)
+    text = np.repeat(np.arange(len(length)), number)
+    k = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+    if every > 1:
+        picked = tokens.mix(seeds[text] + tokens.mix(k.astype(_U))) % _U(every) == 0
+        text, k = text[picked], k[picked]
+    n = np.minimum(step, length[text] - k * step) + STRIDE + 1
+    first = np.cumsum(n) - n
+    inside = np.arange(n.sum()) - np.repeat(first, n)
+    place = np.repeat(k * step - STRIDE - 1, n) + inside
+    flat = np.where(place >= 0, ids[np.maximum(np.repeat(at[text], n) + place, 0)], np.where(place == -1, size, size + 1))
+    content = tokens.mix(flat.astype(_U) * tokens.mix(inside.astype(_U) + _U(1)))
+    total = np.add.reduceat(content, first) if len(first) else np.zeros(0, _U)
+    return flat.astype(_kind(size)), n, tokens.mix(tokens.mix(seeds[text] ^ _U(0xA5A5A5A5)) + total)
+
+
+def unpacked(size: int, flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The windows of pieces, in order: rows of 2 * STRIDE inputs and STRIDE targets; -1 is no input or no target."""
+    number = -(-(lengths - STRIDE - 1) // STRIDE)
+    piece = np.repeat(np.arange(len(lengths)), number)
+    k = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+    inside = (k * STRIDE)[:, None] + np.arange(3 * STRIDE)[None, :]
+    inside[:, 2 * STRIDE :] -= STRIDE - 1
+    end = lengths[piece][:, None] - (np.arange(3 * STRIDE) < 2 * STRIDE)  # a piece's last id is a target only
+    out = flat[np.minimum((np.cumsum(lengths) - lengths)[piece][:, None] + inside, max(0, len(flat) - 1))].astype(np.int32)
+    out[(inside >= end) | (out > size)] = -1
+    return out
+
+
 def training_windows(size: int, ids: np.ndarray, at: np.ndarray, seeds: np.ndarray, every: int) -> tuple[np.ndarray, np.ndarray]:
-    """One window in `every` of each text, by a hash of the text's seed and the window's number; and a hash of each by
-    the seed and what it holds, so that windows of one hash are alike."""
-    inputs, valid, target, text = windowed(ids, at, size, lambda text, k: tokens.mix(seeds[text] + tokens.mix(k.astype(_U))) % _U(every) == 0)
-    windows = np.concatenate((np.where(valid, inputs, -1), np.where(target >= 0, ids[np.maximum(target, 0)], -1)), axis=1).astype(np.int32)
-    places = tokens.mix(np.arange(1, windows.shape[1] + 1, dtype=_U))
-    content = tokens.mix(windows.astype(np.int64).view(_U) * places[None, :]).sum(1, dtype=_U)
-    return windows, tokens.mix(tokens.mix(seeds[text] ^ _U(0xA5A5A5A5)) + content)
+    """The windows of the pieces, and the hash of each one's piece."""
+    flat, lengths, keys = pieces(size, ids, at, seeds, every)
+    return unpacked(size, flat, lengths), np.repeat(keys, -(-(lengths - STRIDE - 1) // STRIDE))
 
 
 _DENSE = ("p", "q", "k", "v", "o", "u", "b", "g", "t", "c")
@@ -433,7 +505,7 @@ def _flat(w: dict[str, np.ndarray], seen: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([x[name].reshape(-1) for x in (w, seen) for name in _DENSE])
 
 
-def _learning(start):
+def _learning(start, piece: int | None):
     """What each learner's windows change: of ids (part = id modulo GROUPS) and of all other weights (part GROUPS)."""
 
     def changes(learner: int, windows: np.ndarray) -> pa.RecordBatch:
@@ -461,7 +533,12 @@ def _learning(start):
                     yield changes(own, np.concatenate(held))
                     held = []
                 own = int(learners[a])
-                held.append(np.frombuffer(b"".join(data.slice(a, z - a).to_pylist()), np.int32).reshape(-1, 3 * STRIDE))
+                rows = data.slice(a, z - a).to_pylist()
+                if piece is None:
+                    held.append(np.frombuffer(b"".join(rows), np.int32).reshape(-1, 3 * STRIDE))
+                else:
+                    flat = np.frombuffer(b"".join(rows), _kind(piece))
+                    held.append(unpacked(piece, flat, np.array([len(r) for r in rows]) // flat.itemsize))
         if held:
             yield changes(own, np.concatenate(held))
 
@@ -503,7 +580,8 @@ def _averaging(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def trained(windows: DataFrame, id_counts: np.ndarray, rounds: int = ROUNDS, each: int = EACH) -> tuple[Model, list[tuple[int, float]]]:
-    """The model after one pass over the training windows (round, key, windows), and each round's number of windows and mean loss.
+    """The model after one pass over the training windows (round, key, windows), and each round's number of windows and
+    mean loss. Where there is a column n, each row is a piece of so many windows.
 
     The learners' number follows the windows' number alone, and windows are dealt to them and ordered by their hashes,
     so neither the input's partitions nor the order of arrival changes the weights.
@@ -512,12 +590,14 @@ def trained(windows: DataFrame, id_counts: np.ndarray, rounds: int = ROUNDS, eac
     w = initial(cls, cell, id_counts)
     seen = {name: np.full_like(x, 1e-6) for name, x in w.items()}
     done = []
-    learners = 1 << max(0, int(np.ceil(np.log2(max(1, windows.count()) / rounds / each))))
+    packed = "n" in windows.columns
+    number = windows.agg(F.sum("n")).first()[0] if packed else windows.count()
+    learners = 1 << max(0, int(np.ceil(np.log2(max(1, number or 0) / rounds / each))))
     for k in range(rounds):
         start = windows.sparkSession.sparkContext.broadcast((cls, cell, w, seen))
         dealt = windows.where(F.col("round") == k).select(F.pmod(F.xxhash64("key"), F.lit(learners)).cast("int").alias("learner"), "key", "windows")
         dealt = dealt.repartitionById(learners, F.col("learner")).sortWithinPartitions("learner", "key").select("learner", "windows")
-        changes = dealt.mapInArrow(_learning(start), _CHANGES)
+        changes = dealt.mapInArrow(_learning(start, len(cls) if packed else None), _CHANGES)
         rows = changes.repartition("part").sortWithinPartitions("part", "learner").mapInArrow(_averaging, _CHANGES).collect()  # no more than the model's weights
         w, seen = ({name: x.copy() for name, x in held.items()} for held in (w, seen))
         for r in rows:

@@ -334,6 +334,29 @@ def test_learners_are_dealt_and_averaged_alike_however_windows_arrive(spark):
     assert all((one.weights[n] == two.weights[n]).all() for n in one.weights) and sum(n for n, _ in done) == 600
 
 
+def test_all_windows_of_all_training_texts_are_learned_from(spark, sf_dir, monkeypatch):
+    import numpy as np
+
+    from quillspark.llm import lm
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").limit(60)
+    done, trained = [], lm.trained
+    monkeypatch.setattr(lm, "trained", lambda *a, **b: done.append(trained(*a, **b)) or done[-1])
+    lm.scored(docs)
+    with open(lm.TOKENIZER, "rb") as f:
+        t = lm.tokenizer_of(f.read())
+    texts = [r.text or "" for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 5 != 1]
+    ids = [sum(len(t.encode(w.encode())) for w in re.findall(r"[^\x20\x09-\x0D]+", x)) + 1 for x in texts]
+    assert sum(n for n, _ in done[0][1]) == sum(-(-n // lm.STRIDE) for n in ids)
+    # a piece holds what its windows say
+    rng = np.random.default_rng(5)
+    at = np.concatenate(([0], np.cumsum(rng.integers(1, 900, 40))))
+    ids = rng.integers(0, 70, at[-1])
+    inputs, valid, target, _ = lm.windowed(ids, at, 70)
+    want = np.concatenate((np.where(valid, inputs, -1), np.where(target >= 0, ids[np.maximum(target, 0)], -1)), axis=1)
+    assert (lm.training_windows(70, ids, at, np.arange(40, dtype=np.uint64), 1)[0] == want).all()
+
+
 # ---------------------------------------------------------------- personal data that the base patterns miss
 
 
