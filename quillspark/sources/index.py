@@ -28,6 +28,8 @@ BUCKETS = 64
 PARTS = 4
 #: Places to look up (query, doc, term) that are broadcast; more are joined by a shuffle of the terms' postings.
 MOST_BROADCAST = 200_000
+#: Words that are turned into blocks at once, however many documents a batch has; a longer document is alone.
+WORDS = 1 << 19
 TERM = r"[\p{L}\p{N}]+"
 
 
@@ -40,24 +42,35 @@ def _bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def _slices(batch: pa.RecordBatch):
+    """The batch in parts of WORDS words at most, and of one document at least."""
+    ends = batch.column("words").offsets.to_numpy().astype(np.int64)
+    a = 0
+    while a < batch.num_rows:
+        z = max(a + 1, int(np.searchsorted(ends, ends[a] + WORDS, side="right")) - 1)
+        yield batch.slice(a, z - a)
+        a = z
+
+
 def _blocks(batches):
-    """A block for each term of an Arrow batch of documents (doc, words): the docs that have it, and its places in each."""
-    for batch in batches:
-        words = batch.column("words")
-        held = words.flatten().dictionary_encode()
-        sizes = np.diff(words.offsets.to_numpy())
-        if not len(held):
-            continue
-        codes, row = held.indices.to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
-        at = np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        order = np.argsort(codes, kind="stable")  # rows and places stay ascending inside a term
-        codes, row, at = codes[order], row[order], at[order].astype(np.int32)
-        term = np.flatnonzero(np.diff(codes, prepend=-1))
-        posting = np.flatnonzero((np.diff(codes, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))
-        ends = np.append(np.searchsorted(posting, term), len(posting)).astype(np.int32)
-        places = pa.ListArray.from_arrays(np.append(posting, len(at)).astype(np.int32), pa.array(at))
-        docs = pa.ListArray.from_arrays(ends, batch.column("doc").take(pa.array(row[posting])))
-        yield pa.RecordBatch.from_arrays([held.dictionary.take(pa.array(codes[term])), docs, pa.ListArray.from_arrays(ends, places)], ["term", "docs", "places"])
+    """Blocks of some documents (doc, words) of an Arrow batch at a time: for each term the docs that have it, and its places in each."""
+    for whole in batches:
+        for batch in _slices(whole):
+            words = batch.column("words")
+            held = words.flatten().dictionary_encode()
+            sizes = np.diff(words.offsets.to_numpy())
+            if not len(held):
+                continue
+            codes, row = held.indices.to_numpy(), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+            at = (np.arange(len(codes)) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)
+            order = np.argsort(codes, kind="stable")  # rows and places stay ascending inside a term
+            codes, row, at = codes[order], row[order], at[order]
+            term = np.flatnonzero(np.diff(codes, prepend=-1))
+            posting = np.flatnonzero((np.diff(codes, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0))
+            ends = np.append(np.searchsorted(posting, term), len(posting)).astype(np.int32)
+            places = pa.ListArray.from_arrays(np.append(posting, len(at)).astype(np.int32), pa.array(at))
+            docs = pa.ListArray.from_arrays(ends, batch.column("doc").take(pa.array(row[posting])))
+            yield pa.RecordBatch.from_arrays([held.dictionary.take(pa.array(codes[term])), docs, pa.ListArray.from_arrays(ends, places)], ["term", "docs", "places"])
 
 
 class Index:

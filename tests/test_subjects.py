@@ -3,10 +3,12 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quillspark.operators import names, stages
+from quillspark.sources import index
 from quillspark.sources.index import Index
 
 
@@ -52,6 +54,22 @@ def test_no_names_no_hits(spark):
     assert names.mentioned(rows.where("false"), [F.col("text")], spark.createDataFrame([(1, "a")], "subject long, name string"), ["id"]).count() == 0
 
 
+def test_blocks_are_made_from_a_bounded_number_of_words(monkeypatch):
+    r = random.Random(6)
+    docs = [[r.choice("abcdefgh") for _ in range(r.choice([0, 1, 7, 120, 400]))] for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(60), pa.int64()), pa.array(docs, pa.list_(pa.string()))], ["doc", "words"])
+    monkeypatch.setattr(index, "WORDS", 300)
+    held = {}
+    for b in index._blocks([batch, batch.slice(50)]):
+        said = sum(len(p) for row in b.column("places").to_pylist() for p in row)
+        assert said <= 300 or len({d for row in b.column("docs").to_pylist() for d in row}) == 1
+        for term, ds, places in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for d, p in zip(ds, places, strict=True):
+                held.setdefault((term, d), []).append(p)
+    want = {(t, d): [[i for i, x in enumerate(w) if x == t]] * (2 if d >= 50 else 1) for d, w in enumerate(docs) for t in set(w)}
+    assert held == want
+
+
 def scan(rows, queries):
     words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
     out = {}
