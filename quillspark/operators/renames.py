@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from quillspark.functions import text as X
 from quillspark.sources.store import staged
 
-#: Parts over which links to one note are dealt when they look up its new name.
-PARTS = 16
+#: Links to one note that look up its new name in one part; a note with more has several.
+LINKS = 1 << 14
 _TARGET = r"\A[^\]|#]+"
 
 
@@ -59,6 +59,16 @@ def resolved(renames: DataFrame) -> DataFrame:
     return out.select("old", F.when(F.col("again").isNull(), F.col("new")).alias("new"), F.when(F.col("again").isNull(), "ok").otherwise("cycle").alias("state"))
 
 
+def _dealt(said: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """said (stem, old) and links (old, new) with part. Only names that very many notes say have more than one part, so
+    links are repeated for few names."""
+    often = said.groupBy("old").agg(F.floor(F.count(F.lit(1)) / LINKS).cast("int").alias("last")).where("last > 0")
+    hot = F.broadcast(staged(often, "often"))  # a row for LINKS links at most
+    part = F.pmod(F.xxhash64("stem"), F.coalesce(F.col("last"), F.lit(0)) + 1).cast("int")
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce("last", F.lit(0))))
+    return said.join(hot, "old", "left").select("stem", "old", part.alias("part")), links.join(hot, "old", "left").select("old", "new", parts.alias("part"))
+
+
 @dataclass
 class Renamed:
     """notes: stem, old_stem, text and changed of all notes that stay. report: what (cycle, taken, dangling), stem and target."""
@@ -83,9 +93,9 @@ def applied(notes: DataFrame, renames: DataFrame, deletes: DataFrame) -> Renamed
     judged = staged(moving.join(staying, "new", "left").join(heirs, "new").select("stem", "new", (F.col("held").isNotNull() | (F.col("stem") != F.col("heir"))).alias("taken")), "moves")
     taken = judged.where("taken").select(F.col("stem").alias("old"))
     links = good.join(taken, "old", "left_anti").join(gone.withColumnRenamed("stem", "old"), "old", "left_anti")
-    said = notes.select("stem", F.explode(F.array_distinct(link_targets(F.col("text")))).alias("old"))
-    dealt = links.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    met = said.withColumn("part", F.pmod(F.xxhash64("stem"), F.lit(PARTS)).cast("int")).join(dealt, ["old", "part"])
+    said = staged(notes.select("stem", F.explode(F.array_distinct(link_targets(F.col("text")))).alias("old")), "links")
+    asking, named_by = _dealt(said, links)
+    met = asking.join(named_by.hint("merge"), ["old", "part"])  # all new names would grow in every task if they were broadcast
     maps = met.groupBy("stem").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("old", "new")))).alias("map"))
     rows = notes.join(gone, "stem", "left_anti").join(maps, "stem", "left").join(judged.where("not taken").select("stem", "new"), "stem", "left")
     text = F.when(F.col("map").isNull(), F.col("text")).otherwise(retargeted(F.col("text"), F.col("map")))

@@ -45,6 +45,18 @@ def test_links_follow_names_and_all_else_stays(spark):
     assert sorted((r.what, r.stem, r.target) for r in out.report.collect()) == [("cycle", "x", None), ("cycle", "y", None), ("dangling", "b", "gone"), ("taken", "a", "taken"), ("taken", "w2", "w")]
 
 
+def test_only_names_that_many_notes_say_are_dealt_over_parts(spark, monkeypatch):
+    monkeypatch.setattr(renames, "LINKS", 5, raising=False)
+    notes = [(f"n{i}", f"[[hub]] [[n{i // 2}|x]]") for i in range(40)] + [("hub", "")]
+    moves = [("hub", "centre"), *[(f"n{i}", f"m{i}") for i in range(40)]]
+    held, moved = table(spark, notes, "stem string, text string"), table(spark, moves, "old string, new string")
+    asking, named = renames._dealt(held.select("stem", F.explode(F.array_distinct(renames.link_targets(F.col("text")))).alias("old")), moved)
+    assert named.count() == 40 + 9 and named.where("old = 'hub'").count() == 9  # 40 links to the hub, two at most to the others
+    assert asking.where("old = 'hub'").select("part").distinct().count() > 1 and asking.join(named, ["old", "part"]).count() == 80
+    out = renames.applied(held, moved, table(spark, [], "stem string"))
+    assert {r.stem: r.text for r in out.notes.collect()} == {"centre": ""} | {f"m{i}": f"[[centre]] [[m{i // 2}|x]]" for i in range(40)}
+
+
 def test_no_renames_no_changes(spark):
     out = renames.applied(table(spark, [("a", "[[b]]")], "stem string, text string"), table(spark, [], "old string, new string"), table(spark, [], "stem string"))
     assert [(r.stem, r.text, r.changed) for r in out.notes.collect()] == [("a", "[[b]]", False)] and out.report.count() == 0
