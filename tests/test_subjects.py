@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quillspark.functions import text as X
 from quillspark.operators import names, stages
 from quillspark.sources import index
 from quillspark.sources.index import Index
@@ -179,6 +180,25 @@ def test_a_subject_without_hits_keeps_nothing(spark):
     assert rows_of(run(spark, [], NAMES)) == [] and rows_of(run(spark, RECORDS, [])) == []
 
 
+def test_folding_equals_the_plain_pattern(spark):
+    blanks = [chr(k) for k in range(0x3100) if chr(k).isspace() or k in (0x180E, 0x200B, 0x200E, 0x2010, 0x2060, 0x3001)]
+    rows = [(f"{b}A{b}{b} B{c}Ü{b}",) for b in blanks for c in ("", " ", "\n", "\u3000")] + [("",), (None,), ("  ",), ("Ab  c",)]
+    got = spark.createDataFrame(rows, "t string").select(names.folded(F.col("t")).alias("a"), F.lower(X.collapse(F.col("t"))).alias("b")).collect()
+    assert len(got) == len(rows) and all(x.a == x.b for x in got)
+
+
+def test_texts_are_asked_about_reached_keys_only(spark, tmp_path):
+    path = str(tmp_path / "run")
+    names = [(f"s{k}", f"name{k:02d} x") for k in range(20)]
+    every = " ".join(n for _, n in names)  # each text says all names, each title its own
+    records = [(f"r{k}", k, names[k][1], None, every, k, True) for k in range(20)]
+    records += [("silent", 20, "none", None, None, 1, True), ("other", 21, "none", None, "name00  X", 1, False)]
+    found = stages.discover(spark.createDataFrame([(s, False) for s, _ in names], "subject string, is_topic boolean"), spark.createDataFrame(names, "subject string, name string"), spark.createDataFrame(records, RECORD), spark.createDataFrame([("r0", "r7"), ("r0", "silent"), ("r0", "other"), ("r9", "r0")], "src string, dst string"), spark.createDataFrame([], "subject string, bibcode string"), spark.createDataFrame([], "subject string, bibcode string, decision string"), path=path)
+    chained = [x for x in rows_of(found) if x[1] == 3]
+    assert chained == [("s0", 3, "chain:citations", "r9", True, "pending"), ("s0", 3, "chain:references", "r7", True, "pending"), ("s7", 3, "chain:citations", "r0", True, "pending"), ("s9", 3, "chain:references", "r0", True, "pending")]
+    assert spark.read.parquet(f"{path}/said").count() == 20  # not the 400 pairs of names and texts
+
+
 def test_a_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "run")
     whole = rows_of(run(spark, RECORDS, NAMES, [("a", "c")], path=path))
