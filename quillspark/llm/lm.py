@@ -176,6 +176,8 @@ def initial(cls: np.ndarray, cell: np.ndarray, counts: np.ndarray, seed: int = 0
     return w | {"g": np.ones((CLASSES, WIDTH), np.float32), "t": draw(WIDTH, CELLS), "c": np.log(mass / mass.sum(1, keepdims=True)).astype(np.float32)}
 
 
+#: All weights but those of ids.
+_DENSE = ("p", "q", "k", "v", "o", "u", "b", "g", "t", "c")
 _CAUSAL = np.where(np.arange(2 * STRIDE)[None, :] <= STRIDE + np.arange(STRIDE)[:, None], 0, -1e9).astype(np.float32)
 _SEEN = (_CAUSAL == 0).astype(np.float32)
 
@@ -199,9 +201,11 @@ def _attended(w: dict[str, np.ndarray], ids: np.ndarray, valid: np.ndarray, cls:
     x = np.take(w["e"], ids, axis=0)
     x += w["p"]
     now = np.ascontiguousarray(x[:, STRIDE:])
-    q, k, v = _dot(now, w["q"]), _dot(x, w["k"]), _dot(x, w["v"])
+    q = _dot(now, w["q"])
+    q *= np.asarray(WIDTH**-0.5, x.dtype)
+    kv = _dot(x, np.concatenate((w["k"], w["v"]), axis=1))  # x is read once for both
+    k, v = kv[..., :WIDTH], kv[..., WIDTH:]
     s = q @ k.transpose(0, 2, 1)
-    s *= np.asarray(WIDTH**-0.5, x.dtype)
     part = np.flatnonzero(~valid.all(1))
     if _large(s):  # else no exponential overflows
         s += _CAUSAL.astype(x.dtype)
@@ -216,9 +220,10 @@ def _attended(w: dict[str, np.ndarray], ids: np.ndarray, valid: np.ndarray, cls:
     gate = np.take(w["g"], cls.reshape(-1), axis=0)
     one = y @ w["u"]
     one += w["b"]
-    inside = (y * gate) @ w["t"]
+    gated = y * gate
+    inside = gated @ w["t"]
     inside += np.take(w["c"], cls.reshape(-1), axis=0)
-    return one, inside, {"x": x, "now": now, "q": q, "k": k, "v": v, "a": s, "h": h, "y": y, "gate": gate}
+    return one, inside, {"x": x, "now": now, "q": q, "k": k, "v": v, "a": s, "h": h, "y": y, "gate": gate, "gated": gated}
 
 
 def forward(w: dict[str, np.ndarray], ids: np.ndarray, valid: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
@@ -296,49 +301,68 @@ def gradients(w: dict[str, np.ndarray], ids: np.ndarray, valid: np.ndarray, cls:
     dot = lambda a, b: a.reshape(-1, a.shape[-1]).T @ b.reshape(-1, b.shape[-1])
     back = dd @ w["t"].T
     by = np.argsort(cls.astype(np.uint8 if CLASSES <= 256 else np.int64), kind="stable")
-    first = np.flatnonzero(np.diff(cls[by], prepend=-1))
-    g = {"u": dot(c["y"], d), "b": np.ones(len(row), d.dtype) @ d, "t": dot(c["y"] * c["gate"], dd), "c": np.zeros((CLASSES, CELLS), d.dtype), "g": np.zeros((CLASSES, WIDTH), d.dtype)}
+    ordered = cls[by]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    g = {"u": dot(c["y"], d), "b": np.ones(len(row), d.dtype) @ d, "t": dot(c["gated"], dd), "c": np.zeros((CLASSES, CELLS), d.dtype), "g": np.zeros((CLASSES, WIDTH), d.dtype)}
     for name, each in (("c", dd), ("g", back * c["y"])):
-        g[name][cls[by[first]]] = np.add.reduceat(np.take(each, by, axis=0), first, axis=0)
-    dy = (d @ w["u"].T + back * c["gate"]).reshape(c["h"].shape)
+        g[name][ordered[first]] = np.add.reduceat(np.take(each, by, axis=0), first, axis=0)
+    dy = d @ w["u"].T
+    back *= c["gate"]
+    dy += back
+    dy = dy.reshape(c["h"].shape)
     dh = _dot(dy, w["o"].T)
     g["o"] = dot(c["h"], dy)
     ds = dh @ c["v"].transpose(0, 2, 1)
-    dv = c["a"].transpose(0, 2, 1) @ dh
+    dkv = np.empty((*c["x"].shape[:2], 2 * WIDTH), d.dtype)
+    np.matmul(c["a"].transpose(0, 2, 1), dh, out=dkv[..., WIDTH:])
     ds -= np.einsum("ijk,ijk->ij", dh, c["h"])[:, :, None]  # the mean of each row by its attention
     ds *= c["a"]
-    ds *= np.asarray(WIDTH**-0.5, d.dtype)
-    dq, dk = ds @ c["k"], ds.transpose(0, 2, 1) @ c["q"]
-    g |= {"q": dot(c["now"], dq), "k": dot(c["x"], dk), "v": dot(c["x"], dv)}
-    dx = _dot(dk, w["k"].T)
-    dx += _dot(dv, w["v"].T)
-    dx[:, STRIDE:] += dy + _dot(dq, w["q"].T)
+    np.matmul(ds.transpose(0, 2, 1), c["q"], out=dkv[..., :WIDTH])  # q is scaled already
+    dq = ds @ c["k"]
+    dq *= np.asarray(WIDTH**-0.5, d.dtype)
+    both = dot(c["x"], dkv)
+    g |= {"q": dot(c["now"], dq), "k": both[:, :WIDTH], "v": both[:, WIDTH:]}
+    dx = _dot(dkv, np.concatenate((w["k"], w["v"]), axis=1).T)
+    dy += _dot(dq, w["q"].T)
+    dx[:, STRIDE:] += dy
     return loss, g | {"p": dx.sum(0), "e": dx}
 
 
 def learn(w: dict[str, np.ndarray], seen: dict[str, np.ndarray], cls: np.ndarray, cell: np.ndarray, windows: np.ndarray, batch: int = 64, rate: float = 0.05) -> float:
     """Changes w and seen in place, and returns the mean loss. windows: rows of 2 * STRIDE inputs and STRIDE targets; -1 is no input or no target. Adagrad, seeded order."""
     size, total = len(cls), 0.0
+    dense, dense_seen = (np.concatenate([x[name].reshape(-1) for name in _DENSE]) for x in (w, seen))
+    at = np.cumsum([0, *(w[name].size for name in _DENSE)])
+    now = {name: dense[a:z].reshape(w[name].shape) for name, a, z in zip(_DENSE, at[:-1], at[1:], strict=True)} | {"e": w["e"]}
     order = np.random.default_rng(len(windows)).permutation(len(windows))
     for i in range(0, len(order), batch):
         rows = windows[order[i : i + batch]]
         ids, target = rows[:, : 2 * STRIDE], rows[:, 2 * STRIDE :]
         valid, scored = ids >= 0, target >= 0
         ids = np.where(valid, ids, size)
-        loss, g = gradients(w, ids, valid, np.where(scored, cls[target], 0), np.where(scored, cell[target], 0), scored)
+        loss, g = gradients(now, ids, valid, np.where(scored, cls[target], 0), np.where(scored, cell[target], 0), scored)
         total += loss * len(rows)
         flat = ids.reshape(-1).astype(np.uint16 if size < 1 << 16 else np.int64)  # sorted by digits where they are short
         by = np.argsort(flat, kind="stable")
         flat = flat[by]
         first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
         flat = flat[first].astype(np.int64)
-        own = np.add.reduceat(np.take(g.pop("e").reshape(-1, WIDTH), by, axis=0), first, axis=0)
-        held = seen["e"][flat] + own**2
+        own = np.add.reduceat(np.take(g["e"].reshape(-1, WIDTH), by, axis=0), first, axis=0)
+        held = np.take(seen["e"], flat, axis=0)
+        held += own * own
         seen["e"][flat] = held
-        w["e"][flat] -= rate * own / np.sqrt(held)
-        for name, x in g.items():
-            seen[name] += x**2
-            w[name] -= rate * x / np.sqrt(seen[name])
+        np.sqrt(held, out=held)
+        own *= rate
+        own /= held
+        w["e"][flat] = np.take(w["e"], flat, axis=0) - own
+        x = np.concatenate([g[name].reshape(-1) for name in _DENSE])  # all other weights as one
+        dense_seen += x * x
+        x *= rate
+        x /= np.sqrt(dense_seen)
+        dense -= x
+    for held, x in ((w, dense), (seen, dense_seen)):
+        for name, a, z in zip(_DENSE, at[:-1], at[1:], strict=True):
+            held[name][...] = x[a:z].reshape(held[name].shape)
     return total / max(1, len(order))
 
 
@@ -497,7 +521,6 @@ def training_windows(size: int, ids: np.ndarray, at: np.ndarray, seeds: np.ndarr
     return unpacked(size, flat, lengths), np.repeat(keys, -(-(lengths - STRIDE - 1) // STRIDE))
 
 
-_DENSE = ("p", "q", "k", "v", "o", "u", "b", "g", "t", "c")
 _CHANGES = "part int, learner int, ids binary, n binary, change binary"
 
 

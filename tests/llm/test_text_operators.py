@@ -536,6 +536,29 @@ def test_learning_lowers_the_loss():
     assert lm.learn(w, seen, cls, cell, windows) < 0.5 * first < 0.5 * np.log(40)
 
 
+def test_a_step_of_learning_is_adagrad_on_the_gradients():
+    r = np.random.default_rng(8)
+    counts = r.integers(0, 50, 90).astype(float)
+    cls, cell, _ = lm.classed(counts)
+    w = {name: x.astype(float) for name, x in lm.initial(cls, cell, counts).items()}
+    seen = {name: np.full_like(x, 1e-6) for name, x in w.items()}
+    ids, target = r.integers(0, 91, (40, 2 * lm.STRIDE)), r.integers(0, 90, (40, lm.STRIDE))
+    ids[::3, :5], target[::4, 9:] = -1, -1
+    want, held = ({name: x.copy() for name, x in y.items()} for y in (w, seen))
+    on = target >= 0
+    inputs = np.where(ids >= 0, ids, 90)
+    _, g = lm.gradients(w, inputs, ids >= 0, np.where(on, cls[target], 0), np.where(on, cell[target], 0), on)
+    e = np.zeros_like(w["e"])
+    np.add.at(e, inputs, g.pop("e"))
+    kept = w["e"], seen["e"]
+    lm.learn(w, seen, cls, cell, np.concatenate((ids, target), axis=1))
+    for name, x in (g | {"e": e}).items():
+        held[name] += x**2
+        want[name] -= 0.05 * x / np.sqrt(held[name])
+        assert np.allclose(w[name], want[name]) and np.allclose(seen[name], held[name])
+    assert w["e"] is kept[0] and seen["e"] is kept[1]  # changed in place
+
+
 def test_windows_score_each_id_once():
     at = np.array([0, 1, 18, 18 + 33, 52])
     ids = np.arange(52, dtype=np.int32)
