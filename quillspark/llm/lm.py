@@ -53,7 +53,7 @@ EACH, PIECE = 1 << 17, 16
 #: Words whose counts are broadcast; every other word is at most this fraction of the tokens.
 HEAD_WORDS = 1 << 16
 #: Distinct words that a worker remembers the ids of.
-_REMEMBER = 400_000
+_REMEMBER = 1_600_000
 _LONGEST = 64
 _U = np.uint64
 #: Bytes of ASCII letters, digits and marks, and of the two-byte letters, none of which is a kind of blank.
@@ -187,183 +187,321 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(1, keepdims=True))
 
 
-def _large(x: np.ndarray) -> bool:
-    return max(x.max(initial=0), -x.min(initial=0)) > 60
+def _sound(total: np.ndarray) -> bool:
+    """Whether sums of exponentials are far from what a number can't hold."""
+    return bool(total.max(initial=1) < 1e25 and total.min(initial=1) > 1e-25)
 
 
-def _dot(x: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """x @ w as one product, whatever the leading axes of x."""
-    return (x.reshape(-1, x.shape[-1]) @ w).reshape(*x.shape[:-1], w.shape[1])
+def _merged(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Queries' and keys' weights as one product, scaled, and values' and outputs': x asks x, and x is averaged, by 16 columns."""
+    return (w["q"] @ w["k"].T) * np.asarray(WIDTH**-0.5, w["q"].dtype), w["v"] @ w["o"]
 
 
-def _attended(w: dict[str, np.ndarray], ids: np.ndarray, valid: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
-    """Logits of the classes, and of the cells in the given classes, after each of the last STRIDE inputs of each window; and what they came from."""
-    x = np.take(w["e"], ids, axis=0)
-    x += w["p"]
-    now = np.ascontiguousarray(x[:, STRIDE:])
-    q = _dot(now, w["q"])
-    q *= np.asarray(WIDTH**-0.5, x.dtype)
-    kv = _dot(x, np.concatenate((w["k"], w["v"]), axis=1))  # x is read once for both
-    k, v = kv[..., :WIDTH], kv[..., WIDTH:]
-    s = q @ k.transpose(0, 2, 1)
+@np.errstate(over="ignore", invalid="ignore")  # what overflows is computed again
+def _attention(q: np.ndarray, x: np.ndarray, part: np.ndarray, there: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of all inputs for each asking one, and their sums. part: windows with inputs that don't exist; there: which of theirs do."""
+    ones, masked = np.ones(2 * STRIDE, x.dtype), there[:, None, :]
+    for safe in (False, True):
+        s = q @ x.transpose(0, 2, 1)
+        if safe:  # exponentials would overflow
+            s += _CAUSAL.astype(x.dtype)
+            s[part] += np.where(masked, 0, -1e9).astype(x.dtype)
+            s -= s.max(2, keepdims=True)
+        np.exp(s, out=s)
+        s *= _SEEN
+        if len(part):
+            s[part] *= masked
+        total = s.reshape(-1, 2 * STRIDE) @ ones
+        if safe or _sound(total):
+            break
+    return s, np.maximum(total, np.asarray(1e-30, x.dtype))  # a row that sees nothing has no target
+
+
+def _gaps(valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     part = np.flatnonzero(~valid.all(1))
-    if _large(s):  # else no exponential overflows
-        s += _CAUSAL.astype(x.dtype)
-        s[part] += np.where(valid[part], 0, -1e9).astype(x.dtype)[:, None, :]
-        s -= s.max(2, keepdims=True)
-    np.exp(s, out=s)
-    s *= _SEEN
-    s[part] *= valid[part][:, None, :]
-    s /= np.maximum(s @ np.ones((2 * STRIDE, 1), x.dtype), 1e-30)  # a row that sees nothing has no target
-    h = s @ v
-    y = (now + _dot(h, w["o"])).reshape(-1, WIDTH)
-    gate = np.take(w["g"], cls.reshape(-1), axis=0)
-    one = y @ w["u"]
-    one += w["b"]
-    gated = y * gate
-    inside = gated @ w["t"]
-    inside += np.take(w["c"], cls.reshape(-1), axis=0)
-    return one, inside, {"x": x, "now": now, "q": q, "k": k, "v": v, "a": s, "h": h, "y": y, "gate": gate, "gated": gated}
+    return part, valid[part]
+
+
+def _attended(w: dict[str, np.ndarray], x: np.ndarray, gaps: tuple[np.ndarray, np.ndarray]) -> dict[str, np.ndarray]:
+    """What the layer gives after each of the last STRIDE inputs of each window (y, with a column of ones as y1), and what it came from. x: rows of e; p's are added in place."""
+    x += w["p"]
+    now = x[:, STRIDE:].reshape(-1, WIDTH)
+    asks, gives = _merged(w)
+    q = (now @ asks).reshape(-1, STRIDE, WIDTH)
+    a, total = _attention(q, x, *gaps)
+    h = (a @ x).reshape(-1, WIDTH)
+    inverse = (1 / total)[:, None]
+    h *= inverse
+    y = h @ gives
+    y += now
+    y1 = np.ones((len(y), WIDTH + 1), x.dtype)
+    y1[:, :WIDTH] = y
+    return {"x": x, "now": now, "q": q, "a": a, "inverse": inverse, "h": h, "y": y, "y1": y1, "asks": asks, "gives": gives}
+
+
+def _classes(w: dict[str, np.ndarray]) -> np.ndarray:
+    return np.concatenate((w["u"], w["b"][None]))
 
 
 def forward(w: dict[str, np.ndarray], ids: np.ndarray, valid: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
     """Log probabilities of the classes, and of the cells in the given classes, after each of the last STRIDE inputs of each window."""
-    one, inside, c = _attended(w, ids, valid, cls)
-    return _log_softmax(one), _log_softmax(inside), c
+    c = _attended(w, np.take(w["e"], ids, axis=0), _gaps(valid))
+    cls = cls.reshape(-1)
+    return _log_softmax(c["y1"] @ _classes(w)), _log_softmax((c["y"] * w["g"][cls]) @ w["t"] + w["c"][cls]), c
 
 
 class Scorer:
-    """Log probabilities of goals by a model, as forward() gives them, with what depends on single ids computed once."""
+    """Log probabilities of goals by a model, as forward() gives them, without its tables of all logs."""
 
     def __init__(self, model: Model):
-        w = self.w = model.weights
-        self.model = model
-        scale, value = np.float32(WIDTH**-0.5), w["v"] @ w["o"]
-        self.keys, self.values, self.queries = w["e"] @ w["k"], w["e"] @ value, w["e"] @ w["q"] * scale
-        self.at = w["p"] @ w["k"], w["p"] @ value, w["p"][STRIDE:] @ w["q"] * scale
+        self.model, self.classes = model, _classes(model.weights)
 
     def __call__(self, ids: np.ndarray, valid: np.ndarray, goal: np.ndarray) -> np.ndarray:
-        w, last = self.w, np.ascontiguousarray(ids[:, STRIDE:])
-        take = lambda table, at: np.take(table, at, axis=0)  # noqa: E731  quicker than indexing
-        k, v, q = take(self.keys, ids), take(self.values, ids), take(self.queries, last)
-        for x, at in zip((k, v, q), self.at, strict=True):
-            x += at
-        s = q @ k.transpose(0, 2, 1)
-        if _large(s):
-            s += _CAUSAL
-            s += np.where(valid, 0, -1e9).astype(np.float32)[:, None, :]
-            s -= s.max(2, keepdims=True)
-        np.exp(s, out=s)
-        s *= _SEEN
-        part = np.flatnonzero(~valid.all(1))
-        s[part] *= valid[part][:, None, :]
-        h = s @ v
-        h /= np.maximum(s @ np.ones((2 * STRIDE, 1), np.float32), np.float32(1e-30))
-        h += take(w["e"], last)
-        h += w["p"][STRIDE:]
-        y, goal = h.reshape(-1, WIDTH), goal.reshape(-1)
-        cls = self.model.cls[goal]
-        x = y @ w["u"]
-        x += w["b"]
-        out = _chosen(x, cls)
-        y *= take(w["g"], cls)
-        x = y @ w["t"]
-        x += take(w["c"], cls)
-        out += _chosen(x, self.model.cell[goal])
-        return (out + self.model.log_share[goal]).reshape(ids.shape[0], STRIDE)
-
-
-def _chosen(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """The log softmax of each row at one place; x is overwritten."""
-    if _large(x):
-        x -= x.max(1, keepdims=True)
-    out = x.reshape(-1).take(np.arange(0, x.size, x.shape[1]) + at)
-    np.exp(x, out=x)
-    return out - np.log(x @ np.ones(x.shape[1], np.float32))
+        w, goal = self.model.weights, goal.reshape(-1)
+        c = _attended(w, np.take(w["e"], ids, axis=0), _gaps(valid))  # take is quicker than indexing
+        cls, y = np.take(self.model.cls, goal), c["y"]
+        out = _chosen(c["y1"], self.classes, None, cls)
+        y *= np.take(w["g"], cls, axis=0)
+        out += _chosen(y, w["t"], np.take(w["c"], cls, axis=0), np.take(self.model.cell, goal))
+        return (out + np.take(self.model.log_share, goal)).reshape(ids.shape[0], STRIDE)
+
+
+@np.errstate(over="ignore", invalid="ignore")  # what overflows is computed again
+def _chosen(y: np.ndarray, w: np.ndarray, bias: np.ndarray | None, at: np.ndarray) -> np.ndarray:
+    """The log softmax of each row of y @ w (+ bias) at one place."""
+    place, ones = np.arange(0, len(y) * w.shape[1], w.shape[1]) + at, np.ones(w.shape[1], y.dtype)
+    for safe in (False, True):
+        x = y @ w
+        if bias is not None:
+            x += bias
+        if safe:  # else no exponential overflows
+            x -= x.max(1, keepdims=True)
+        out = x.reshape(-1).take(place)
+        np.exp(x, out=x)
+        total = x @ ones
+        if safe or _sound(total):
+            break
+    return out - np.log(total)
+
+
+#: Rows that are added up as a group first, for a class and for an id, since sums of groups of any length are slow.
+_CLASS_ROWS, _ID_ROWS = 8, 4
+
+
+def _groups(by: np.ndarray, count: np.ndarray, begin: np.ndarray, number: int, wide: int) -> np.ndarray:
+    """Rows in groups of `wide`. by: the rows of all batches in order; count: rows of each sum; begin: where its groups
+    begin among all; number of groups. What a sum's last group lacks is the row after a batch's last, which holds 0."""
+    rows = np.full(number * wide, by.shape[1])
+    rows[np.arange(by.size) + np.repeat(begin * wide - (np.cumsum(count) - count), count)] = by.reshape(-1)
+    return rows.reshape(-1, wide)
+
+
+@dataclass
+class _Sums:
+    """Rows by what they belong to, in groups; where the groups of those with several begin, which come first, and their end."""
+
+    rows: np.ndarray
+    first: np.ndarray
+    end: int
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        """The sums of x's rows, whose last is 0."""
+        total = np.einsum("gkw->gw", np.take(x, self.rows, axis=0))
+        if not len(self.first):
+            return total
+        return np.concatenate((np.add.reduceat(total[: self.end], self.first, axis=0), total[self.end :]))
+
+
+@dataclass
+class _Goals:
+    """Targets of a batch, one row each: class, places of class and cell among all rows' logits, share in the mean loss (0: none); rows by class in groups, and which class each group is of."""
+
+    cls: np.ndarray
+    at_class: np.ndarray
+    at_cell: np.ndarray
+    share: np.ndarray
+    rows: np.ndarray
+    groups: np.ndarray
+
+    def sums(self, x: np.ndarray) -> np.ndarray:
+        """The sums by class of x's rows, whose last is 0."""
+        return self.groups @ np.einsum("gkw->gw", np.take(x, self.rows, axis=0))
+
+
+def _goals(cls: np.ndarray, cell: np.ndarray, scored: np.ndarray, dtype: type) -> list[_Goals]:
+    """The goals of batches of one size; all arrays have a row for each batch."""
+    size = len(cls)
+    share = scored.astype(dtype) / np.maximum(1, scored.sum(1, keepdims=True)).astype(dtype)
+    by = np.argsort(cls.astype(np.uint8 if CLASSES <= 256 else np.int64), axis=1, kind="stable")
+    count = np.bincount((cls + np.arange(size)[:, None] * CLASSES).reshape(-1), minlength=size * CLASSES)
+    number = -(-count // _CLASS_ROWS)
+    end = np.cumsum(number)
+    rows = _groups(by, count, end - number, end[-1], _CLASS_ROWS)
+    groups = np.zeros((CLASSES, len(rows)), dtype)
+    groups[np.repeat(np.arange(size * CLASSES) % CLASSES, number), np.arange(len(rows))] = 1
+    edge = np.append(0, end[CLASSES - 1 :: CLASSES]).tolist()
+    row = np.arange(cls.shape[1])
+    at_class, at_cell = cls + row * CLASSES, cell + row * CELLS
+    return [_Goals(cls[i], at_class[i], at_cell[i], share[i], rows[a:z], groups[:, a:z]) for i, (a, z) in enumerate(zip(edge[:-1], edge[1:], strict=True))]
+
+
+@np.errstate(over="ignore", invalid="ignore")  # what overflows is computed again
+def _errors(y: np.ndarray, w: np.ndarray, bias: np.ndarray | None, place: np.ndarray, share: np.ndarray, out: np.ndarray) -> tuple[float, np.ndarray]:
+    """The loss of a softmax of y @ w (+ bias) at the given places. out: exponentials, less their sum at these places;
+    times what is returned beside the loss they are the logits' gradients."""
+    flat, ones = out.reshape(-1), np.ones(out.shape[1], y.dtype)
+    for safe in (False, True):
+        np.matmul(y, w, out=out)
+        if bias is not None:
+            out += bias
+        if safe:
+            out -= out.max(1, keepdims=True)
+        goal = flat.take(place)
+        np.exp(out, out=out)
+        total = out @ ones
+        if safe or _sound(total):
+            break
+    flat[place] = flat.take(place) - total
+    loss = np.log(total)
+    loss -= goal
+    return float(loss @ share), share / total
+
+
+def _backward(w: dict[str, np.ndarray], x: np.ndarray, gaps: tuple[np.ndarray, np.ndarray], goals: _Goals, g: dict[str, np.ndarray]) -> tuple[float, np.ndarray]:
+    """Mean loss over the goals, and its gradients for each input, flat, and a row that is 0; those of all other weights are written to g. x is changed."""
+    c = _attended(w, x, gaps)
+    q, a, h, y, y1 = c["q"], c["a"], c["h"], c["y"], c["y1"]
+    n, kind = len(y), x.dtype
+    held = np.empty(((n + 1), max(CLASSES, CELLS)), kind).reshape(-1)  # for both softmaxes in turn, so that it stays near
+    d, dd = held[: n * CLASSES].reshape(n, CLASSES), held[: (n + 1) * CELLS].reshape(n + 1, CELLS)
+    ub = _classes(w)
+    loss, scale = _errors(y1, ub, None, goals.at_class, goals.share, d)
+    scale = scale[:, None]
+    dy = d @ w["u"].T
+    dy *= scale
+    y1 *= scale
+    both = y1.T @ d
+    g["u"][...], g["b"][...] = both[:WIDTH], both[WIDTH]
+    gate = np.take(w["g"], goals.cls, axis=0)
+    gated = y * gate
+    more, scale = _errors(gated, w["t"], np.take(w["c"], goals.cls, axis=0), goals.at_cell, goals.share, dd[:n])
+    dd[:n] *= scale[:, None]
+    dd[n] = 0
+    np.matmul(gated.T, dd[:n], out=g["t"])
+    g["c"][...] = goals.sums(dd)
+    back = dd @ w["t"].T
+    gate *= back[:n]
+    dy += gate
+    back[:n] *= y
+    g["g"][...] = goals.sums(back)
+    dh = dy @ c["gives"].T
+    merged = h.T @ dy
+    g["v"][...], g["o"][...] = merged @ w["o"].T, w["v"].T @ merged
+    dh *= c["inverse"]
+    h *= dh
+    mean = h @ np.ones(WIDTH, kind)  # of each row by its attention
+    dh = dh.reshape(q.shape)
+    ds = dh @ x.transpose(0, 2, 1)
+    ds -= mean.reshape(-1, STRIDE, 1)
+    ds *= a
+    pair, other = np.empty((len(x), 2 * STRIDE, 2 * STRIDE), kind), np.empty((len(x), 2 * STRIDE, WIDTH), kind)
+    pair[:, :STRIDE], pair[:, STRIDE:] = a, ds
+    other[:, :STRIDE], other[:, STRIDE:] = dh, q
+    dx = np.empty((x.size // WIDTH + 1, WIDTH), kind)
+    dx[-1] = 0
+    each = dx[:-1].reshape(x.shape)
+    np.matmul(pair.transpose(0, 2, 1), other, out=each)
+    dq = (ds @ x).reshape(-1, WIDTH)
+    merged = c["now"].T @ dq
+    merged *= np.asarray(WIDTH**-0.5, kind)
+    g["q"][...], g["k"][...] = merged @ w["k"], merged.T @ w["q"]
+    dy += dq @ c["asks"].T
+    each[:, STRIDE:] += dy.reshape(q.shape)
+    np.add.reduce(each, axis=0, out=g["p"])
+    return loss + more, dx
+
+
+def _zeros(w: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """All weights but ids' as one array of zeros, and each one's part of it."""
+    at = np.cumsum([0, *(w[name].size for name in _DENSE)])
+    flat = np.zeros(at[-1], w["e"].dtype)
+    return flat, {name: flat[a:z].reshape(w[name].shape) for name, a, z in zip(_DENSE, at[:-1], at[1:], strict=True)}
 
 
 def gradients(w: dict[str, np.ndarray], ids: np.ndarray, valid: np.ndarray, cls: np.ndarray, cell: np.ndarray, scored: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
     """Mean loss over the scored inputs and its gradients; e's come for each input."""
-    d, dd, c = _attended(w, ids, valid, cls)
-    cls, cell, on = cls.reshape(-1), cell.reshape(-1), scored.reshape(-1)
-    n, row = max(1, on.sum()), np.arange(len(on))
-    share = (on / n).astype(d.dtype)
-    loss = 0.0
-    for logits, at in ((d, cls), (dd, cell)):  # in place: shares less what was there
-        if _large(logits):
-            logits -= logits.max(1, keepdims=True)
-        goal = logits[row, at]
-        np.exp(logits, out=logits)
-        total = logits @ np.ones(logits.shape[1], d.dtype)
-        loss += float(((np.log(total) - goal) * on).sum() / n)
-        logits *= (share / total)[:, None]
-        logits[row, at] -= share
-    dot = lambda a, b: a.reshape(-1, a.shape[-1]).T @ b.reshape(-1, b.shape[-1])
-    back = dd @ w["t"].T
-    by = np.argsort(cls.astype(np.uint8 if CLASSES <= 256 else np.int64), kind="stable")
-    ordered = cls[by]
-    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-    g = {"u": dot(c["y"], d), "b": np.ones(len(row), d.dtype) @ d, "t": dot(c["gated"], dd), "c": np.zeros((CLASSES, CELLS), d.dtype), "g": np.zeros((CLASSES, WIDTH), d.dtype)}
-    for name, each in (("c", dd), ("g", back * c["y"])):
-        g[name][ordered[first]] = np.add.reduceat(np.take(each, by, axis=0), first, axis=0)
-    dy = d @ w["u"].T
-    back *= c["gate"]
-    dy += back
-    dy = dy.reshape(c["h"].shape)
-    dh = _dot(dy, w["o"].T)
-    g["o"] = dot(c["h"], dy)
-    ds = dh @ c["v"].transpose(0, 2, 1)
-    dkv = np.empty((*c["x"].shape[:2], 2 * WIDTH), d.dtype)
-    np.matmul(c["a"].transpose(0, 2, 1), dh, out=dkv[..., WIDTH:])
-    ds -= np.einsum("ijk,ijk->ij", dh, c["h"])[:, :, None]  # the mean of each row by its attention
-    ds *= c["a"]
-    np.matmul(ds.transpose(0, 2, 1), c["q"], out=dkv[..., :WIDTH])  # q is scaled already
-    dq = ds @ c["k"]
-    dq *= np.asarray(WIDTH**-0.5, d.dtype)
-    both = dot(c["x"], dkv)
-    g |= {"q": dot(c["now"], dq), "k": both[:, :WIDTH], "v": both[:, WIDTH:]}
-    dx = _dot(dkv, np.concatenate((w["k"], w["v"]), axis=1).T)
-    dy += _dot(dq, w["q"].T)
-    dx[:, STRIDE:] += dy
-    return loss, g | {"p": dx.sum(0), "e": dx}
+    _, g = _zeros(w)
+    goals = _goals(cls.reshape(1, -1), cell.reshape(1, -1), scored.reshape(1, -1), w["e"].dtype)[0]
+    loss, e = _backward(w, np.take(w["e"], ids, axis=0), _gaps(valid), goals, g)
+    return loss, g | {"e": e[:-1].reshape(*ids.shape, WIDTH)}
+
+
+def _batches(windows: np.ndarray, cls: np.ndarray, cell: np.ndarray, batch: int, dtype: type, together: int = 32) -> Iterator[tuple]:
+    """Batches of windows in a seeded order: their number; their distinct ids, which of these each input is, and
+    sums by them; the windows' gaps; the goals. What needs no weights is done for many batches at once."""
+    size, order = len(cls), np.random.default_rng(len(windows)).permutation(len(windows))
+    whole = len(order) // batch * batch
+    spans = [(a, min(whole, a + together * batch), batch) for a in range(0, whole, together * batch)]
+    for a, z, n in [*spans, *([(whole, len(order), len(order) - whole)] if whole < len(order) else [])]:
+        rows = windows[order[a:z]]
+        ids, target = rows[:, : 2 * STRIDE], rows[:, 2 * STRIDE :]
+        valid, scored = ids >= 0, target >= 0
+        shape = ((z - a) // n, n * STRIDE)
+        goals = _goals(np.where(scored, cls[target], 0).reshape(shape), np.where(scored, cell[target], 0).reshape(shape), scored.reshape(shape), dtype)
+        flat = np.where(valid, ids, size).reshape(shape[0], -1).astype(np.uint16 if size < 1 << 16 else np.int64)  # sorted by digits where they are short
+        by = np.argsort(flat, axis=1, kind="stable")
+        flat = np.take_along_axis(flat, by, axis=1)
+        new = np.ones(flat.shape, bool)
+        np.not_equal(flat[:, 1:], flat[:, :-1], out=new[:, 1:])
+        first = np.flatnonzero(new)
+        count, owner = np.diff(np.append(first, new.size)), first // flat.shape[1]
+        number = -(-count // _ID_ROWS)
+        dealt = np.argsort((2 * owner + (number == 1)).astype(np.uint16), kind="stable")  # in each batch those of several groups first
+        rank = np.empty(len(first), np.int64)
+        rank[dealt] = np.arange(len(first))
+        edge = np.searchsorted(owner, np.arange(shape[0] + 1))
+        which = np.empty(flat.shape, np.int64)
+        np.put_along_axis(which, by, np.repeat(rank - edge[owner], count).reshape(flat.shape), axis=1)
+        ids, number = flat.reshape(-1)[first[dealt]].astype(np.int64), number[dealt]
+        begin = np.cumsum(number) - number
+        groups = _groups(by, count, begin[rank], number.sum(), _ID_ROWS)
+        at, several = np.append(begin, number.sum()), edge[:-1] + np.bincount(owner[np.flatnonzero(number[rank] > 1)], minlength=shape[0])
+        part = np.flatnonzero(~valid.all(1))
+        gaps = np.searchsorted(part, np.arange(shape[0] + 1) * n)
+        for i in range(shape[0]):
+            j, m, k = edge[i], several[i], edge[i + 1]
+            own = part[gaps[i] : gaps[i + 1]]
+            yield n, ids[j:k], which[i].reshape(n, -1), _Sums(groups[at[j] : at[k]], begin[j:m] - at[j], at[m] - at[j]), (own - i * n, valid[own]), goals[i]
 
 
 def learn(w: dict[str, np.ndarray], seen: dict[str, np.ndarray], cls: np.ndarray, cell: np.ndarray, windows: np.ndarray, batch: int = 64, rate: float = 0.05) -> float:
     """Changes w and seen in place, and returns the mean loss. windows: rows of 2 * STRIDE inputs and STRIDE targets; -1 is no input or no target. Adagrad, seeded order."""
-    size, total = len(cls), 0.0
-    dense, dense_seen = (np.concatenate([x[name].reshape(-1) for name in _DENSE]) for x in (w, seen))
-    at = np.cumsum([0, *(w[name].size for name in _DENSE)])
-    now = {name: dense[a:z].reshape(w[name].shape) for name, a, z in zip(_DENSE, at[:-1], at[1:], strict=True)} | {"e": w["e"]}
-    order = np.random.default_rng(len(windows)).permutation(len(windows))
-    for i in range(0, len(order), batch):
-        rows = windows[order[i : i + batch]]
-        ids, target = rows[:, : 2 * STRIDE], rows[:, 2 * STRIDE :]
-        valid, scored = ids >= 0, target >= 0
-        ids = np.where(valid, ids, size)
-        loss, g = gradients(now, ids, valid, np.where(scored, cls[target], 0), np.where(scored, cell[target], 0), scored)
-        total += loss * len(rows)
-        flat = ids.reshape(-1).astype(np.uint16 if size < 1 << 16 else np.int64)  # sorted by digits where they are short
-        by = np.argsort(flat, kind="stable")
-        flat = flat[by]
-        first = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
-        flat = flat[first].astype(np.int64)
-        own = np.add.reduceat(np.take(g["e"].reshape(-1, WIDTH), by, axis=0), first, axis=0)
-        held = np.take(seen["e"], flat, axis=0)
-        held += own * own
-        seen["e"][flat] = held
+    (dense, now), (dense_seen, parts), (x, g) = (_zeros(w) for _ in range(3))  # all weights but ids' step as one
+    for held, given in ((now, w), (parts, seen)):
+        for name in _DENSE:
+            held[name][...] = given[name]
+    total = 0.0
+    for n, ids, which, sums, gaps, goals in _batches(windows, cls, cell, batch, w["e"].dtype):
+        own = np.take(w["e"], ids, axis=0)
+        loss, e = _backward(now, np.take(own, which, axis=0), gaps, goals, g)
+        total += loss * n
+        step = sums.of(e)
+        held = np.take(seen["e"], ids, axis=0)
+        held += step * step
+        seen["e"][ids] = held
         np.sqrt(held, out=held)
-        own *= rate
-        own /= held
-        w["e"][flat] = np.take(w["e"], flat, axis=0) - own
-        x = np.concatenate([g[name].reshape(-1) for name in _DENSE])  # all other weights as one
+        step *= rate
+        step /= held
+        own -= step
+        w["e"][ids] = own
         dense_seen += x * x
         x *= rate
         x /= np.sqrt(dense_seen)
         dense -= x
-    for held, x in ((w, dense), (seen, dense_seen)):
-        for name, a, z in zip(_DENSE, at[:-1], at[1:], strict=True):
-            held[name][...] = x[a:z].reshape(held[name].shape)
-    return total / max(1, len(order))
+    for held, given in ((w, now), (seen, parts)):
+        for name in _DENSE:
+            held[name][...] = given[name]
+    return total / max(1, len(windows))
 
 
 def text_ids(t: Tokenizer, b: tokens.Batch) -> tuple[np.ndarray, np.ndarray, tuple]:

@@ -559,6 +559,67 @@ def test_a_step_of_learning_is_adagrad_on_the_gradients():
     assert w["e"] is kept[0] and seen["e"] is kept[1]  # changed in place
 
 
+def test_batches_of_learning_follow_each_other():
+    """Three batches, the last one shorter, against gradients that are added up one input at a time."""
+    r = np.random.default_rng(9)
+    counts = np.sort(r.integers(0, 50, 90))[::-1].astype(float)
+    cls, cell, _ = lm.classed(counts)
+    w = {name: x.astype(float) for name, x in lm.initial(cls, cell, counts).items()}
+    seen = {name: np.full_like(x, 1e-6) for name, x in w.items()}
+    windows = np.minimum(r.zipf(1.3, (150, 3 * lm.STRIDE)) - 1, 89).astype(np.int32)  # some ids stand very often, some once
+    windows[::5, :7], windows[::6, 2 * lm.STRIDE + 9 :] = -1, -1
+    want, held = ({name: x.copy() for name, x in y.items()} for y in (w, seen))
+    total, order = 0.0, np.random.default_rng(150).permutation(150)
+    for i in range(0, 150, 64):
+        ids, target = np.split(windows[order[i : i + 64]], [2 * lm.STRIDE], axis=1)
+        on, inputs = target >= 0, np.where(ids >= 0, ids, 90)
+        loss, g = lm.gradients(want, inputs, ids >= 0, np.where(on, cls[target], 0), np.where(on, cell[target], 0), on)
+        e = np.zeros_like(want["e"])
+        np.add.at(e, inputs, g.pop("e"))
+        total += loss * len(ids)
+        for name, x in (g | {"e": e}).items():
+            held[name] += x**2
+            want[name] = want[name] - 0.05 * x / np.sqrt(held[name])
+    assert lm.learn(w, seen, cls, cell, windows) == pytest.approx(total / 150)
+    assert all(np.allclose(w[name], want[name]) and np.allclose(seen[name], held[name]) for name in w)
+
+
+class Watched(np.ndarray):
+    """Keeps the shapes of all products that it takes part in."""
+
+    seen: list = []
+
+    def __array_ufunc__(self, ufunc, method, *inputs, out=None, **kw):
+        plain = lambda x: x.view(np.ndarray) if isinstance(x, Watched) else x
+        got = getattr(ufunc, method)(*map(plain, inputs), **kw, **({} if out is None else {"out": tuple(map(plain, out))}))
+        if ufunc is np.matmul:
+            self.seen.append(tuple(np.shape(x) for x in inputs))
+        return got.view(Watched) if isinstance(got, np.ndarray) else got
+
+
+def test_inputs_are_not_projected_one_by_one():
+    """No product, forth or back, is of all inputs of all windows with weights: only the half that is asked for is."""
+    r, m = layer(4)
+    ids, valid = r.integers(0, 90, (64, 2 * lm.STRIDE)), np.ones((64, 2 * lm.STRIDE), bool)
+    goal, on = r.integers(0, 90, (64, lm.STRIDE)), np.ones((64, lm.STRIDE), bool)
+    Watched.seen = []
+    loss, _ = lm.gradients({name: x.view(Watched) for name, x in m.weights.items()}, ids, valid, m.cls[goal], m.cell[goal], on)
+    assert loss == pytest.approx(lm.gradients(m.weights, ids, valid, m.cls[goal], m.cell[goal], on)[0])
+    flat = [shapes for shapes in Watched.seen if all(len(x) == 2 for x in shapes)]
+    assert len(flat) > 5 and not [x for x in flat if ids.size in x[0]]
+
+
+def test_exponentials_that_overflow_are_computed_again():
+    r, m = layer(5)
+    ids, valid = r.integers(0, 90, (8, 2 * lm.STRIDE)), np.ones((8, 2 * lm.STRIDE), bool)
+    valid[::3, :9] = False
+    goal, on = r.integers(0, 90, (8, lm.STRIDE)), np.ones((8, lm.STRIDE), bool)
+    big = {name: x * np.float32(60) if name in "quk" else x for name, x in m.weights.items()}
+    got, want = (lm.gradients({name: x.astype(kind) for name, x in big.items()}, ids, valid, m.cls[goal], m.cell[goal], on) for kind in (np.float32, np.float64))
+    assert got[0] == pytest.approx(want[0], rel=1e-3)
+    assert all(np.allclose(got[1][name], x, rtol=1e-2, atol=1e-3 * np.abs(x).max()) for name, x in want[1].items())
+
+
 def test_windows_score_each_id_once():
     at = np.array([0, 1, 18, 18 + 33, 52])
     ids = np.arange(52, dtype=np.int32)
